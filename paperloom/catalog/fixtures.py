@@ -9,12 +9,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from paperloom.session import use_all_cores
 from paperloom.sources.feed import entry_records, page_entries, parse_pages
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, heavy: tuple[str, ...] = ()) -> DataFrame:
+    """A given table; with ``heavy`` just those columns, spread over all cores if the file is small."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return use_all_cores(scan.select(*heavy)) if heavy else scan
 
 
 def _select(exprs: dict[str, str], table_name: str) -> str:
@@ -60,9 +63,13 @@ PAPER_EXPRS = {
 }
 
 
-def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+_DOCUMENT = ("doc_id", "text", "lang", "source")
+
+
+def papers(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+    """``heavy`` for queries that work through the texts."""
     exprs = {**PAPER_EXPRS, "row_hash": "sha2(text, 256)"}
-    return derive(table(spark, sf_dir, "documents"), exprs)
+    return derive(table(spark, sf_dir, "documents", _DOCUMENT if heavy else ()), exprs)
 
 
 # --- authors: one per order line ---------------------------------------------------------------
@@ -128,7 +135,7 @@ REVIEW_EXPRS = {
 
 
 def reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive(table(spark, sf_dir, "events"), REVIEW_EXPRS)
+    return derive(table(spark, sf_dir, "events", ("event_id", "user_id", "event_type", "props")), REVIEW_EXPRS)
 
 
 # --- feed pages: one per document, a full entry and a defective one ----------------------------
@@ -159,7 +166,7 @@ def _xml_text(c: str):
 
 def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``page_file``, ``xml``: each page reports 2 results and holds two entries."""
-    f = derive(table(spark, sf_dir, "documents"), FEED_FIELDS)
+    f = derive(table(spark, sf_dir, "documents", _DOCUMENT), FEED_FIELDS)
 
     def cat(*parts):
         return F.concat(*[F.lit(p[1:]) if p.startswith("=") else F.col(p) for p in parts])

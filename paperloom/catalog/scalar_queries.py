@@ -22,7 +22,7 @@ def fn_strip(spark, sf_dir):
 
 @query("fn_collapse_ws", f"SELECT doc_id, {fx.sql_collapse('text')} AS flat FROM documents")
 def fn_collapse_ws(spark, sf_dir):
-    docs = fx.table(spark, sf_dir, "documents")
+    docs = fx.table(spark, sf_dir, "documents", ("doc_id", "text"))
     return docs.select("doc_id", text.collapse_whitespace(F.col("text")).alias("flat"))
 
 
@@ -166,7 +166,7 @@ def fn_month_trunc(spark, sf_dir):
 )
 def fn_word_count(spark, sf_dir):
     counts = [text.word_count(F.col(c)).alias(n) for c, n in (("summary", "words"), ("title", "title_words"))]
-    return fx.papers(spark, sf_dir).select("paper_key", *counts)
+    return fx.papers(spark, sf_dir, heavy=True).select("paper_key", *counts)
 
 
 @query(
@@ -177,7 +177,7 @@ def fn_word_count(spark, sf_dir):
 )
 def fn_tail_words(spark, sf_dir):
     summary = F.col("summary")
-    return fx.papers(spark, sf_dir).select(
+    return fx.papers(spark, sf_dir, heavy=True).select(
         "paper_key", text.tail_words(summary, 50).alias("tail"), text.tail_words(summary, 0).alias("none")
     )
 
@@ -189,7 +189,7 @@ def fn_tail_words(spark, sf_dir):
     ("flat",),
 )
 def fn_split_sentences(spark, sf_dir):
-    exploded = fx.papers(spark, sf_dir).select(
+    exploded = fx.papers(spark, sf_dir, heavy=True).select(
         "paper_key", F.posexplode(text.split_sentences(F.col("summary"))).alias("p", "sentence")
     )
     return exploded.select("paper_key", "sentence", (F.col("p") + 1).alias("position"))
@@ -201,7 +201,7 @@ def fn_split_sentences(spark, sf_dir):
     ("flat",),
 )
 def fn_extractive_summary(spark, sf_dir):
-    return fx.papers(spark, sf_dir).select("paper_key", text.extractive_summary(F.col("summary"), 4).alias("short"))
+    return fx.papers(spark, sf_dir, heavy=True).select("paper_key", text.extractive_summary(F.col("summary"), 4).alias("short"))
 
 
 @query(

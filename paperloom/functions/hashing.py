@@ -22,35 +22,54 @@ SHORT_ESCAPES = (
 )
 
 
-def _utf16_escape(char: Column) -> Column:
-    code_units = F.lower(F.hex(F.encode(char, "UTF-16BE")))
-    return F.regexp_replace(code_units, "(.{4})", r"\\u$1")
+# Characters with a short escape or below space, and all that ASCII output must escape.
+_SHORT_OR_CONTROL = r'["\\\x00-\x1f]'
+_NOT_PLAIN = r"[^\x20-\x7f]"
 
 
-def json_string(c: Column) -> Column:
-    """A JSON string literal in ASCII; NULL stays NULL."""
-    escaped = c
+def _short_escapes(text: Column) -> Column:
     for char, escape in SHORT_ESCAPES:
-        escaped = F.replace(escaped, F.lit(char), F.lit(escape))
-    plain = r"[\x20-\x7f]"
-    per_char = F.transform(
-        F.split(escaped, ""), lambda x: F.when(x.rlike(plain), x).otherwise(_utf16_escape(x))
-    )
-    ascii_text = F.when(escaped.rlike(r"[^\x20-\x7f]"), F.array_join(per_char, "")).otherwise(escaped)
-    return F.concat(F.lit('"'), ascii_text, F.lit('"'))
+        text = F.replace(text, F.lit(char), F.lit(escape))
+    return text
 
 
-def json_or_null(c: Column) -> Column:
-    return F.coalesce(json_string(c), F.lit("null"))
+def _code_unit_escapes(text: Column) -> Column:
+    """Replace each distinct character outside plain ASCII by its UTF-16 escapes."""
 
+    def escape(found: Column) -> Column:
+        return F.regexp_replace(F.lower(F.hex(F.encode(found, "UTF-16BE"))), "(.{4})", r"\\u$1")
 
-def json_object(fields: dict[str, Column], skip_null: bool = False) -> Column:
-    """A JSON object with sorted keys from already rendered values."""
-    pairs = []
-    for key in sorted(fields):
-        value = fields[key] if skip_null else F.coalesce(fields[key], F.lit("null"))
-        pairs.append(F.concat(F.lit(f'"{key}": '), value))
-    return F.concat(F.lit("{"), F.concat_ws(", ", *pairs), F.lit("}"))
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(f"({_NOT_PLAIN})"), F.lit(1)))
+    return F.aggregate(found, text, lambda done, char: F.replace(done, char, escape(char)))
+
+
+def json_strings(values: Column) -> Column:
+    """ASCII JSON string literals of a text array; NULL items stay NULL.
+
+    Working on an array keeps each step's input a plain variable, so no expression is repeated.
+    """
+    short = F.transform(values, lambda v: F.when(v.rlike(_SHORT_OR_CONTROL), _short_escapes(v)).otherwise(v))
+    plain = F.transform(short, lambda v: F.when(v.rlike(_NOT_PLAIN), _code_unit_escapes(v)).otherwise(v))
+    return F.transform(plain, lambda v: F.concat(F.lit('"'), v, F.lit('"')))
+
+
+def json_object(keys: list[str], rendered: Column, skip_null: bool = False) -> Column:
+    """A JSON object of sorted ``keys`` and an array of their rendered values.
+
+    A NULL value is written as ``null``, or left out with ``skip_null``.
+    """
+    labels = F.array(*[F.lit(f'"{k}": ') for k in keys])
+
+    def pair(label: Column, value: Column) -> Column:
+        return F.concat(label, value if skip_null else F.coalesce(value, F.lit("null")))
+
+    return F.concat(F.lit("{"), F.array_join(F.zip_with(labels, rendered, pair), ", "), F.lit("}"))
+
+
+def json_text_object(fields: dict[str, Column], skip_null: bool = False) -> Column:
+    """A JSON object of text fields with sorted keys."""
+    keys = sorted(fields)
+    return json_object(keys, json_strings(F.array(*[fields[k] for k in keys])), skip_null)
 
 
 def json_array(rendered: Column) -> Column:
@@ -63,7 +82,7 @@ def row_hash(columns: list[str], position: str | None = None) -> Column:
     With ``position`` the row number is part of the identity, as in the review ingest: equal rows at
     two positions differ. Without it equal content hashes equally.
     """
-    fields = {name: json_string(strip(F.col(f"`{name}`"))) for name in columns}
+    fields = {name: strip(F.col(f"`{name}`")) for name in columns}
     if position is not None:
-        fields[position] = json_string(F.col(position).cast("string"))
-    return F.sha2(json_object(fields), 256)
+        fields[position] = F.col(position).cast("string")
+    return F.sha2(json_text_object(fields), 256)

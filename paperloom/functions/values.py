@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from paperloom.functions.text import WHITESPACE
+from paperloom.functions.text import WHITESPACE, WHITESPACE_CLASS
 
-# Fixed value: the text forms that count as a finite number.
-NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# Fixed value: a finite decimal number, with whitespace around it.
+NUMBER_PATTERN = (
+    f"^{WHITESPACE_CLASS}*([+-]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?){WHITESPACE_CLASS}*$"
+)
 # Fixed value: full ISO-8601 dates, with or without time and zone.
 ISO_PATTERN = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
@@ -16,10 +18,8 @@ ISO_PATTERN = (
 
 
 def to_number(c: Column) -> Column:
-    """Text to double; anything that is not a finite decimal number becomes NULL."""
-    text = F.btrim(c, F.lit(WHITESPACE))
-    number = F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
-    return F.when(F.abs(number) < float("inf"), number)
+    """Text to double; anything that is not a decimal number becomes NULL."""
+    return F.regexp_extract(c, NUMBER_PATTERN, 1).try_cast("double")
 
 
 def truncate_to_int(number: Column) -> Column:

@@ -106,7 +106,8 @@ def chunk_records(
         "paper_key",
         "primary_category",
         "title",
-        F.posexplode(
+        # The outer form keeps the optimizer from adding a filter that packs a second time.
+        F.posexplode_outer(
             pack_pieces(
                 pieces(source_text(F.col("title"), F.col("summary")), max_words, overlap_words),
                 max_words,
@@ -114,7 +115,7 @@ def chunk_records(
             )
         ).alias("_position", "chunk_text"),
     )
-    kept = chunked.filter(flat_word_count(F.col("chunk_text")) >= min_input_words)
+    kept = chunked.filter(F.col("_position").isNotNull() & (flat_word_count(F.col("chunk_text")) >= min_input_words))
     index = F.col("_position") + 1
     digest = F.sha2(F.concat_ws("|", "paper_key", index.cast("string"), "chunk_text"), 256)
     return kept.select(

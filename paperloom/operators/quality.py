@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paperloom.functions.hashing import row_hash
-from paperloom.functions.text import blank_to_null, counts_as_missing, strip
+from paperloom.functions.text import BLANK_WORDS, strip
 from paperloom.functions.values import to_number, truncate_to_int
 from paperloom.operators.skew import salted_join
 from paperloom.sources.reviews_csv import REVIEW_COLUMNS, require_columns
@@ -21,22 +21,33 @@ def _reasons(*rules: tuple[Column, str]) -> Column:
 
 
 def review_reasons() -> Column:
-    """Broken rules of a typed review (see ``typed_reviews``)."""
+    """Broken rules of a review with its numbers as doubles and its text trimmed.
+
+    The bounds are those of the number cut to an integer: 5.7 is a rating of 5, 0.9 one of 0. A value
+    no integer column can hold is invalid.
+    """
     clothing, rating, age = F.col("clothing_id"), F.col("rating"), F.col("age")
     recommended, feedback = F.col("recommended_ind"), F.col("positive_feedback_count")
     return _reasons(
-        (clothing.isNull(), "missing_or_invalid_clothing_id"),
+        (_not_an_int(clothing), "missing_or_invalid_clothing_id"),
         (rating.isNull(), "missing_or_invalid_rating"),
-        (~rating.between(1, 5), "rating_out_of_range_1_to_5"),
+        ((rating < 1) | (rating >= 6), "rating_out_of_range_1_to_5"),
         (recommended.isNull(), "missing_or_invalid_recommended_ind"),
-        (~recommended.isin(0, 1), "recommended_ind_not_binary"),
-        (feedback.isNull(), "missing_or_invalid_positive_feedback_count"),
-        (feedback < 0, "negative_positive_feedback_count"),
-        (counts_as_missing(F.col("review_text")), "missing_review_text"),
-        (~age.between(13, 100), "age_out_of_expected_range"),
+        ((recommended <= -1) | (recommended >= 2), "recommended_ind_not_binary"),
+        (feedback.isNull() | (feedback >= _INT_LIMIT), "missing_or_invalid_positive_feedback_count"),
+        (feedback <= -1, "negative_positive_feedback_count"),
+        (F.lower("review_text").isin(*BLANK_WORDS), "missing_review_text"),
+        ((age < 13) | (age >= 101), "age_out_of_expected_range"),
     )
 
 
+_INT_LIMIT = 2.0**31
+
+
+def _not_an_int(number: Column) -> Column:
+    return number.isNull() | (F.abs(number) >= _INT_LIMIT)
+
+
 def paper_reasons() -> Column:
     """Broken rules of a feed record (see ``entry_records``)."""
 
@@ -55,43 +66,39 @@ def paper_reasons() -> Column:
     )
 
 
-def _at_least(number: Column, bound: Column) -> Column:
-    """``number`` or the bound, NULL for NULL (unlike ``greatest``)."""
-    return F.when(number < bound, bound).otherwise(number)
-
-
-def _at_most(number: Column, bound: Column) -> Column:
-    return F.when(number > bound, bound).otherwise(number)
+_NUMERIC = ("clothing_id", "age", "rating", "recommended_ind", "positive_feedback_count")
+_NULLABLE_TEXT = ("title", "division_name", "department_name", "class_name")
 
 
 def typed_reviews(raw: DataFrame, position: str | None = "row_number") -> DataFrame:
     """Coerce the text columns of a conforming review frame and attach hash, key, payload, reasons.
 
-    Numbers are cut to integers before the rules look at them, so 5.7 is a valid rating of 5. A
-    fractional or infinite value in an identifier falls back to the row hash or to "invalid".
+    A fractional or infinite identifier falls back to the row hash. Two projections, so each text is
+    parsed and trimmed once however many rules look at it.
     """
     require_columns(raw)
     content = [c for c in raw.columns if c != position]
-    review_id = to_number(F.col("unnamed_0"))
-    far = F.lit(2e9)
-    hashed = raw.withColumn("row_hash", row_hash(content, position))
-    typed = hashed.select(
-        *([position] if position else []),
-        "row_hash",
-        F.when(review_id == F.floor(review_id), review_id.try_cast("bigint")).alias("review_id"),
-        truncate_to_int(to_number(F.col("clothing_id"))).alias("clothing_id"),
-        truncate_to_int(_at_least(to_number(F.col("positive_feedback_count")), -far)).alias("positive_feedback_count"),
-        # Far values are pulled to the integer range: they break the same range rule as before.
-        *[
-            truncate_to_int(_at_most(_at_least(to_number(F.col(c)), -far), far)).alias(c)
-            for c in ("age", "rating", "recommended_ind")
-        ],
-        *[blank_to_null(F.col(c)).alias(c) for c in ("title", "division_name", "department_name", "class_name")],
-        strip(F.col("review_text")).alias("review_text"),
+    place = [position] if position else []
+    parsed = raw.select(
+        *place,
+        row_hash(content, position).alias("row_hash"),
+        to_number(F.col("unnamed_0")).alias("review_id"),
+        *[to_number(F.col(c)).alias(c) for c in _NUMERIC],
+        *[strip(F.col(c)).alias(c) for c in (*_NULLABLE_TEXT, "review_text")],
         F.to_json(F.struct(*[f"`{c}`" for c in content]), {"ignoreNullFields": "false"}).alias("raw_payload"),
     )
-    keyed = typed.withColumn("review_key", F.coalesce(F.col("review_id").cast("string"), "row_hash"))
-    return keyed.withColumn(REASON, review_reasons())
+    review_id = F.when(F.col("review_id") == F.floor("review_id"), F.col("review_id").try_cast("bigint"))
+    return parsed.select(
+        F.coalesce(review_id.cast("string"), "row_hash").alias("review_key"),
+        *place,
+        "row_hash",
+        review_id.alias("review_id"),
+        *[truncate_to_int(F.col(c)).alias(c) for c in _NUMERIC],
+        *[F.when(~F.lower(c).isin(*BLANK_WORDS), F.col(c)).alias(c) for c in _NULLABLE_TEXT],
+        "review_text",
+        "raw_payload",
+        review_reasons().alias(REASON),
+    )
 
 
 def split_by_reason(scored: DataFrame, reason: str = REASON) -> tuple[DataFrame, DataFrame]:

@@ -106,8 +106,9 @@ def recent_papers(papers: DataFrame, as_of: Column | None = None, days: int = RE
 def paper_words(papers: DataFrame) -> DataFrame:
     """One row per lower-case word of title and summary; all but ASCII letters and digits separates."""
     text = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("summary", F.lit("")))
-    plain = F.lower(F.regexp_replace(text, "[^a-zA-Z0-9]+", " "))
-    return papers.select("paper_key", F.explode(F.split(plain, " ")).alias("word"))
+    # A split is never empty; the outer form keeps the optimizer from splitting twice to check that.
+    words = papers.select("paper_key", F.explode_outer(F.split(text, "[^a-zA-Z0-9]+")).alias("word"))
+    return words.withColumn("word", F.lower("word"))
 
 
 def keyword_frequency(papers: DataFrame) -> DataFrame:
@@ -132,22 +133,28 @@ def category_cooccurrence(papers: DataFrame, categories: str = "categories") ->
         papers.select(F.sort_array(categories).alias("_all"))
         .groupBy("_all")
         .agg(F.count(F.lit(1)).alias("_papers"))
-        .withColumn("_once", F.array_distinct("_all"))
     )
 
-    def copies(category: Column) -> Column:
-        return F.size(F.filter("_all", lambda x: x == category))
-
-    with_copies = lists.select(
-        "_papers", F.transform("_once", lambda c: F.struct(c.alias("c"), copies(c).alias("n"))).alias("_items")
-    )
-    left = with_copies.select("_papers", "_items", F.posexplode("_items").alias("_i", "_a"))
-    pairs = left.select(
-        "_papers", "_a", F.explode(F.slice("_items", F.col("_i") + 2, F.size("_items"))).alias("_b")
-    )
-    weight = F.col("_papers") * F.col("_a.n") * F.col("_b.n")
-    return pairs.groupBy(F.col("_a.c").alias("category_a"), F.col("_b.c").alias("category_b")).agg(
-        F.sum(weight).alias("co_paper_count")
+    def with_copies(category: Column) -> Column:
+        copies = F.size(F.filter("_all", lambda x: x == category))
+        return F.struct(category.alias("c"), copies.alias("n"))
+
+    def pairs_from(items: Column) -> Column:
+        def pairs_of(a: Column, i: Column) -> Column:
+            later = F.slice(items, i + 2, F.size(items))
+            return F.transform(
+                later, lambda b: F.struct(a["c"].alias("a"), b["c"].alias("b"), (a["n"] * b["n"]).alias("n"))
+            )
+
+        return F.flatten(F.transform(items, pairs_of))
+
+    items = lists.select("_papers", F.transform(F.array_distinct("_all"), with_copies).alias("_items"))
+    # The outer form keeps the optimizer from adding a filter that builds the pairs a second time.
+    pairs = items.select("_papers", F.explode_outer(pairs_from(F.col("_items"))).alias("_pair"))
+    return (
+        pairs.filter(F.col("_pair").isNotNull())
+        .groupBy(F.col("_pair.a").alias("category_a"), F.col("_pair.b").alias("category_b"))
+        .agg(F.sum(F.col("_papers") * F.col("_pair.n")).alias("co_paper_count"))
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from paperloom.functions import feed as ff
-from paperloom.functions.hashing import json_array, json_object, json_or_null, json_string
+from paperloom.functions.hashing import json_array, json_object, json_strings, json_text_object
 from paperloom.functions.text import collapse_whitespace, strip
 from paperloom.functions.values import as_utc_wall_clock, keep_nonblank, parse_iso_timestamp
 
@@ -70,29 +70,54 @@ def page_facts(pages: DataFrame) -> DataFrame:
 def page_entries(pages: DataFrame, position: str = "entry_position") -> DataFrame:
     """One row per entry, keeping the page columns and the position within the page."""
     rest = [c for c in pages.columns if c not in ("totalResults", "entry")]
-    return pages.select(*rest, F.posexplode("entry").alias(position, "entry"))
+    # The outer form keeps the optimizer from adding a filter that parses the page a second time.
+    return pages.select(*rest, F.posexplode_outer("entry").alias(position, "entry")).filter(
+        F.col(position).isNotNull()
+    )
 
 
-def _iso_or_null(ts: Column) -> Column:
+def _iso_text(ts: Column) -> Column:
     clock = as_utc_wall_clock(ts)
-    micros = F.when(F.date_format(clock, "SSSSSS") != "000000", F.date_format(clock, ".SSSSSS"))
-    text = F.concat(F.date_format(clock, "yyyy-MM-dd'T'HH:mm:ss"), F.coalesce(micros, F.lit("")), F.lit("+00:00"))
-    return json_or_null(text)
+    micros = F.replace(F.date_format(clock, ".SSSSSS"), F.lit(".000000"), F.lit(""))
+    return F.concat(F.date_format(clock, "yyyy-MM-dd'T'HH:mm:ss"), micros, F.lit("+00:00"))
 
 
 def _link_json(link: Column) -> Column:
-    names = ("href", "rel", "title", "type")
-    return json_object({n: json_string(link[f"_{n}"]) for n in names}, skip_null=True)
+    return json_text_object({n: link[f"_{n}"] for n in ("href", "rel", "title", "type")}, skip_null=True)
 
 
 def _author_json(author: Column) -> Column:
-    return json_object(
-        {
-            "author_order": author["author_order"].cast("string"),
-            "author_name": json_or_null(author["author_name"]),
-            "affiliation": json_or_null(author["affiliation"]),
-        }
-    )
+    names = json_strings(F.array(author["affiliation"], author["author_name"]))
+    order = F.array(author["author_order"].cast("string"))
+    return json_object(["affiliation", "author_name", "author_order"], F.concat(names, order))
+
+
+# Keys of the audit record in sorted order; three of them are arrays.
+_PAYLOAD_KEYS = (
+    "authors", "categories", "comment", "doi", "full_id", "journal_ref", "links", "paper_key",
+    "primary_category", "published_at", "summary", "title", "updated_at", "versioned_id",
+)
+
+
+def _entry_payload() -> tuple[Column, Column]:
+    """The rendered text fields, to be stored as ``_texts``, and the key-sorted JSON built from them."""
+    arrays = {
+        "authors": json_array(F.transform("authors", _author_json)),
+        "categories": json_array(json_strings(F.col("categories"))),
+        "links": json_array(F.transform("links", _link_json)),
+    }
+    texts = {
+        **{k: F.col(k) for k in _PAYLOAD_KEYS if k not in arrays},
+        "published_at": _iso_text(F.col("published_at")),
+        "updated_at": _iso_text(F.col("updated_at")),
+        "primary_category": F.nullif(F.col("primary_category"), F.lit("")),
+    }
+    rendered = json_strings(F.array(*texts.values()))
+    order = list(texts)
+    runs: list[Column] = []
+    for key in _PAYLOAD_KEYS:
+        runs.append(F.array(arrays[key]) if key in arrays else F.slice(F.col("_texts"), order.index(key) + 1, 1))
+    return rendered, json_object(list(_PAYLOAD_KEYS), F.concat(*runs))
 
 
 def entry_records(entries: DataFrame) -> DataFrame:
@@ -120,18 +145,8 @@ def entry_records(entries: DataFrame) -> DataFrame:
         ff.strip_or_null(F.col(e + "journal_ref")).alias("journal_ref"),
         ff.strip_or_null(F.col(e + "doi")).alias("doi"),
     ).withColumn("paper_key", ff.base_id(F.col("versioned_id")))
-    payload = json_object(
-        {
-            **{n: json_or_null(F.col(n)) for n in (
-                "paper_key", "versioned_id", "full_id", "title", "summary", "comment", "journal_ref", "doi")},
-            "published_at": _iso_or_null(F.col("published_at")),
-            "updated_at": _iso_or_null(F.col("updated_at")),
-            "primary_category": json_or_null(F.nullif(F.col("primary_category"), F.lit(""))),
-            "categories": json_array(F.transform("categories", json_string)),
-            "authors": json_array(F.transform("authors", _author_json)),
-            "links": json_array(F.transform("links", _link_json)),
-        }
-    )
+    texts, payload = _entry_payload()
+    base = base.withColumn("_texts", texts)
     authors, links = F.col("authors"), F.col("links")
     return base.select(
         *rest,
