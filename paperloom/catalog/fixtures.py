@@ -138,7 +138,7 @@ def reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(table(spark, sf_dir, "events", ("event_id", "user_id", "event_type", "props")), REVIEW_EXPRS)
 
 
-# --- feed pages: one per document, a full entry and a defective one ----------------------------
+# --- feed pages: one per document, a defective entry and a full one ----------------------------
 
 FEED_FIELDS = {
     "n": "CAST(doc_id AS STRING)",
@@ -193,7 +193,7 @@ def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         'xmlns:opensearch="http://a9.com/-/spec/opensearch/1.1/">'
         "<opensearch:totalResults>2</opensearch:totalResults><opensearch:startIndex>"
     )
-    xml = F.concat(head, F.col("start_index").cast("string"), F.lit("</opensearch:startIndex>"), good, bad, F.lit("</feed>"))
+    xml = F.concat(head, F.col("start_index").cast("string"), F.lit("</opensearch:startIndex>"), bad, good, F.lit("</feed>"))
     return f.select(F.lit("page-1.xml").alias("page_file"), xml.alias("xml"))
 
 
@@ -286,7 +286,7 @@ def sql_typed(source: str) -> str:
 
 
 _FEED_GOOD = f"""
-SELECT start_index, 0 AS entry_position, '24.' || n AS paper_key, '24.' || n || version AS versioned_id,
+SELECT start_index, 1 AS entry_position, '24.' || n AS paper_key, '24.' || n || version AS versioned_id,
     {sql_collapse('entry_title')} AS title, {sql_collapse('entry_summary')} AS summary,
     CAST('2024-01-' || day || ' ' || hour || ':00:00' AS TIMESTAMP) AS published_at,
     CAST('2024-02-' || day || ' ' || hour || ':30:00' AS TIMESTAMP) - INTERVAL 2 HOUR AS updated_at,
@@ -299,7 +299,7 @@ SELECT start_index, 0 AS entry_position, '24.' || n AS paper_key, '24.' || n ||
 FROM feed_fields
 """
 _FEED_BAD = """
-SELECT start_index, 1, '99' || n, '99' || n || 'v1', '', '', NULL, NULL, '', '', '', NULL, '', '', 1,
+SELECT start_index, 0, '99' || n, '99' || n || 'v1', '', '', NULL, NULL, '', '', '', NULL, '', '', 1,
     'https://arxiv.org/abs/99' || n, NULL, NULL,
     'missing_title;missing_summary;missing_or_invalid_published_at;missing_or_invalid_updated_at;'
     || 'missing_primary_category;authors_without_names'

@@ -22,22 +22,32 @@ PAGE_SCHEMA = f"totalResults bigint, startIndex bigint, entry array<{ENTRY_TYPE}
 XML_OPTIONS = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false"}
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """One row per landed page; a file may hold one page or many."""
-    return _with_file(
-        spark.read.format("xml").options(rowTag="feed", **XML_OPTIONS).schema(T.StructType.fromDDL(PAGE_SCHEMA)).load(path)
-    )
+# Layout of a landing table that holds one page text per row, for feeds of very many pages.
+PAGE_TABLE_SCHEMA = "page_file string, xml string"
+
+
+def read_pages(spark: SparkSession, path: str, page_format: str = "xml") -> DataFrame:
+    """One row per landed page: ``page_file``, ``start_index``, ``totalResults``, ``entry``.
+
+    ``xml`` reads page files as they came, ``parquet`` a landing table of page texts.
+    """
+    return _pages(spark.read, path, page_format)
 
 
-def stream_pages(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+def stream_pages(
+    spark: SparkSession, path: str, page_format: str = "xml", files_per_batch: int | None = None
+) -> DataFrame:
     """The same rows as a stream over the landing folder."""
-    reader = spark.readStream.format("xml").options(rowTag="feed", **XML_OPTIONS)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return _with_file(reader.schema(T.StructType.fromDDL(PAGE_SCHEMA)).load(path))
+    reader = spark.readStream
+    return _pages(reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader, path, page_format)
 
 
-def _with_file(pages: DataFrame) -> DataFrame:
+def _pages(reader, path: str, page_format: str) -> DataFrame:
+    if page_format == "parquet":
+        return parse_pages(reader.schema(PAGE_TABLE_SCHEMA).parquet(path), "xml")
+    if page_format != "xml":
+        raise ValueError(f"Unknown page format: {page_format}")
+    pages = reader.format("xml").options(rowTag="feed", **XML_OPTIONS).schema(T.StructType.fromDDL(PAGE_SCHEMA)).load(path)
     return pages.select(
         F.col("_metadata.file_path").alias("page_file"),
         F.coalesce("startIndex", F.lit(0)).alias("start_index"),

@@ -182,12 +182,13 @@ def ingest_feed(
     load_id: str | None = None,
     max_papers: int = 0,
     sample_path: str | None = None,
+    page_format: str = "xml",
     **settings,
 ) -> DataFrame:
     """Bounded load of all landed pages in the current window; returns the load checks."""
     load_id = load_id or str(uuid4())
     loader = FeedLoader(spark, root, source_name, **settings)
-    scored = loader.load(read_pages(spark, landing), load_id, max_papers)
+    scored = loader.load(read_pages(spark, landing, page_format), load_id, max_papers)
     if sample_path:
         rejects = scored.filter(F.col(REASON) != "").withColumnRenamed(REASON, "reason")
         columns = ["paper_key", "row_hash", "reason", "raw_payload"]
@@ -202,6 +203,7 @@ def stream_feed(
     source_name: str,
     checkpoint: str,
     files_per_batch: int | None = None,
+    page_format: str = "xml",
     **settings,
 ) -> int:
     """Load every page file that landed since the last run, then stop; returns the batches loaded.
@@ -217,7 +219,7 @@ def stream_feed(
         loaded.append(epoch)
 
     query = (
-        stream_pages(spark, landing, files_per_batch)
+        stream_pages(spark, landing, page_format, files_per_batch)
         .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
