@@ -1,7 +1,7 @@
 """Inputs of the catalog: review, paper, author and feed frames derived from the given tables.
 
-Each frame is a narrow projection of one whole table (authors: one aggregation), so a query over it
-costs what the query itself costs. The same expressions, in the oracle's dialect, are the common table
+Each frame is a narrow projection of one whole table, so a query over it costs
+what the query itself costs. The same expressions, in the oracle's dialect, are the common table
 expressions its SQL starts with.
 """
 
@@ -14,10 +14,10 @@ from paperloom.sources.feed import entry_records, page_entries, parse_pages
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, heavy: tuple[str, ...] = ()) -> DataFrame:
-    """A given table; with ``heavy`` just those columns, spread over all cores if the file is small."""
+    """A given table; with ``heavy`` just those columns, spread by the first one if the file is small."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return use_all_cores(scan.select(*heavy)) if heavy else scan
+    return use_all_cores(scan.select(*heavy), heavy[0]) if heavy else scan
 
 
 def _select(exprs: dict[str, str], table_name: str) -> str:
@@ -74,23 +74,17 @@ def papers(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
 
 # --- authors: one per order line ---------------------------------------------------------------
 
-AUTHORS_SQL = """
-SELECT CAST(l_orderkey AS STRING) AS paper_key, CAST(l_linenumber AS INT) AS author_order,
-       'Supplier#' || CAST(min(l_suppkey) AS STRING) AS author_name,
-       CAST(NULL AS STRING) AS affiliation, 'b' || CAST(l_orderkey % 4 AS STRING) AS batch_id
-FROM lineitem GROUP BY l_orderkey, l_linenumber
-"""
+AUTHOR_EXPRS = {
+    "paper_key": "CAST(l_orderkey AS STRING)",
+    "author_order": "CAST(l_linenumber AS INT)",
+    "author_name": "'Supplier#' || CAST(l_suppkey AS STRING)",
+    "affiliation": "CAST(NULL AS STRING)",
+    "batch_id": "'b' || CAST(l_orderkey % 4 AS STRING)",
+}
 
 
 def authors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_suppkey").alias("s"))
-    return lines.selectExpr(
-        "CAST(l_orderkey AS STRING) AS paper_key",
-        "CAST(l_linenumber AS INT) AS author_order",
-        "'Supplier#' || CAST(s AS STRING) AS author_name",
-        "CAST(NULL AS STRING) AS affiliation",
-        "'b' || CAST(l_orderkey % 4 AS STRING) AS batch_id",
-    )
+    return derive(table(spark, sf_dir, "lineitem"), AUTHOR_EXPRS)
 
 
 # --- category lists: one per order line, repeats on purpose ------------------------------------
@@ -378,7 +372,7 @@ SELECT id, CASE WHEN row_number() OVER (ORDER BY sha256('42|' || id)) <= floor((
 
 _CTES = {
     "papers": (_select(PAPER_EXPRS, "documents"), ()),
-    "authors": (AUTHORS_SQL, ()),
+    "authors": (_select(AUTHOR_EXPRS, "lineitem"), ()),
     "category_lists": (_select(CATEGORY_EXPRS, "lineitem"), ()),
     "reviews": (_select(REVIEW_EXPRS, "events"), ()),
     "typed": (sql_typed("reviews"), ("reviews",)),

@@ -9,6 +9,7 @@ from paperloom.catalog.registry import query
 from paperloom.operators import quality, reports
 from paperloom.operators.chunking import chunk_records, nonblank_sources
 from paperloom.plans import views
+from paperloom.session import land
 from paperloom.sources import tables
 from paperloom.streaming.feed_ingest import cap_at_clean_rows
 
@@ -32,7 +33,8 @@ def dq_paper_rules(spark, sf_dir):
     ("typed",),
 )
 def dq_split(spark, sf_dir):
-    scored = quality.typed_reviews(fx.reviews_raw(spark, sf_dir)).select("row_number", quality.REASON)
+    # Landed, as in a load: both outcomes read the scored rows.
+    scored = land(quality.typed_reviews(fx.reviews_raw(spark, sf_dir)), "scored-reviews")
     clean, rejected = quality.split_by_reason(scored)
     return clean.select("row_number", F.lit("clean").alias("outcome")).unionByName(
         rejected.select("row_number", F.lit("rejected").alias("outcome"))
@@ -170,7 +172,7 @@ FROM papers"""
     ("papers",),
 )
 def j_lateral_explode(spark, sf_dir):
-    words = views.paper_words(fx.papers(spark, sf_dir, heavy=True)).filter("word <> ''")
+    words = views.paper_words(fx.papers(spark, sf_dir, heavy=True))
     return words.groupBy("paper_key", "word").agg(F.count(F.lit(1)).alias("copies"))
 
 

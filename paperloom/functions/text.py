@@ -17,6 +17,8 @@ WHITESPACE = (
 _UNEVEN_RUN = (
     f"(?:{WHITESPACE_CLASS.replace('x20', 'x1f', 1)}{WHITESPACE_CLASS}*| {WHITESPACE_CLASS}+)"
 )
+# A character that is no whitespace; plain ASCII is tested first.
+_WORD_CHAR = f"[!-~{WHITESPACE_CLASS.replace('[', '[^', 1)}]"
 # Trimmed text that counts as missing, in lower case.
 BLANK_WORDS = ("", "nan", "none")
 # Fixed value: the key point given to a text without sentences.
@@ -35,7 +37,7 @@ def collapse_whitespace(c: Column) -> Column:
 
 def is_blank(c: Column) -> Column:
     """True for NULL and for text of whitespace only; stops at the first other character."""
-    return ~F.coalesce(c, F.lit("")).rlike(WHITESPACE_CLASS.replace("[", "[^", 1))
+    return ~F.coalesce(c, F.lit("")).rlike(_WORD_CHAR)
 
 
 def counts_as_missing(c: Column) -> Column:
@@ -50,8 +52,16 @@ def blank_to_null(c: Column) -> Column:
 
 def word_count(c: Column) -> Column:
     """Number of whitespace-separated words; 0 for empty and NULL text."""
-    flat = collapse_whitespace(c)
-    return F.when(flat == "", F.lit(0)).otherwise(F.size(F.split(flat, " ")))
+    return F.regexp_count(F.coalesce(c, F.lit("")), F.lit(_WORD_CHAR + "+"))
+
+
+def has_words(c: Column, count: int) -> Column:
+    """True for text of at least ``count`` words; reads no further than the last word it needs."""
+    if count <= 0:
+        return F.lit(True)
+    return F.coalesce(c, F.lit("")).rlike(
+        f"^{WHITESPACE_CLASS}*+(?:{_WORD_CHAR}++{WHITESPACE_CLASS}++){{{count - 1}}}{_WORD_CHAR}"
+    )
 
 
 def flat_word_count(flat: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paperloom.functions.text import (
-    bullet_points, flat_sentences, is_blank, leading_sentences, word_count,
+    bullet_points, flat_sentences, has_words, is_blank, leading_sentences, word_count,
 )
 
 # Task names and instruction texts, in record order.
@@ -87,13 +87,16 @@ def average_output_words(records: DataFrame) -> DataFrame:
 
 
 def _alpaca_faults(min_input_words: int, min_output_words: int) -> dict[str, Column]:
-    needed = F.when(F.col("task_type") == "classify", 1).otherwise(min_output_words)
+    output = F.col("output")
+    long_enough = F.when(F.col("task_type") == "classify", has_words(output, 1)).otherwise(
+        has_words(output, min_output_words)
+    )
     return {
         "empty_instruction": is_blank(F.col("instruction")),
         "empty_input": is_blank(F.col("input")),
         "empty_output": is_blank(F.col("output")),
-        "input_too_short": word_count(F.col("input")) < min_input_words,
-        "output_too_short": word_count(F.col("output")) < needed,
+        "input_too_short": ~has_words(F.col("input"), min_input_words),
+        "output_too_short": ~long_enough,
     }
 
 

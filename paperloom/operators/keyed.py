@@ -17,6 +17,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from paperloom.session import land
+
 
 def dedupe_last(batch: DataFrame, keys: list[str], sequence: list[str]) -> DataFrame:
     """The last row of each key by ``sequence``; ties fall to the larger remaining values.
@@ -39,22 +41,26 @@ def merge(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     return kept.unionByName(batch.select(*target.columns))
 
 
+def last_per_key(batch: DataFrame, keys: list[str], sequence: list[str]) -> DataFrame:
+    """``dedupe_last`` in which rows with a NULL in the key never meet each other and all stay."""
+    if not any(batch.schema[k].nullable for k in keys):
+        return dedupe_last(batch, keys, sequence)
+    lone = "_lone_row"
+    has_null = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    marked = batch.withColumn(lone, F.when(has_null, F.monotonically_increasing_id()))
+    return dedupe_last(marked, [*keys, lone], sequence).drop(lone)
+
+
 def upsert(
     target: DataFrame, batch: DataFrame, keys: list[str], sequence: list[str], stamp: dict[str, Column] | None = None
 ) -> DataFrame:
     """Last row per key of ``batch`` into ``target``; ``stamp`` sets columns such as the load time.
 
-    Rows of the batch with a NULL key are all appended.
+    The reduced batch is landed: the merge reads it twice, as keys and as rows. Rows of the batch with
+    a NULL key are all appended.
     """
-    return merge(target, last_per_key(batch, keys, sequence).withColumns(stamp or {}), keys)
-
-
-def last_per_key(batch: DataFrame, keys: list[str], sequence: list[str]) -> DataFrame:
-    """``dedupe_last`` for rows with a full key; rows with a NULL in the key stay as they are."""
-    has_key = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
-    nullable = any(batch.schema[k].nullable for k in keys)
-    deduped = dedupe_last(batch.filter(has_key) if nullable else batch, keys, sequence)
-    return deduped.unionByName(batch.filter(~has_key)) if nullable else deduped
+    changes = land(last_per_key(batch, keys, sequence).withColumns(stamp or {}), "upsert-batch")
+    return merge(target, changes, keys)
 
 
 _COMMIT_SCHEMA = "seq bigint, kind string, path string, commit_id string"
@@ -78,8 +84,13 @@ class KeyedTable:
             raise
 
     def _commit(self, seq: int, kind: str, path: str, commit_id: str) -> None:
-        row = self.spark.createDataFrame([(seq, kind, path, commit_id)], _COMMIT_SCHEMA)
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+        row = self.spark.range(1, numPartitions=1).select(
+            F.lit(seq).cast("bigint").alias("seq"),
+            F.lit(kind).alias("kind"),
+            F.lit(path).alias("path"),
+            F.lit(commit_id).alias("commit_id"),
+        )
+        row.write.mode("append").parquet(f"{self.root}/commits")
 
     def _read(self, path: str) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(f"{self.root}/{path}")

@@ -10,13 +10,19 @@ _SALT = "_salt"
 
 
 def frequent_keys(df: DataFrame, key: str, share: float = FREQUENT_SHARE) -> list:
-    """Every key with more than ``share`` of the rows, and possibly some rarer ones.
+    """Every key with more than ``share`` of the rows.
 
-    One pass without a shuffle; the list never has more than ``1/share`` items. It only decides how
+    Two narrow passes without a wide shuffle: the first gives at most ``1/share`` candidates and
+    misses no frequent key, the second counts just those against the total. The list only decides how
     rows are spread, never which rows are kept.
     """
-    found = df.select(key).freqItems([key], share).first()[0]
-    return [k for k in (found or []) if k is not None]
+    candidates = [k for k in (df.select(key).freqItems([key], share).first()[0] or []) if k is not None]
+    if not candidates:
+        return []
+    candidate = F.when(F.col(key).isin(candidates), F.col(key)).alias("k")
+    counts = df.groupBy(candidate).agg(F.count(F.lit(1)).alias("n")).collect()
+    total = sum(row.n for row in counts)
+    return [row.k for row in counts if row.k is not None and row.n > share * total]
 
 
 def salted_join(

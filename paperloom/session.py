@@ -46,11 +46,11 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def use_all_cores(scan: DataFrame) -> DataFrame:
-    """Spread a plain file scan of fewer splits than cores; any larger scan stays as it is.
+def use_all_cores(scan: DataFrame, key: str) -> DataFrame:
+    """Spread a plain file scan of fewer splits than cores by ``key``; any larger scan stays as it is.
 
-    For small inputs in front of heavy text work. Use it on a scan only: asking a plan with shuffles
-    for its partitions would run it.
+    For small inputs in front of heavy text work; ``key`` is unique, so the spread is even. Use it on
+    a scan only: asking a plan with shuffles for its partitions would run it.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
