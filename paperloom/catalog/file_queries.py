@@ -200,7 +200,7 @@ def sink_jsonl(spark, sf_dir):
 )
 def sink_reject_sample(spark, sf_dir):
     # A sample of the first 100 rejects is the feature.
-    rejected = quality.split_by_reason(quality.typed_reviews(fx.reviews_raw(spark, sf_dir)))[1]
+    rejected = quality.split_by_reason(fx.scored_reviews(spark, sf_dir))[1]
     path = fresh_path(spark, "reject-sample")
     columns = ["row_hash", "row_number", quality.REASON, "raw_payload"]
     files.write_reject_sample(rejected, path, ["row_number"], columns)

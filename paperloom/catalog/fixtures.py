@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperloom.session import use_all_cores
+from paperloom.operators.quality import REASON, paper_reasons, typed_reviews
+from paperloom.session import land, use_all_cores
 from paperloom.sources.feed import entry_records, page_entries, parse_pages
 
 
@@ -132,6 +133,14 @@ def reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(table(spark, sf_dir, "events", ("event_id", "user_id", "event_type", "props")), REVIEW_EXPRS)
 
 
+def scored_reviews(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
+    """Typed reviews with their reasons, landed as in a load.
+
+    Filtering the reasons on the fly would parse each text again for every rule that reads it.
+    """
+    return land(typed_reviews(reviews_raw(spark, sf_dir) if raw is None else raw), "scored-reviews")
+
+
 # --- feed pages: one per document, a defective entry and a full one ----------------------------
 
 FEED_FIELDS = {
@@ -195,6 +204,11 @@ def feed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entry_records(page_entries(parse_pages(feed_pages(spark, sf_dir), "xml")))
 
 
+def scored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed records with their reasons, landed as in a load."""
+    return land(feed_records(spark, sf_dir).withColumn(REASON, paper_reasons()), "scored-records")
+
+
 # --- the oracle's side -------------------------------------------------------------------------
 
 # The whitespace class and characters, in the oracle's spelling.

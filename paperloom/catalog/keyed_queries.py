@@ -131,8 +131,8 @@ _CLEAN = (
 )
 
 
-def _scored_batch(raw: DataFrame, batch: str) -> tuple[DataFrame, DataFrame]:
-    clean, rejected = quality.split_by_reason(quality.typed_reviews(raw))
+def _scored_batch(spark, sf_dir, raw: DataFrame, batch: str) -> tuple[DataFrame, DataFrame]:
+    clean, rejected = quality.split_by_reason(fx.scored_reviews(spark, sf_dir, raw))
     tag = F.lit(batch).alias("batch_id")
     return clean.select(*_CLEAN.split(", "), tag), rejected.select("row_hash", "row_number", quality.REASON, tag)
 
@@ -143,8 +143,8 @@ def _clean_sql(source: str, batch: str) -> str:
 
 @query("up_clean_reviews", _merged(_clean_sql("reviews", "b1"), _clean_sql(_review_batch_sql(), "b2"), "review_key"), ("reviews",))
 def up_clean_reviews(spark, sf_dir):
-    target = _scored_batch(fx.reviews_raw(spark, sf_dir), "b1")[0]
-    batch = _scored_batch(_review_batch(spark, sf_dir), "b2")[0]
+    target = _scored_batch(spark, sf_dir, fx.reviews_raw(spark, sf_dir), "b1")[0]
+    batch = _scored_batch(spark, sf_dir, _review_batch(spark, sf_dir), "b2")[0]
     return keyed.upsert(target, batch, ["review_key"], ["row_number"])
 
 
@@ -161,8 +161,8 @@ def _rejected_sql(source: str, batch: str) -> str:
     ("reviews",),
 )
 def up_rejected_reviews(spark, sf_dir):
-    target = _scored_batch(fx.reviews_raw(spark, sf_dir), "b1")[1]
-    batch = _scored_batch(_review_batch(spark, sf_dir), "b2")[1]
+    target = _scored_batch(spark, sf_dir, fx.reviews_raw(spark, sf_dir), "b1")[1]
+    batch = _scored_batch(spark, sf_dir, _review_batch(spark, sf_dir), "b2")[1]
     return keyed.upsert(target, batch, ["row_hash"], ["row_number"])
 
 
@@ -177,7 +177,7 @@ def _entries_sql(columns: str, where: str = "true") -> str:
 
 def _entry_loads(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Two loads of the feed records with their reasons; the second one with half of the keys moved."""
-    scored = fx.feed_records(spark, sf_dir).withColumn(quality.REASON, quality.paper_reasons())
+    scored = fx.scored_records(spark, sf_dir)
     second = scored.withColumn("paper_key", F.expr(_ENTRY_BATCH))
     return (
         scored.withColumns({"batch_id": F.lit("b1"), "page_number": F.lit(1)}),
@@ -237,7 +237,7 @@ def up_rejected_entries(spark, sf_dir):
 )
 def up_authors(spark, sf_dir):
     """Author rows loaded twice from the clean records: the second load replaces, adds nothing."""
-    scored = fx.feed_records(spark, sf_dir).withColumn(quality.REASON, quality.paper_reasons())
+    scored = fx.scored_records(spark, sf_dir)
     clean = quality.split_by_reason(scored.withColumn("page_file", F.lit("page-1.xml")))[0]
     rows = author_rows(clean).select("paper_key", "author_order", "author_name", "start_index")
     return keyed.upsert(rows.drop("start_index"), rows, ["paper_key", "author_order"], ["start_index"])

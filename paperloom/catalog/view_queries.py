@@ -9,7 +9,6 @@ from paperloom.catalog.registry import query
 from paperloom.operators import quality, reports
 from paperloom.operators.chunking import chunk_records, nonblank_sources
 from paperloom.plans import views
-from paperloom.session import land
 from paperloom.sources import tables
 from paperloom.streaming.feed_ingest import cap_at_clean_rows
 
@@ -33,9 +32,7 @@ def dq_paper_rules(spark, sf_dir):
     ("typed",),
 )
 def dq_split(spark, sf_dir):
-    # Landed, as in a load: both outcomes read the scored rows.
-    scored = land(quality.typed_reviews(fx.reviews_raw(spark, sf_dir)), "scored-reviews")
-    clean, rejected = quality.split_by_reason(scored)
+    clean, rejected = quality.split_by_reason(fx.scored_reviews(spark, sf_dir))
     return clean.select("row_number", F.lit("clean").alias("outcome")).unionByName(
         rejected.select("row_number", F.lit("rejected").alias("outcome"))
     )
@@ -246,7 +243,7 @@ def state_rows(spark, sf_dir):
 )
 def agg_ingest_health(spark, sf_dir):
     raw = fx.reviews_raw(spark, sf_dir)
-    rejected = quality.split_by_reason(quality.typed_reviews(raw))[1]
+    rejected = quality.split_by_reason(fx.scored_reviews(spark, sf_dir, raw))[1]
     return views.ingest_health(
         state_rows(spark, sf_dir), fx.papers(spark, sf_dir), fx.authors(spark, sf_dir), raw, rejected
     )
@@ -284,7 +281,7 @@ def agg_category_cooccurrence(spark, sf_dir):
     ("typed",),
 )
 def agg_rating_distribution(spark, sf_dir):
-    clean = quality.split_by_reason(quality.typed_reviews(fx.reviews_raw(spark, sf_dir)))[0]
+    clean = quality.split_by_reason(fx.scored_reviews(spark, sf_dir))[0]
     return quality.rating_distribution(clean)
 
 
@@ -363,7 +360,7 @@ def sort_key_order(spark, sf_dir):
     ("typed",),
 )
 def sort_limit_topk(spark, sf_dir):
-    rejected = quality.split_by_reason(quality.typed_reviews(fx.reviews_raw(spark, sf_dir)))[1]
+    rejected = quality.split_by_reason(fx.scored_reviews(spark, sf_dir))[1]
     return rejected.orderBy("row_number").limit(100).select("row_number", "row_hash", "reject_reason")
 
 
@@ -376,6 +373,6 @@ def sort_limit_topk(spark, sf_dir):
 )
 def sort_feed_cap(spark, sf_dir):
     # The cap is the feature: the first entries that hold 100 clean ones.
-    scored = fx.feed_records(spark, sf_dir).withColumn(quality.REASON, quality.paper_reasons())
+    scored = fx.scored_records(spark, sf_dir)
     capped = cap_at_clean_rows(scored, 100, ("start_index", "entry_position"))
     return capped.select("versioned_id", quality.REASON)

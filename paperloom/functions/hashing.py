@@ -24,7 +24,7 @@ SHORT_ESCAPES = (
 
 # Characters with a short escape or below space, and all that ASCII output must escape.
 _SHORT_OR_CONTROL = r'["\\\x00-\x1f]'
-_NOT_PLAIN = r"[^\x20-\x7f]"
+_NOT_PLAIN = r"[^\x20-\x7e]"
 
 
 def _short_escapes(text: Column) -> Column:
