@@ -142,13 +142,20 @@ class KeyedTable:
             self.fold()
         return True
 
-    def replace(self, rows: DataFrame) -> None:
-        """Make ``rows`` (one per key) the whole content, for deletes and rebuilt snapshots."""
+    def replace(self, rows: DataFrame, commit_id: str | None = None) -> bool:
+        """Make ``rows`` (one per key) the whole content, for deletes and rebuilt snapshots.
+
+        Returns False when ``commit_id`` is already in.
+        """
+        commit_id = commit_id or uuid4().hex
         commits = self._commits()
+        if any(c.commit_id == commit_id for c in commits):
+            return False
         path = f"base/{uuid4().hex}"
         columns = [F.col(f.name).cast(f.dataType) for f in self.schema.fields]
         rows.select(*columns).write.parquet(f"{self.root}/{path}")
-        self._commit(commits[-1].seq + 1 if commits else 0, "base", path, uuid4().hex)
+        self._commit(commits[-1].seq + 1 if commits else 0, "base", path, commit_id)
+        return True
 
     def fold(self) -> None:
         """Write the current rows as the new base."""

@@ -7,6 +7,7 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from paperloom.operators.keyed import last_per_key
 from paperloom.operators.quality import REASON, paper_checks, paper_reasons, split_by_reason
 from paperloom.plans.tables import CLEAN_PAPERS, INGEST_STATE, PAPER_AUTHORS, RAW_ENTRIES, REJECTED_ENTRIES
 from paperloom.plans.views import in_categories, submitted_between
@@ -159,14 +160,17 @@ class FeedLoader:
         return scored
 
     def _load_authors(self, clean: DataFrame, load_id: str) -> None:
-        rows = author_rows(clean).withColumn("batch_id", F.lit(load_id))
-        if self.replace_children:
-            # Optional: drop author rows of reloaded papers that the new record no longer has.
-            kept = self.authors.current().join(clean.select("paper_key"), "paper_key", "left_anti")
-            self.authors.replace(land(kept, "kept-authors"))
-        self.authors.upsert(
-            rows, list(FEED_ORDER), f"{load_id}-authors", {"loaded_at": F.current_timestamp()}
-        )
+        order, stamp = list(FEED_ORDER), {"loaded_at": F.current_timestamp()}
+        commit_id = f"{load_id}-authors"
+        if not self.replace_children:
+            rows = author_rows(clean).withColumn("batch_id", F.lit(load_id))
+            self.authors.upsert(rows, order, commit_id, stamp)
+            return
+        # Optional: a reloaded paper keeps only the authors of its last record, in one commit.
+        last = last_per_key(clean.select("paper_key", "authors", *order), ["paper_key"], order)
+        rows = author_rows(last).withColumn("batch_id", F.lit(load_id)).withColumns(stamp)
+        kept = self.authors.current().join(clean.select("paper_key"), "paper_key", "left_anti")
+        self.authors.replace(kept.unionByName(rows.select(*kept.columns)), commit_id)
 
     def checks(self, load_id: str) -> DataFrame:
         return paper_checks(
