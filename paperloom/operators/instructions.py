@@ -59,20 +59,25 @@ def alpaca_records(chunks: DataFrame) -> DataFrame:
     )
 
 
-def chat_records(alpaca: DataFrame) -> DataFrame:
-    """Two-message records derived row by row; extra columns such as ``split`` are kept."""
+def chat_messages() -> Column:
+    """The two messages of an instruction record."""
 
     def message(role: str, content: Column) -> Column:
         return F.struct(F.lit(role).alias("role"), content.alias("content"))
 
     question = F.concat(F.lit("Instruction: "), F.col("instruction"), F.lit("\n\nInput:\n"), F.col("input"))
+    return F.array(message("user", question), message("assistant", F.col("output")))
+
+
+def chat_records(alpaca: DataFrame) -> DataFrame:
+    """Two-message records derived row by row; extra columns such as ``split`` are kept."""
     fixed = ("id", "task_type", "paper_key", "chunk_id", "instruction", "input", "output", "metadata")
     return alpaca.select(
         "id",
         "task_type",
         "paper_key",
         "chunk_id",
-        F.array(message("user", question), message("assistant", F.col("output"))).alias("messages"),
+        chat_messages().alias("messages"),
         "metadata",
         *[c for c in alpaca.columns if c not in fixed],
     )
@@ -173,3 +178,11 @@ def validate_alpaca(
 
 def validate_chat(records: DataFrame) -> None:
     _raise_on(chat_fault_counts(records), "chat")
+
+
+def validate_both(
+    records: DataFrame, min_input_words: int = MIN_INPUT_WORDS, min_output_words: int = MIN_OUTPUT_WORDS
+) -> None:
+    """Both validations of alpaca records and the chat records made of them, in one pass."""
+    faults = {**_alpaca_faults(min_input_words, min_output_words), **_chat_faults()}
+    _raise_on(_fault_counts(records.withColumn("messages", chat_messages()), faults), "instruction")

@@ -32,17 +32,19 @@ def build_payload(
     """Write both record formats below ``out``, split into train and val, and the manifest row.
 
     Chunks are landed once; records are narrow projections of them. Nothing is written before both
-    validations pass. Files are laid out as ``<format>/split=train|val``, so the whole set is the
+    record formats are validated. Files are laid out as ``<format>/split=train|val``, so the whole set is the
     folder itself and no record is stored twice per format.
     """
-    source = require_nonempty(text_projection(papers, max_papers=max_papers, ordered=False), "payload source")
+    source = text_projection(papers, max_papers=max_papers, ordered=False)
     chunks = land(
         chunking.chunk_records(source, max_chunk_words, chunk_overlap_words, min_input_words), "chunks"
     )
-    require_nonempty(chunks, "chunk set")
+    if chunks.isEmpty():
+        # Only now is the source looked at on its own: this tells which of the two is empty.
+        require_nonempty(source, "payload source")
+        raise ValueError("No chunk of the source is long enough")
     alpaca = ins.alpaca_records(chunks)
-    ins.validate_alpaca(alpaca, min_input_words, min_output_words)
-    ins.validate_chat(ins.chat_records(alpaca))
+    ins.validate_both(alpaca, min_input_words, min_output_words)
     units = None if split_unit == "id" else alpaca.select(split_unit).distinct()
     split = assign_split(alpaca, split_unit, train_ratio, split_seed, units)
     paths = {name: f"{out}/{name}" for name in ("alpaca", "chat")}

@@ -85,6 +85,9 @@ def test_validation_raises_and_names_the_rule(spark):
         ins.validate_alpaca(good.withColumn("output", F.lit(" ")))
     with pytest.raises(ValueError, match="input_too_short"):
         ins.validate_alpaca(good, min_input_words=10_000)
+    ins.validate_both(good)
+    with pytest.raises(ValueError, match="empty_output=.*empty_assistant_content="):
+        ins.validate_both(good.withColumn("output", F.lit(" ")))
     chat = ins.chat_records(good)
     with pytest.raises(ValueError, match="message_count"):
         ins.validate_chat(chat.withColumn("messages", F.slice("messages", 1, 1)))
