@@ -2,9 +2,10 @@
 
 A ``KeyedTable`` is a base folder plus small change folders, named in an append-only list of commits.
 An upsert writes only its batch; reading keeps the base rows that no change replaces and adds the
-changes. Folding the changes into a new base is a separate, rare step. So the cost of an upsert grows
-with the batch, and a read is one scan of the base with an anti-join against the changed keys, which
-Spark broadcasts when they are few and shuffles when they are many.
+changes. So the cost of an upsert grows with the batch, and a read is one scan of the base with an
+anti-join against the changed keys, which Spark broadcasts when they are few and shuffles when they are
+many. After some commits the change folders are combined into one; the base is rewritten only once the
+changes have grown to a fair share of it.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from paperloom.session import land
+from paperloom.sinks.files import stored_bytes
 
 
 def dedupe_last(batch: DataFrame, keys: list[str], sequence: list[str]) -> DataFrame:
@@ -35,9 +37,17 @@ def dedupe_last(batch: DataFrame, keys: list[str], sequence: list[str]) -> DataF
 def merge(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """``target`` with the rows of ``batch`` inserted or replaced; ``batch`` has one row per key.
 
-    A NULL in a key never matches, so such rows of both sides stay.
+    A NULL in a key never matches, so such rows of both sides stay. They are given a spread number as
+    an extra join column, or the shuffle would send them all to one task.
     """
-    kept = target.join(batch.select(*keys), keys, "left_anti")
+    spread = "_spread"
+    has_null = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    spread_nulls = F.when(has_null, F.monotonically_increasing_id()).otherwise(F.lit(0))
+    # Always 0, but not a constant to the optimizer, which would take it out of the join columns.
+    zero = F.pmod(F.hash(*keys), F.lit(1)).cast("bigint")
+    left = target.withColumn(spread, spread_nulls)
+    right = batch.select(*keys, zero.alias(spread))
+    kept = left.join(right, [*keys, spread], "left_anti").drop(spread)
     return kept.unionByName(batch.select(*target.columns))
 
 
@@ -99,20 +109,37 @@ class KeyedTable:
         """The rows as they are after the last commit."""
         return self._state(self._commits())
 
-    def _state(self, commits: list) -> DataFrame:
-        bases = [c for c in commits if c.kind == "base"]
-        base_seq = bases[-1].seq if bases else -1
-        changes = [c for c in commits if c.kind == "change" and c.seq > base_seq]
-        base = self._read(bases[-1].path) if bases else self.spark.createDataFrame([], self.schema)
-        if not changes:
-            return base
+    @staticmethod
+    def _live(commits: list) -> tuple:
+        """The last base commit (or None) and the change commits on top of it, oldest first.
+
+        A combined change stands for all changes before it.
+        """
+        base, changes = None, []
+        for commit in commits:
+            if commit.kind == "base":
+                base, changes = commit, []
+            elif commit.kind == "combined":
+                changes = [commit]
+            else:
+                changes.append(commit)
+        return base, changes
+
+    def _latest_changes(self, changes: list) -> DataFrame:
         order = "_change"
         stacked = reduce(
             DataFrame.unionByName, [self._read(c.path).withColumn(order, F.lit(c.seq)) for c in changes]
         )
         latest = last_per_key(stacked, list(self.keys), [order]) if len(changes) > 1 else stacked
-        latest = latest.drop(order)
-        return merge(base, latest, list(self.keys)) if bases else latest
+        return latest.drop(order)
+
+    def _state(self, commits: list) -> DataFrame:
+        base, changes = self._live(commits)
+        rows = self._read(base.path) if base else self.spark.createDataFrame([], self.schema)
+        if not changes:
+            return rows
+        latest = self._latest_changes(changes)
+        return merge(rows, latest, list(self.keys)) if base else latest
 
     def upsert(
         self,
@@ -120,7 +147,7 @@ class KeyedTable:
         sequence: list[str],
         commit_id: str | None = None,
         stamp: dict[str, Column] | None = None,
-        fold_after: int = 16,
+        combine_after: int = 16,
     ) -> bool:
         """Commit the last row per key of ``batch``. Returns False when ``commit_id`` is already in.
 
@@ -132,15 +159,31 @@ class KeyedTable:
         if any(c.commit_id == commit_id for c in commits):
             return False
         changes = last_per_key(batch, list(self.keys), sequence).withColumns(stamp or {})
+        self._store(changes, "change", commit_id, commits)
+        if len(self._live(commits)[1]) + 1 >= combine_after:
+            self.combine()
+        return True
+
+    def _store(self, rows: DataFrame, kind: str, commit_id: str, commits: list) -> str:
+        path = f"{kind}/{uuid4().hex}"
         columns = [F.col(f.name).cast(f.dataType) for f in self.schema.fields]
-        path = f"changes/{uuid4().hex}"
-        changes.select(*columns).write.parquet(f"{self.root}/{path}")
-        seq = commits[-1].seq + 1 if commits else 0
-        self._commit(seq, "change", path, commit_id)
-        last_base = max((c.seq for c in commits if c.kind == "base"), default=-1)
-        if seq - last_base >= fold_after:
+        rows.select(*columns).write.parquet(f"{self.root}/{path}")
+        self._commit(commits[-1].seq + 1 if commits else 0, kind, path, commit_id)
+        return path
+
+    def combine(self, base_share: float = 0.25) -> None:
+        """Write all changes as one. Fold them into the base once they reach ``base_share`` of its size."""
+        commits = self._commits()
+        base, changes = self._live(commits)
+        if base is None:
             self.fold()
-        return True
+        elif changes:
+            path = self._store(self._latest_changes(changes), "combined", uuid4().hex, commits)
+            if self._bytes(path) >= base_share * self._bytes(base.path):
+                self.fold()
+
+    def _bytes(self, path: str) -> int:
+        return stored_bytes(self.spark, f"{self.root}/{path}").first().size_bytes
 
     def replace(self, rows: DataFrame, commit_id: str | None = None) -> bool:
         """Make ``rows`` (one per key) the whole content, for deletes and rebuilt snapshots.
@@ -151,10 +194,7 @@ class KeyedTable:
         commits = self._commits()
         if any(c.commit_id == commit_id for c in commits):
             return False
-        path = f"base/{uuid4().hex}"
-        columns = [F.col(f.name).cast(f.dataType) for f in self.schema.fields]
-        rows.select(*columns).write.parquet(f"{self.root}/{path}")
-        self._commit(commits[-1].seq + 1 if commits else 0, "base", path, commit_id)
+        self._store(rows, "base", commit_id, commits)
         return True
 
     def fold(self) -> None:

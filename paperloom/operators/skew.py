@@ -36,12 +36,14 @@ def salted_join(
     still meets the one row of its key.
     """
     hot = frequent_keys(large, key, share)
-    if not hot:
+    if not hot and how != "left_anti":
         return large.join(unique, key, how)
     salts = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     is_hot: Column = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    # Rows without a key survive an anti-join only; spread too, they match nothing on any salt.
+    scattered = is_hot | F.col(key).isNull() if how == "left_anti" else is_hot
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    left = large.withColumn(_SALT, F.when(is_hot, spread).otherwise(F.lit(0)))
+    left = large.withColumn(_SALT, F.when(scattered, spread).otherwise(F.lit(0)))
     right = unique.withColumn(_SALT, F.explode(copies))
     return left.join(right, [key, _SALT], how).drop(_SALT)

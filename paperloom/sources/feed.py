@@ -26,12 +26,15 @@ XML_OPTIONS = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false"}
 PAGE_TABLE_SCHEMA = "page_file string, xml string"
 
 
-def read_pages(spark: SparkSession, path: str, page_format: str = "xml") -> DataFrame:
+def read_pages(
+    spark: SparkSession, path: str, page_format: str = "xml", landed_after: str | None = None
+) -> DataFrame:
     """One row per landed page: ``page_file``, ``start_index``, ``totalResults``, ``entry``.
 
     ``xml`` reads page files as they came, ``parquet`` a landing table of page texts.
     """
-    return _pages(spark.read, path, page_format)
+    reader = spark.read
+    return _pages(reader.option("modifiedAfter", landed_after) if landed_after else reader, path, page_format)
 
 
 def stream_pages(

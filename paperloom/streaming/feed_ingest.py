@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paperloom.operators.keyed import last_per_key
 from paperloom.operators.quality import REASON, paper_checks, paper_reasons, split_by_reason
+from paperloom.operators.skew import salted_join
 from paperloom.plans.tables import CLEAN_PAPERS, INGEST_STATE, PAPER_AUTHORS, RAW_ENTRIES, REJECTED_ENTRIES
 from paperloom.plans.views import in_categories, submitted_between
 from paperloom.session import land
@@ -169,7 +170,9 @@ class FeedLoader:
         # Optional: a reloaded paper keeps only the authors of its last record, in one commit.
         last = last_per_key(clean.select("paper_key", "authors", *order), ["paper_key"], order)
         rows = author_rows(last).withColumn("batch_id", F.lit(load_id)).withColumns(stamp)
-        kept = self.authors.current().join(clean.select("paper_key"), "paper_key", "left_anti")
+        kept = salted_join(
+            self.authors.current(), last.select("paper_key"), "paper_key", "left_anti", ["author_order"]
+        )
         self.authors.replace(kept.unionByName(rows.select(*kept.columns)), commit_id)
 
     def checks(self, load_id: str) -> DataFrame:
@@ -187,12 +190,16 @@ def ingest_feed(
     max_papers: int = 0,
     sample_path: str | None = None,
     page_format: str = "xml",
+    landed_after: str | None = None,
     **settings,
 ) -> DataFrame:
-    """Bounded load of all landed pages in the current window; returns the load checks."""
+    """Bounded load of the landed pages in the current window; returns the load checks.
+
+    ``landed_after`` (``YYYY-MM-DDTHH:mm:ss``) skips files that landed earlier without opening them.
+    """
     load_id = load_id or str(uuid4())
     loader = FeedLoader(spark, root, source_name, **settings)
-    scored = loader.load(read_pages(spark, landing, page_format), load_id, max_papers)
+    scored = loader.load(read_pages(spark, landing, page_format, landed_after), load_id, max_papers)
     if sample_path:
         rejects = scored.filter(F.col(REASON) != "").withColumnRenamed(REASON, "reason")
         columns = ["paper_key", "row_hash", "reason", "raw_payload"]

@@ -33,11 +33,12 @@ def test_stored_table_equals_a_dict(spark, tmp_path):
     rng, truth = random.Random(3), {}
     for load in range(7):
         batch = [(f"k{rng.randrange(12)}", i, f"{load}-{i}") for i in range(15)]
-        assert table.upsert(spark.createDataFrame(batch, SCHEMA), ["seq"], f"load-{load}", fold_after=3)
+        assert table.upsert(spark.createDataFrame(batch, SCHEMA), ["seq"], f"load-{load}", combine_after=3)
         truth.update({k: (k, s, v) for k, s, v in batch})
         assert rows(table.current()) == sorted(truth.values(), key=repr)
     assert not table.upsert(spark.createDataFrame([("k1", 99, "late")], SCHEMA), ["seq"], "load-6")
     assert rows(table.current()) == sorted(truth.values(), key=repr)
+    assert {c.kind for c in table._commits()} == {"base", "change", "combined"}
     table.fold()
     assert rows(table.current()) == sorted(truth.values(), key=repr)
 
@@ -62,6 +63,24 @@ def test_batches_over_the_same_keys_are_idempotent(spark):
     assert rows(once) == rows(twice) == [("a", 1, "new"), ("b", 1, "ins"), ("c", 0, "keep")]
 
 
+def test_merge_spreads_rows_without_a_key(spark):
+    target = spark.range(4000).select(
+        F.when(F.col("id") % 4 == 0, F.col("id").cast("string")).alias("k"), F.col("id").cast("int").alias("seq"), F.lit("t").alias("v")
+    )
+    batch = spark.createDataFrame([("0", 1, "b"), ("x", 2, "b"), (None, 3, "b")], SCHEMA)
+    merged = keyed.merge(target, batch, ["k"])
+    assert merged.count() == 4002 and merged.filter("v = 'b'").count() == 3
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        placed = keyed.merge(target, batch, ["k"]).filter("k IS NULL AND v = 't'").groupBy(F.spark_partition_id()).count()
+        sizes = [r["count"] for r in placed.collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 3000 and max(sizes) < 1500
+
+
 def skewed(spark):
     """A third of the rows has one key; some keys have no partner; some keys are NULL."""
     return spark.range(6000).select(
