@@ -118,7 +118,7 @@ def src_feed_entries(spark, sf_dir):
     )
 
 
-@query("src_feed_page_meta", "SELECT start_index, 2 AS total_results, 2 AS entry_count FROM feed_fields", ("feed_fields",))
+@query("src_feed_page_meta", "SELECT start_index, CAST(2 AS BIGINT) AS total_results, 2 AS entry_count FROM feed_fields", ("feed_fields",))
 def src_feed_page_meta(spark, sf_dir):
     pages = feed.parse_pages(fx.feed_pages(spark, sf_dir), "xml")
     return feed.page_facts(pages).select("start_index", "total_results", "entry_count")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -16,7 +16,7 @@ from paperloom.session import land
 from paperloom.sinks.files import write_reject_sample
 from paperloom.sources.feed import entry_records, page_entries, read_pages, stream_pages
 
-# Default categories of the feed query.
+# The usual categories of the feed query, to pass as ``categories``.
 DEFAULT_CATEGORIES = ("cs.LG", "cs.AI", "cs.CV", "cs.CL", "stat.ML", "cs.RO", "cs.IR", "cs.CR")
 LOOKBACK_DAYS = 180
 OVERLAP_MINUTES = 10
