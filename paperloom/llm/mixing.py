@@ -125,11 +125,9 @@ def mix(
     goals = {dim: (targets or {}).get(dim) or tempered(cells, dim, alpha) for dim in DIMS}
     fitted = rake(cells, goals, rounds)
     rate = rate_for(fitted, budget, rounds)
-    chance = F.least(F.lit(1.0), F.col("factor") * rate)
-    joined = rows.join(fitted.drop("tokens"), list(DIMS))
-    return joined.withColumns(
-        {"_factor": F.col("factor"), "_chance": chance, "_kept": place_of(F.col(key)) < chance}
-    ).drop("factor")
+    chance = F.least(F.lit(1.0), F.col("_factor") * rate)
+    joined = rows.join(fitted.select(*DIMS, F.col("factor").alias("_factor")), list(DIMS))
+    return joined.withColumns({"_chance": chance, "_kept": place_of(F.col(key)) < chance})
 
 
 def oracle(budget: float = BUDGET, alpha: float = ALPHA, rounds: int = ROUNDS, topics: int = TOPICS) -> str:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperloom.llm import chat, language_id, mixing, packing, quality, token_files, topk
+from paperloom.llm import chat, language_id, mixing, near_dedup, packing, quality, token_files, topk
 from paperloom.llm.common import WORD_PATTERN, documents, id_crc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,29 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+_UPPER = "".join(map(chr, range(65, 91)))
+_FOLDED = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{WORD_PATTERN}')"
+_NEAR = f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_FOLDED} AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT r, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2),
+  lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3]) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+n AS MATERIALIZED (SELECT r, count(*) AS n FROM s GROUP BY r),
+p AS (SELECT a.r AS a, b.r AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.r < b.r GROUP BY ALL),
+l AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT a, b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+c AS (SELECT reach.a AS r, min(d.doc_id) AS low FROM reach JOIN d ON d.r = reach.b GROUP BY reach.a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(c.low, d.doc_id)) AS component_id,
+  d.doc_id = least(d.doc_id, coalesce(c.low, d.doc_id)) AS kept FROM d LEFT JOIN n ON d.r = n.r LEFT JOIN c ON d.r = c.r
+"""
+
+
+@query("op1_near_duplicates", _NEAR)
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return near_dedup.near_duplicates(docs, shingle=4, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query("op3_mix_sources", mixing.oracle())
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source", "lang"), carry_text=False)
