@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperloom.llm import chat, language_id, mixing, near_dedup, packing, quality, token_files, topk
+from paperloom.llm import chat, language_id, mixing, near_dedup, packing, quality, suffix_dedup, token_files, topk
 from paperloom.llm.common import WORD_PATTERN, documents, id_crc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,11 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(docs, shingle=4, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query("op2_repeated_bytes")
+def repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 @query("op3_mix_sources", mixing.oracle())
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source", "lang"), carry_text=False)
