@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperloom.llm import chat, language_id, mixing, near_dedup, packing, quality, suffix_dedup, token_files, topk
+from paperloom.llm import chat, language_id, lm_scoring, mixing, near_dedup, packing, quality, suffix_dedup, token_files, topk
 from paperloom.llm.common import WORD_PATTERN, documents, id_crc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,6 +113,12 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, packing.word_tokens(), source=F.col("source"), cluster=F.md5("text"))
 
 
+@query("op7_lm_scores")
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return lm_scoring.scored(docs, id_crc() % 10 != 0)
+
+
 _WORDS = f"regexp_extract_all(coalesce(text, ''), '{WORD_PATTERN}')"
 _QUALITY = f"""
 WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
