@@ -130,6 +130,12 @@ def mix(
     return joined.withColumns({"_chance": chance, "_kept": place_of(F.col(key)) < chance})
 
 
+def keep_sampled(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", **how) -> DataFrame:
+    """The rows of ``docs``, all columns, that are sampled."""
+    wrapped = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *dict.fromkeys([key, text, source, lang]))
+    return mix(wrapped, key, text, source, lang, **how).where("_kept").select("__row.*")
+
+
 def oracle(budget: float = BUDGET, alpha: float = ALPHA, rounds: int = ROUNDS, topics: int = TOPICS) -> str:
     """The same in SQL, round by round."""
     pattern = WORD_PATTERN

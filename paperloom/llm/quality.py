@@ -106,3 +106,25 @@ def judge(
     joined = counted.join(rates, F.col("_host") == F.col("_rated"), "left").drop("_rated")
     bad_host = F.coalesce(F.col("host_rate") >= max_host_rate, F.lit(False))
     return joined.withColumn("kept", ~F.col("base_failed") & ~bad_host).withColumnRenamed("_host", "host")
+
+
+def keep_documents(
+    docs: DataFrame, text: str = "text", host: str = "source", min_words: int = 50, max_repeat_percent: int = 50,
+    max_host_rate: float = 0.5,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that neither their own counts nor their host rejects."""
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for value in batch.column(at).to_pylist():
+                n_words, _, _, _, repeated = text_counts(value)
+                keep.append(n_words >= min_words and 100 * repeated <= max_repeat_percent * n_words)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    at = docs.columns.index(text)
+    counted = with_counts(docs.select(F.col(text), F.col(host).alias("_host")), text).drop(text)
+    rates = host_rates(land(counted.withColumn("base_failed", base_failed(min_words, max_repeat_percent)), "quality"), "_host")
+    bad = rates.where(F.col("host_rate") >= max_host_rate).select(F.col("_host").alias("__host"))
+    passed = docs.mapInArrow(run, docs.schema)
+    return passed.join(bad, passed[host] == F.col("__host"), "left_anti")
