@@ -259,7 +259,7 @@ def across_components(members: DataFrame, labels: DataFrame, nodes: DataFrame, p
 
 
 def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80, miss: float = 1e-6,
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80, miss: float = 1e-8,
 ) -> DataFrame:
     """``doc_id``, ``place`` (hash of the text), ``n_shingles``, ``component_id`` and ``kept``, one row per document."""
     rows = land(sketch(docs, key, text, shingle), "sketch")
