@@ -76,7 +76,8 @@ def top_products(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, d
     Ties go to the smaller data id. Points hold whole numbers; node pairs are dropped only if their bound is
     below the worst kth score of the query node, so ties stay.
     """
-    exact = np.abs(queries).max(initial=0) * np.abs(data).max(initial=0) * max(queries.shape[1], 1) < 2**52
+    largest = [float(np.abs(x.astype(np.float64)).max(initial=0)) for x in (queries, data)]
+    exact = largest[0] * largest[1] * max(queries.shape[1], 1) < 2**52
     left, right = Tree(queries.astype(np.float64)), Tree(data.astype(np.float64))
     count = len(queries)
     best = np.full((count, k), -np.inf)
