@@ -101,7 +101,7 @@ _REVIEW_BATCH_EXPRS = {
 
 
 def _review_batch(spark, sf_dir) -> DataFrame:
-    events = fx.table(spark, sf_dir, "events", ("event_id", "user_id", "event_type", "props"))
+    events = fx.table(spark, sf_dir, "events")
     return fx.derive(events, _REVIEW_BATCH_EXPRS)
 
 
@@ -369,9 +369,7 @@ def q_unique(spark, sf_dir):
     ("authors", "papers"),
 )
 def q_foreign_key(spark, sf_dir):
-    orphans = quality.foreign_key_violations(
-        fx.authors(spark, sf_dir), fx.papers(spark, sf_dir), "paper_key", ["author_order"]
-    )
+    orphans = quality.foreign_key_violations(fx.authors(spark, sf_dir), fx.papers(spark, sf_dir), "paper_key")
     return orphans.select("paper_key", "author_order", "author_name")
 
 
@@ -383,5 +381,5 @@ def q_foreign_key(spark, sf_dir):
 )
 def q_cascade_delete(spark, sf_dir):
     kept = fx.papers(spark, sf_dir).filter("primary_category <> 'en'")
-    rows = quality.cascade_delete(fx.authors(spark, sf_dir), kept, "paper_key", ["author_order"])
+    rows = quality.cascade_delete(fx.authors(spark, sf_dir), kept, "paper_key")
     return rows.select("paper_key", "author_order", "author_name")

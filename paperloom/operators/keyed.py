@@ -1,37 +1,40 @@
 """Keyed upserts on plain Parquet.
 
-A ``KeyedTable`` is a base folder plus small change folders, named in an append-only list of commits.
-An upsert writes only its batch; reading keeps the base rows that no change replaces and adds the
-changes. So the cost of an upsert grows with the batch, and a read is one scan of the base with an
-anti-join against the changed keys, which Spark broadcasts when they are few and shuffles when they are
-many. After some commits the change folders are combined into one; the base is rewritten only once the
-changes have grown to a fair share of it.
+A ``KeyedTable`` is a base folder per bucket of keys plus a few change folders, named in one small pointer file.
+An upsert writes only its batch; reading takes buckets without changes as they are and, in the others, keeps the
+base rows that no change replaces. After some commits the change folders are combined into one; buckets
+are rewritten only once their changes have grown to a fair share of them. Folders that nothing names any
+more are removed after a while.
 """
 
 from __future__ import annotations
 
+import json
+import time
 from dataclasses import dataclass
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
+from paperloom.folders import delete, names, read_text, replace_text, size
 from paperloom.session import land
-from paperloom.sinks.files import stored_bytes
 
 
 def dedupe_last(batch: DataFrame, keys: list[str], sequence: list[str]) -> DataFrame:
     """The last row of each key by ``sequence``; ties fall to the larger remaining values.
 
-    A maximum over a struct is combined before the shuffle, so a key with very many rows costs one
-    row per task.
+    Spark keeps the first row of each key in every task before the shuffle, so a key with very many rows costs
+    one row per task, and whole rows are never held in aggregation buffers. Map columns cannot be
+    ordered and do not break ties.
     """
-    rest = [c for c in batch.columns if c not in (*keys, *sequence)]
-    last = F.max(F.struct(*sequence, *rest)).alias("_last")
-    rows = batch.groupBy(*keys).agg(last)
-    return rows.select(*[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in batch.columns])
+    rest = [
+        f.name for f in batch.schema.fields
+        if f.name not in (*keys, *sequence) and "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"
+    ]
+    newest_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in (*sequence, *rest)])
+    return batch.withColumn("_place", F.row_number().over(newest_first)).filter("_place = 1").drop("_place")
 
 
 def merge(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
@@ -73,73 +76,101 @@ def upsert(
     return merge(target, changes, keys)
 
 
-_COMMIT_SCHEMA = "seq bigint, kind string, path string, commit_id string"
+_BUCKET = "_bucket"
+_GONE = "_gone"
+# So many commit ids are remembered; a repeated load comes soon after the first or carries other rows.
+_REMEMBERED = 1000
 
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """One stored table with a unique key. Single writer; any number of readers."""
+    """One stored table with a unique key. Single writer; any number of readers.
+
+    Rows lie in ``buckets`` folders by the hash of the first key column. ``live.json`` names the base folder of
+    each bucket, the change folders on top, and what is dead; it is replaced in one step. Dead folders are removed
+    once they have been dead for ``keep_hours``, so a reader that has begun can finish.
+    """
 
     spark: SparkSession
     root: str
     schema: T.StructType
     keys: tuple[str, ...]
+    buckets: int = 16
+    keep_hours: float = 24.0
+
+    # --- the pointer ---
+
+    def _live(self) -> dict:
+        text = read_text(self.spark, f"{self.root}/live.json")
+        if text is None:
+            return {"seq": 0, "buckets": self.buckets, "base": {}, "changes": [], "recent": {}, "dead": []}
+        return json.loads(text)
+
+    def _publish(self, live: dict, dead: list[str]) -> None:
+        """Make ``live`` the state of the table and remove what has been dead for long."""
+        now = time.time()
+        gone = [path for path, since in live["dead"] if now - since >= self.keep_hours * 3600]
+        live["dead"] = [[p, s] for p, s in live["dead"] if p not in gone] + [[p, now] for p in dead]
+        live["recent"] = dict(list(live["recent"].items())[-_REMEMBERED:])
+        live["seq"] += 1
+        replace_text(self.spark, f"{self.root}/live.json", json.dumps(live))
+        for path in gone:
+            delete(self.spark, f"{self.root}/{path}")
 
-    def _commits(self) -> list:
-        try:
-            return self.spark.read.schema(_COMMIT_SCHEMA).parquet(f"{self.root}/commits").orderBy("seq").collect()
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return []
-            raise
-
-    def _commit(self, seq: int, kind: str, path: str, commit_id: str) -> None:
-        row = self.spark.range(1, numPartitions=1).select(
-            F.lit(seq).cast("bigint").alias("seq"),
-            F.lit(kind).alias("kind"),
-            F.lit(path).alias("path"),
-            F.lit(commit_id).alias("commit_id"),
-        )
-        row.write.mode("append").parquet(f"{self.root}/commits")
+    @staticmethod
+    def _known(live: dict, commit_id: str, content: str) -> bool:
+        """Whether the commit is in already; raises if it was made of something else."""
+        if commit_id not in live["recent"]:
+            return False
+        if live["recent"][commit_id] != content:
+            raise ValueError(f"Commit {commit_id} has been made already, from other rows")
+        return True
 
-    def _read(self, path: str) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.root}/{path}")
+    # --- reading ---
 
-    def current(self) -> DataFrame:
-        """The rows as they are after the last commit."""
-        return self._state(self._commits())
+    def _read(self, folders: list[str], marks: bool = False) -> DataFrame:
+        schema = T.StructType([*self.schema.fields, T.StructField(_GONE, T.BooleanType())]) if marks else self.schema
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{f}" for f in folders])
 
     @staticmethod
-    def _live(commits: list) -> tuple:
-        """The last base commit (or None) and the change commits on top of it, oldest first.
+    def _base_folders(live: dict, which=lambda bucket: True) -> list[str]:
+        return [f"{path}/{_BUCKET}={bucket}" for bucket, path in live["base"].items() if which(int(bucket))]
 
-        A combined change stands for all changes before it.
-        """
-        base, changes = None, []
-        for commit in commits:
-            if commit.kind == "base":
-                base, changes = commit, []
-            elif commit.kind == "combined":
-                changes = [commit]
-            else:
-                changes.append(commit)
-        return base, changes
-
-    def _latest_changes(self, changes: list) -> DataFrame:
+    @staticmethod
+    def _touched(live: dict) -> set[int]:
+        return {bucket for change in live["changes"] for bucket in change["buckets"]}
+
+    def _latest_changes(self, live: dict) -> DataFrame:
         order = "_change"
         stacked = reduce(
-            DataFrame.unionByName, [self._read(c.path).withColumn(order, F.lit(c.seq)) for c in changes]
+            DataFrame.unionByName,
+            [
+                self._read([f"{c['path']}/{_BUCKET}={b}" for b in c["buckets"]], True).withColumn(order, F.lit(c["seq"]))
+                for c in live["changes"]
+            ],
         )
-        latest = last_per_key(stacked, list(self.keys), [order]) if len(changes) > 1 else stacked
+        latest = last_per_key(stacked, list(self.keys), [order]) if len(live["changes"]) > 1 else stacked
         return latest.drop(order)
 
-    def _state(self, commits: list) -> DataFrame:
-        base, changes = self._live(commits)
-        rows = self._read(base.path) if base else self.spark.createDataFrame([], self.schema)
-        if not changes:
-            return rows
-        latest = self._latest_changes(changes)
-        return merge(rows, latest, list(self.keys)) if base else latest
+    def _merged(self, live: dict) -> DataFrame:
+        """The rows of the buckets that have changes."""
+        touched = self._touched(live)
+        base = self._read(self._base_folders(live, touched.__contains__)).withColumn(_GONE, F.lit(False))
+        return merge(base, self._latest_changes(live), list(self.keys)).filter(~F.col(_GONE)).drop(_GONE)
+
+    def current(self) -> DataFrame:
+        """The rows as they are after the last commit; only buckets with changes are joined."""
+        live = self._live()
+        if not live["changes"]:
+            return self._read(self._base_folders(live))
+        touched = self._touched(live)
+        still = self._base_folders(live, lambda bucket: bucket not in touched)
+        merged = self._merged(live)
+        return self._read(still).unionByName(merged) if still else merged
+
+    # --- writing ---
 
     def upsert(
         self,
@@ -148,55 +179,95 @@ class KeyedTable:
         commit_id: str | None = None,
         stamp: dict[str, Column] | None = None,
         combine_after: int = 16,
+        content: str = "",
+        gone: DataFrame | None = None,
     ) -> bool:
         """Commit the last row per key of ``batch``. Returns False when ``commit_id`` is already in.
 
-        The change folder is written in full before the commit names it, so a failed or repeated run
-        leaves the table as it was or as it should be.
+        ``content`` tells what the commit is made of; an id that returns with another content raises. Keys in
+        ``gone`` that the batch does not hold are deleted. The change folder is written in full before the pointer
+        names it, so a failed or repeated run leaves the table as it was or as it should be.
         """
         commit_id = commit_id or uuid4().hex
-        commits = self._commits()
-        if any(c.commit_id == commit_id for c in commits):
+        live = self._live()
+        if self._known(live, commit_id, content):
             return False
         changes = last_per_key(batch, list(self.keys), sequence).withColumns(stamp or {})
-        self._store(changes, "change", commit_id, commits)
-        if len(self._live(commits)[1]) + 1 >= combine_after:
+        changes = self._typed(changes).withColumn(_GONE, F.lit(False))
+        if gone is not None:
+            removed = gone.select(*self.keys).distinct().join(changes.select(*self.keys), list(self.keys), "left_anti")
+            changes = changes.unionByName(removed.withColumn(_GONE, F.lit(True)), allowMissingColumns=True)
+        live["recent"][commit_id] = content
+        if not live["base"] and not live["changes"]:
+            rows = changes.filter(~F.col(_GONE)).drop(_GONE)
+            path, filled = self._store(rows, "base", live["buckets"])
+            live["base"] = {str(b): path for b in filled}
+            self._publish(live, [])
+            return True
+        path, filled = self._store(changes, "change", live["buckets"])
+        live["changes"].append({"path": path, "seq": live["seq"], "buckets": filled})
+        self._publish(live, [])
+        if len(live["changes"]) >= combine_after:
             self.combine()
         return True
 
-    def _store(self, rows: DataFrame, kind: str, commit_id: str, commits: list) -> str:
+    def _typed(self, rows: DataFrame) -> DataFrame:
+        return rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
+
+    def _store(self, rows: DataFrame, kind: str, buckets: int) -> tuple[str, list[int]]:
+        """Write rows by bucket; the folder and the buckets in it.
+
+        Rows without a first key match nothing; they are spread by all they hold.
+        """
         path = f"{kind}/{uuid4().hex}"
-        columns = [F.col(f.name).cast(f.dataType) for f in self.schema.fields]
-        rows.select(*columns).write.parquet(f"{self.root}/{path}")
-        self._commit(commits[-1].seq + 1 if commits else 0, kind, path, commit_id)
-        return path
+        first = F.col(self.keys[0])
+        others = [F.col(f.name) for f in self.schema.fields if "map<" not in f.dataType.simpleString()]
+        place = F.pmod(F.when(first.isNull(), F.xxhash64(*others)).otherwise(F.xxhash64(first)), F.lit(buckets)).cast("int")
+        spread = rows.withColumn(_BUCKET, place).hint("rebalance", _BUCKET)
+        spread.write.partitionBy(_BUCKET).parquet(f"{self.root}/{path}")
+        found = [n for n in names(self.spark, f"{self.root}/{path}") if n.startswith(f"{_BUCKET}=")]
+        return path, sorted(int(n.split("=")[1]) for n in found)
 
     def combine(self, base_share: float = 0.25) -> None:
-        """Write all changes as one. Fold them into the base once they reach ``base_share`` of its size."""
-        commits = self._commits()
-        base, changes = self._live(commits)
-        if base is None:
+        """Write all changes as one; fold them into the base once they reach ``base_share`` of the buckets they touch."""
+        live = self._live()
+        if not live["changes"]:
+            return
+        old = [change["path"] for change in live["changes"]]
+        path, filled = self._store(self._latest_changes(live), "change", live["buckets"])
+        live["changes"] = [{"path": path, "seq": live["seq"], "buckets": filled}]
+        self._publish(live, old)
+        base = sum(self._bytes(f) for f in self._base_folders(live, set(filled).__contains__))
+        if self._bytes(path) >= base_share * base:
             self.fold()
-        elif changes:
-            path = self._store(self._latest_changes(changes), "combined", uuid4().hex, commits)
-            if self._bytes(path) >= base_share * self._bytes(base.path):
-                self.fold()
 
     def _bytes(self, path: str) -> int:
-        return stored_bytes(self.spark, f"{self.root}/{path}").first().size_bytes
+        return size(self.spark, f"{self.root}/{path}")
 
-    def replace(self, rows: DataFrame, commit_id: str | None = None) -> bool:
-        """Make ``rows`` (one per key) the whole content, for deletes and rebuilt snapshots.
+    def replace(self, rows: DataFrame, commit_id: str | None = None, content: str = "") -> bool:
+        """Make ``rows`` (one per key) the whole content, for rebuilt snapshots.
 
         Returns False when ``commit_id`` is already in.
         """
         commit_id = commit_id or uuid4().hex
-        commits = self._commits()
-        if any(c.commit_id == commit_id for c in commits):
+        live = self._live()
+        if self._known(live, commit_id, content):
             return False
-        self._store(rows, "base", commit_id, commits)
+        path, filled = self._store(self._typed(rows), "base", live["buckets"])
+        old = self._base_folders(live) + [change["path"] for change in live["changes"]]
+        live |= {"base": {str(b): path for b in filled}, "changes": []}
+        live["recent"][commit_id] = content
+        self._publish(live, old)
         return True
 
     def fold(self) -> None:
-        """Write the current rows as the new base."""
-        self.replace(self.current())
+        """Write the buckets that have changes as new base folders; the others stay as they are."""
+        live = self._live()
+        if not live["changes"]:
+            return
+        touched = self._touched(live)
+        path, filled = self._store(self._merged(live), "base", live["buckets"])
+        old = self._base_folders(live, touched.__contains__) + [change["path"] for change in live["changes"]]
+        live["base"] = {b: p for b, p in live["base"].items() if int(b) not in touched} | {str(b): path for b in filled}
+        live["changes"] = []
+        self._publish(live, old)

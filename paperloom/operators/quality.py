@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from paperloom.functions.hashing import row_hash
 from paperloom.functions.text import BLANK_WORDS, strip
 from paperloom.functions.values import to_number, truncate_to_int
-from paperloom.operators.skew import salted_join
 from paperloom.sources.reviews_csv import REVIEW_COLUMNS, require_columns
 
 REASON = "reject_reason"
@@ -147,14 +146,14 @@ def unique_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).filter("row_count > 1")
 
 
-def foreign_key_violations(children: DataFrame, parents: DataFrame, key: str, spread_by: list[str]) -> DataFrame:
+def foreign_key_violations(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     """Child rows whose parent is absent; ``parents`` has one row per key."""
-    return salted_join(children, parents.select(key), key, "left_anti", spread_by)
+    return children.join(parents.select(key), key, "left_anti")
 
 
-def cascade_delete(children: DataFrame, kept_parents: DataFrame, key: str, spread_by: list[str]) -> DataFrame:
+def cascade_delete(children: DataFrame, kept_parents: DataFrame, key: str) -> DataFrame:
     """Child rows that remain after parents were deleted; ``kept_parents`` has one row per key."""
-    return salted_join(children, kept_parents.select(key), key, "left_semi", spread_by)
+    return children.join(kept_parents.select(key), key, "left_semi")
 
 
 def rating_distribution(reviews: DataFrame, limit: int = 5) -> DataFrame:

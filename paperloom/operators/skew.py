@@ -1,41 +1,24 @@
-"""Equi-joins that stay even when single keys hold a large share of the rows."""
+"""Equi-joins with keys that are known to hold a large share of the rows.
+
+A plain join is the rule: the adaptive planner splits oversized partitions of the left side of inner, semi and
+anti joins while it runs, without a scan of its own. Salting is for keys the caller knows to be hot, say
+from a statistic kept with the table, and for plans in which the planner cannot split.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A key counts as frequent from this share of the rows on; so there are at most 1/share of them.
-FREQUENT_SHARE = 1 / 256
 _SALT = "_salt"
 
 
-def frequent_keys(df: DataFrame, key: str, share: float = FREQUENT_SHARE) -> list:
-    """Every key with more than ``share`` of the rows.
-
-    Two narrow passes without a wide shuffle: the first gives at most ``1/share`` candidates and
-    misses no frequent key, the second counts just those against the total. The list only decides how
-    rows are spread, never which rows are kept.
-    """
-    candidates = [k for k in (df.select(key).freqItems([key], share).first()[0] or []) if k is not None]
-    if not candidates:
-        return []
-    candidate = F.when(F.col(key).isin(candidates), F.col(key)).alias("k")
-    counts = df.groupBy(candidate).agg(F.count(F.lit(1)).alias("n")).collect()
-    total = sum(row.n for row in counts)
-    return [row.k for row in counts if row.k is not None and row.n > share * total]
-
-
-def salted_join(
-    large: DataFrame, unique: DataFrame, key: str, how: str, spread_by: list[str], share: float = FREQUENT_SHARE
-) -> DataFrame:
-    """Join ``large`` to ``unique`` (one row per key) on ``key``.
+def salted_join(large: DataFrame, unique: DataFrame, key: str, how: str, spread_by: list[str], hot: list) -> DataFrame:
+    """Join ``large`` to ``unique`` (one row per key) on ``key``; rows of the ``hot`` keys are spread.
 
-    Rows of a frequent key are spread over as many salts as there are shuffle partitions, by the hash
-    of ``spread_by``, and the matching row of ``unique`` is repeated once per salt. All other keys
-    have one salt. Works for inner, left_semi and left_anti joins alike, as each row of ``large``
-    still meets the one row of its key.
+    They go over as many salts as there are shuffle partitions, by the hash of ``spread_by``, and the matching
+    row of ``unique`` is repeated once per salt. All other keys have one salt. Works for inner, left_semi and
+    left_anti joins alike, as each row of ``large`` still meets the one row of its key.
     """
-    hot = frequent_keys(large, key, share)
     if not hot and how != "left_anti":
         return large.join(unique, key, how)
     salts = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))

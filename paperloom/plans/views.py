@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paperloom.functions.values import month_of
-from paperloom.operators.skew import salted_join
 
 AGENT_PAPER_COLUMNS = (
     "paper_key", "versioned_id", "title", "summary", "primary_category", "categories_json", "author_count",
@@ -40,10 +39,8 @@ def monthly_category_counts(papers: DataFrame) -> DataFrame:
 
 
 def author_papers(authors: DataFrame, papers: DataFrame, paper_columns: list[str]) -> DataFrame:
-    """Author rows with columns of their paper; a paper with very many authors is spread by name."""
-    return salted_join(
-        authors, papers.select("paper_key", *paper_columns), "paper_key", "inner", ["author_name"]
-    )
+    """Author rows with columns of their paper."""
+    return authors.join(papers.select("paper_key", *paper_columns), "paper_key")
 
 
 def author_frequency(authors: DataFrame, papers: DataFrame) -> DataFrame:
