@@ -269,7 +269,7 @@ GROUP BY 1, 2"""
     ("papers",),
 )
 def job_refresh_views(spark, sf_dir):
-    built = refresh_views(spark, fx.papers(spark, sf_dir, heavy=True), fresh_path(spark, "views"))
+    built = refresh_views(spark, fx.papers(spark, sf_dir), fresh_path(spark, "views"))
     words = built[KEYWORD_VIEW].select(F.lit(KEYWORD_VIEW).alias("view_name"), F.col("word").alias("item"), F.col("frequency").alias("n"))
     pair = F.concat_ws("|", "category_a", "category_b").alias("item")
     return words.unionByName(
@@ -296,7 +296,7 @@ def job_export(spark, sf_dir):
     ("chunk_records", "split"),
 )
 def job_payload(spark, sf_dir):
-    row = build_payload(spark, fx.papers(spark, sf_dir, heavy=True), fresh_path(spark, "payload"))
+    row = build_payload(spark, fx.papers(spark, sf_dir), fresh_path(spark, "payload"))
     return row.select("chunking.chunk_count", "payload.total_records", "payload.train_records", "payload.val_records")
 
 

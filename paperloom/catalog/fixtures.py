@@ -10,15 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperloom.operators.quality import REASON, paper_reasons, typed_reviews
-from paperloom.session import land, use_all_cores
+from paperloom.session import land
 from paperloom.sources.feed import entry_records, page_entries, parse_pages
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, heavy: tuple[str, ...] = ()) -> DataFrame:
-    """A given table; with ``heavy`` just those columns, spread by the first one if the file is small."""
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return use_all_cores(scan.select(*heavy), heavy[0]) if heavy else scan
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _select(exprs: dict[str, str], table_name: str) -> str:
@@ -64,13 +63,8 @@ PAPER_EXPRS = {
 }
 
 
-_DOCUMENT = ("doc_id", "text", "lang", "source")
-
-
-def papers(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
-    """``heavy`` for queries that work through the texts."""
-    exprs = {**PAPER_EXPRS, "row_hash": "sha2(text, 256)"}
-    return derive(table(spark, sf_dir, "documents", _DOCUMENT if heavy else ()), exprs)
+def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive(table(spark, sf_dir, "documents"), {**PAPER_EXPRS, "row_hash": "sha2(text, 256)"})
 
 
 # --- authors: one per order line ---------------------------------------------------------------
@@ -130,7 +124,7 @@ REVIEW_EXPRS = {
 
 
 def reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive(table(spark, sf_dir, "events", ("event_id", "user_id", "event_type", "props")), REVIEW_EXPRS)
+    return derive(table(spark, sf_dir, "events"), REVIEW_EXPRS)
 
 
 def scored_reviews(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
@@ -169,7 +163,7 @@ def _xml_text(c: str):
 
 def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``page_file``, ``xml``: each page reports 2 results and holds two entries."""
-    f = derive(table(spark, sf_dir, "documents", _DOCUMENT), FEED_FIELDS)
+    f = derive(table(spark, sf_dir, "documents"), FEED_FIELDS)
 
     def cat(*parts):
         return F.concat(*[F.lit(p[1:]) if p.startswith("=") else F.col(p) for p in parts])

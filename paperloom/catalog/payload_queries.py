@@ -16,7 +16,7 @@ from paperloom.sinks.files import write_jsonl
 
 
 def chunks(spark, sf_dir) -> DataFrame:
-    return chunking.chunk_records(fx.papers(spark, sf_dir, heavy=True))
+    return chunking.chunk_records(fx.papers(spark, sf_dir))
 
 
 def alpaca(spark, sf_dir) -> DataFrame:
@@ -30,7 +30,7 @@ def alpaca(spark, sf_dir) -> DataFrame:
     ("flat",),
 )
 def ch_source_text(spark, sf_dir):
-    papers = fx.papers(spark, sf_dir, heavy=True)
+    papers = fx.papers(spark, sf_dir)
     title, summary = (collapse_whitespace(F.col(c)) for c in ("title", "summary"))
     return papers.select("paper_key", title.alias("title"), summary.alias("summary")).select(
         "paper_key", chunking.source_text(F.col("title"), F.col("summary")).alias("source_text")

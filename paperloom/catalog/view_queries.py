@@ -87,7 +87,7 @@ def f_nonblank_source(spark, sf_dir):
 
 @query("f_min_words", "SELECT paper_key, chunk_index FROM chunk_records", ("chunk_records",))
 def f_min_words(spark, sf_dir):
-    return chunk_records(fx.papers(spark, sf_dir, heavy=True)).select("paper_key", "chunk_index")
+    return chunk_records(fx.papers(spark, sf_dir)).select("paper_key", "chunk_index")
 
 
 @query(
@@ -169,7 +169,7 @@ FROM papers"""
     ("papers",),
 )
 def j_lateral_explode(spark, sf_dir):
-    words = views.paper_words(fx.papers(spark, sf_dir, heavy=True))
+    words = views.paper_words(fx.papers(spark, sf_dir))
     return words.groupBy("paper_key", "word").agg(F.count(F.lit(1)).alias("copies"))
 
 
@@ -257,7 +257,7 @@ SQL_KEYWORDS = (
 
 @query("agg_keyword_frequency", SQL_KEYWORDS, ("papers",))
 def agg_keyword_frequency(spark, sf_dir):
-    return views.keyword_frequency(fx.papers(spark, sf_dir, heavy=True))
+    return views.keyword_frequency(fx.papers(spark, sf_dir))
 
 
 @query(
@@ -295,7 +295,7 @@ def agg_rating_distribution(spark, sf_dir):
     ("papers", "authors"),
 )
 def agg_table_snapshot(spark, sf_dir):
-    papers = fx.papers(spark, sf_dir, heavy=True)
+    papers = fx.papers(spark, sf_dir)
     return quality.count_rows(
         {
             "clean_papers": papers,

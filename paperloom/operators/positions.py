@@ -13,23 +13,19 @@ from paperloom.sources.reviews_csv import ROW_BLOCK, ROW_FILE, ROW_SLOT
 
 _TASK_SHIFT = 33
 _TASK_ROWS_MASK = (1 << _TASK_SHIFT) - 1
-# Start offsets are broadcast up to this many slices (about 40 bytes each), joined by key beyond it.
-_MAX_BROADCAST_SLICES = 500_000
 
 
 def _starts(slotted: DataFrame, slice_cols: list[str]) -> DataFrame:
-    """Rows before each slice, and its first slot; one row per slice."""
+    """Rows before each slice, and its first slot; one row per slice.
+
+    Landed, so its size is known: Spark broadcasts it below its threshold and joins by key above.
+    """
     sizes = slotted.groupBy(*slice_cols).agg(
         F.count(F.lit(1)).alias("_rows"), F.min(ROW_SLOT).alias("_first_slot")
     )
     before = Window.orderBy(*slice_cols).rowsBetween(Window.unboundedPreceding, -1)
-    starts = land(
-        sizes.select(
-            *slice_cols, "_first_slot", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
-        ),
-        "slice-starts",
-    )
-    return F.broadcast(starts) if starts.count() <= _MAX_BROADCAST_SLICES else starts
+    start = F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
+    return land(sizes.select(*slice_cols, "_first_slot", start), "slice-starts")
 
 
 def _numbered(slotted: DataFrame, slice_cols: list[str], out: str) -> DataFrame:

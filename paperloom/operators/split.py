@@ -55,6 +55,6 @@ def assign_split(
     source = records if units is None else units
     cut = train_cut(source, unit, train_ratio, seed).first()
     if cut.train_count == 0 or cut.train_count == cut.unit_count:
-        raise ValueError("Train/val split produced an empty subset. Increase data size or adjust the ratio.")
+        raise ValueError(f"{cut.unit_count} units at ratio {train_ratio} leave one side of the split empty")
     is_train = split_hash(F.col(unit), seed) <= F.lit(cut.cut_hash)
     return records.withColumn("split", F.when(is_train, "train").otherwise("val"))

@@ -9,7 +9,7 @@ from paperloom.operators.quality import count_rows
 from paperloom.plans.export import export_papers
 from paperloom.plans.tables import CLEAN_PAPERS, INGEST_STATE, PAPER_AUTHORS
 from paperloom.plans.views import agent_papers, category_cooccurrence, keyword_frequency
-from paperloom.streaming.feed_ingest import ingest_feed
+from paperloom.streaming.feed_ingest import stream_feed
 
 KEYWORD_VIEW = "mv_agent_keyword_frequency"
 PAIR_VIEW = "mv_agent_category_cooccurrence"
@@ -39,10 +39,13 @@ def snapshot(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def run_all(
-    spark: SparkSession, landing: str, root: str, source_name: str, load_id: str | None = None, **settings
+    spark: SparkSession, landing: str, root: str, source_name: str, **settings
 ) -> DataFrame:
-    """Feed load, stored views, export, then the snapshot. Running it twice leaves the same tables."""
-    ingest_feed(spark, landing, root, source_name, load_id, **settings)
+    """Feed load, stored views, export, then the snapshot. Running it twice leaves the same tables.
+
+    The load opens only pages that landed since the last run; its checkpoint lies below ``root``.
+    """
+    stream_feed(spark, landing, root, source_name, f"{root}/checkpoint-{source_name}", **settings)
     papers = CLEAN_PAPERS.open(spark, root).current()
     views = refresh_views(spark, papers, root)
     export_papers(spark, papers, f"{root}/export/papers_csv", f"{root}/export/papers_parquet")

@@ -17,14 +17,22 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.files.minPartitionNum", cores)
         .getOrCreate()
     )
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``; a private one where it is unset."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session gets a private folder; a cluster raises, as its executors would
+    each write to their own disk.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("Set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="paperloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -44,13 +52,3 @@ def land(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def use_all_cores(scan: DataFrame, key: str) -> DataFrame:
-    """Spread a plain file scan of fewer splits than cores by ``key``; any larger scan stays as it is.
-
-    For small inputs in front of heavy text work; ``key`` is unique, so the spread is even. Use it on
-    a scan only: asking a plan with shuffles for its partitions would run it.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan

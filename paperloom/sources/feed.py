@@ -29,7 +29,7 @@ PAGE_TABLE_SCHEMA = "page_file string, xml string"
 def read_pages(
     spark: SparkSession, path: str, page_format: str = "xml", landed_after: str | None = None
 ) -> DataFrame:
-    """One row per landed page: ``page_file``, ``start_index``, ``totalResults``, ``entry``.
+    """One row per landed page: ``page_file``, ``landed_at``, ``start_index``, ``totalResults``, ``entry``.
 
     ``xml`` reads page files as they came, ``parquet`` a landing table of page texts.
     """
@@ -45,14 +45,21 @@ def stream_pages(
     return _pages(reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader, path, page_format)
 
 
+def _landed_at() -> Column:
+    """When the file that holds a page landed."""
+    return F.col("_metadata.file_modification_time").alias("landed_at")
+
+
 def _pages(reader, path: str, page_format: str) -> DataFrame:
     if page_format == "parquet":
-        return parse_pages(reader.schema(PAGE_TABLE_SCHEMA).parquet(path), "xml")
+        rows = reader.schema(PAGE_TABLE_SCHEMA).parquet(path)
+        return parse_pages(rows.select("page_file", _landed_at(), "xml"), "xml")
     if page_format != "xml":
         raise ValueError(f"Unknown page format: {page_format}")
     pages = reader.format("xml").options(rowTag="feed", **XML_OPTIONS).schema(T.StructType.fromDDL(PAGE_SCHEMA)).load(path)
     return pages.select(
         F.col("_metadata.file_path").alias("page_file"),
+        _landed_at(),
         F.coalesce("startIndex", F.lit(0)).alias("start_index"),
         "totalResults",
         "entry",

@@ -2,27 +2,26 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime, timezone
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from paperloom.folders import read_text
 from paperloom.operators.keyed import last_per_key
 from paperloom.operators.quality import REASON, paper_checks, paper_reasons, split_by_reason
-from paperloom.operators.skew import salted_join
 from paperloom.plans.tables import CLEAN_PAPERS, INGEST_STATE, PAPER_AUTHORS, RAW_ENTRIES, REJECTED_ENTRIES
 from paperloom.plans.views import in_categories, submitted_between
 from paperloom.session import land
 from paperloom.sinks.files import write_reject_sample
 from paperloom.sources.feed import entry_records, page_entries, read_pages, stream_pages
 
-# The usual categories of the feed query, to pass as ``categories``.
-DEFAULT_CATEGORIES = ("cs.LG", "cs.AI", "cs.CV", "cs.CL", "stat.ML", "cs.RO", "cs.IR", "cs.CR")
 LOOKBACK_DAYS = 180
 OVERLAP_MINUTES = 10
 
-# Feed order: file name, first index of the page, place in the page.
-FEED_ORDER = ("page_file", "start_index", "entry_position")
+# Feed order: when the page landed, its first index, the place in it; the file name only tells equals apart.
+FEED_ORDER = ("landed_at", "start_index", "entry_position", "page_file")
 
 
 # --- watermark ---------------------------------------------------------------------------------
@@ -91,17 +90,21 @@ def author_rows(clean: DataFrame) -> DataFrame:
     )
 
 
-def page_number(page_file: Column) -> Column:
-    """The last number in the file name, 1 when there is none; names sort in feed order."""
-    digits = F.regexp_extract(F.substring_index(page_file, "/", -1), r"([0-9]+)[^0-9]*$", 1)
-    return F.coalesce(digits.try_cast("int"), F.lit(1))
+def with_page_number(records: DataFrame) -> DataFrame:
+    """Pages counted from 1 by their first index, in steps of the longest page of the load."""
+    longest = records.agg(F.coalesce(F.max("entry_position") + 1, F.lit(1)).alias("n")).first().n
+    return records.withColumn("page_number", (F.floor(F.col("start_index") / longest) + 1).cast("int"))
 
 
 class FeedLoader:
     """Writes feed entries into the paper tables below ``root`` and moves the watermark last.
 
     Every write carries a commit id made of the load id and the table, so a repeated load skips what
-    is already in and completes the rest.
+    is already in and completes the rest; a load id that comes back with other records raises.
+
+    All landed records are loaded: what the feed returned for a window is what belongs to it, and late
+    rows replace stored ones by key. The window is recorded with the raw rows. ``window_only`` is for bounded
+    reloads of a landing folder that holds more than the window; the checks then tell how many records it left out.
     """
 
     def __init__(
@@ -115,9 +118,11 @@ class FeedLoader:
         lookback_days: int = LOOKBACK_DAYS,
         overlap_minutes: int = OVERLAP_MINUTES,
         replace_children: bool = False,
+        window_only: bool = False,
     ) -> None:
         self.spark, self.root, self.source_name = spark, root, source_name
         self.query_text, self.categories, self.replace_children = query_text, categories, replace_children
+        self.window_only, self.left_out = window_only, 0
         self.raw, self.clean, self.authors, self.rejected, self.state = (
             spec.open(spark, root)
             for spec in (RAW_ENTRIES, CLEAN_PAPERS, PAPER_AUTHORS, REJECTED_ENTRIES, INGEST_STATE)
@@ -126,17 +131,34 @@ class FeedLoader:
         bounds = window_bounds(self.state.current(), source_name, self.now, lookback_days, overlap_minutes).first()
         self.start, self.end = F.lit(bounds.window_start), F.lit(bounds.window_end)
 
-    def _selected(self, entries: DataFrame) -> DataFrame:
-        """Records of the window and categories; undated ones stay, to be rejected with a reason."""
-        records = submitted_between(entry_records(entries), self.start, self.end, keep_undated=True)
-        return in_categories(records, self.categories) if self.categories else records
+    def _selected(self, landed: DataFrame) -> DataFrame:
+        """Records to load; with ``window_only`` those of the window, and undated ones, to be rejected with a reason."""
+        if not self.window_only:
+            return landed
+        inside = submitted_between(landed, self.start, self.end, keep_undated=True)
+        self.left_out = landed.count() - inside.count()
+        return inside
+
+    def _not_loaded(self, records: DataFrame) -> DataFrame:
+        """Records that are not in the raw or reject table as they are, so that capped loads go on where they ended."""
+        loaded = self.raw.current().select("row_hash").unionByName(self.rejected.current().select("row_hash"))
+        return records.join(loaded, "row_hash", "left_anti")
+
+    @staticmethod
+    def _fingerprint(records: DataFrame) -> str:
+        """What a load is made of: the number of records and the sum of the hashes of their contents."""
+        parts = records.agg(F.count(F.lit(1)), F.sum(F.xxhash64("row_hash").cast("decimal(38,0)"))).first()
+        return f"{parts[0]}:{parts[1] or 0}"
 
     def load(self, pages: DataFrame, load_id: str, max_papers: int = 0) -> DataFrame:
         """Load pages; returns the landed, scored records."""
-        entries = page_entries(pages).withColumn("page_number", page_number(F.col("page_file")))
-        scored = land(self._selected(entries).withColumn(REASON, paper_reasons()), "feed-records")
+        records = entry_records(page_entries(pages))
+        records = in_categories(records, self.categories) if self.categories else records
+        landed = with_page_number(land(records.withColumn(REASON, paper_reasons()), "feed-records"))
+        content = self._fingerprint(landed)
+        scored = self._selected(landed)
         if max_papers > 0:
-            scored = cap_at_clean_rows(scored, max_papers)
+            scored = land(cap_at_clean_rows(self._not_loaded(scored), max_papers), "feed-records")
         scored = scored.withColumn("batch_id", F.lit(load_id)).withColumnRenamed("categories", "categories_json")
         clean, rejected = split_by_reason(scored)
         order, stamp = list(FEED_ORDER), F.current_timestamp()
@@ -144,41 +166,47 @@ class FeedLoader:
             scored.filter("paper_key IS NOT NULL").withColumns(
                 {"source_query": F.lit(self.query_text), "source_start_at": self.start}
             ),
-            order, f"{load_id}-raw", {"ingested_at": stamp},
+            order, f"{load_id}-raw", {"ingested_at": stamp}, content=content,
         )
-        self.clean.upsert(clean, order, f"{load_id}-clean", {"loaded_at": stamp})
-        self._load_authors(clean, load_id)
+        self.clean.upsert(clean, order, f"{load_id}-clean", {"loaded_at": stamp}, content=content)
+        self._load_authors(clean, load_id, content)
         self.rejected.upsert(
-            rejected.withColumnRenamed(REASON, "reason"), order, f"{load_id}-rejected", {"rejected_at": stamp}
+            rejected.withColumnRenamed(REASON, "reason"), order, f"{load_id}-rejected", {"rejected_at": stamp}, content=content
         )
-        newest = last_in_feed(scored).select(
+        # A late page never takes the watermark back.
+        seen = watermark_of(self.state.current(), self.source_name).agg(F.max("watermark_published_at").alias("w")).first().w
+        newer = last_in_feed(scored)
+        newest = (newer if seen is None else newer.filter(F.col("published_at") >= F.lit(seen))).select(
             F.lit(self.source_name).alias("source_name"),
             F.col("published_at").alias("watermark_published_at"),
             F.col("paper_key").alias("watermark_paper_key"),
             F.lit(load_id).alias("last_batch_id"),
         )
-        self.state.upsert(newest, ["watermark_published_at"], f"{load_id}-state", {"updated_at": stamp})
+        self.state.upsert(newest, ["watermark_published_at"], f"{load_id}-state", {"updated_at": stamp}, content=content)
         return scored
 
-    def _load_authors(self, clean: DataFrame, load_id: str) -> None:
+    def _load_authors(self, clean: DataFrame, load_id: str, content: str) -> None:
         order, stamp = list(FEED_ORDER), {"loaded_at": F.current_timestamp()}
         commit_id = f"{load_id}-authors"
         if not self.replace_children:
             rows = author_rows(clean).withColumn("batch_id", F.lit(load_id))
-            self.authors.upsert(rows, order, commit_id, stamp)
+            self.authors.upsert(rows, order, commit_id, stamp, content=content)
             return
-        # Optional: a reloaded paper keeps only the authors of its last record, in one commit.
+        # Optional: a reloaded paper keeps only the authors of its last record; the others are marked as deleted.
         last = last_per_key(clean.select("paper_key", "authors", *order), ["paper_key"], order)
-        rows = author_rows(last).withColumn("batch_id", F.lit(load_id)).withColumns(stamp)
-        kept = salted_join(
-            self.authors.current(), last.select("paper_key"), "paper_key", "left_anti", ["author_order"]
-        )
-        self.authors.replace(kept.unionByName(rows.select(*kept.columns)), commit_id)
+        rows = author_rows(last).withColumn("batch_id", F.lit(load_id))
+        former = self.authors.current().join(last.select("paper_key"), "paper_key", "left_semi")
+        self.authors.upsert(rows, order, commit_id, stamp, content=content, gone=former)
 
     def checks(self, load_id: str) -> DataFrame:
-        return paper_checks(
+        """The load checks; for a bounded reload also the records outside of the window."""
+        checks = paper_checks(
             self.raw.current(), self.clean.current(), self.authors.current(), self.rejected.current(), load_id
         )
+        if not self.window_only:
+            return checks
+        outside = self.spark.range(1).select(F.lit("outside_window").alias("name"), F.lit(self.left_out).cast("bigint").alias("row_count"))
+        return checks.unionByName(outside)
 
 
 def ingest_feed(
@@ -193,9 +221,11 @@ def ingest_feed(
     landed_after: str | None = None,
     **settings,
 ) -> DataFrame:
-    """Bounded load of the landed pages in the current window; returns the load checks.
+    """Load of the landed pages; returns the load checks.
 
-    ``landed_after`` (``YYYY-MM-DDTHH:mm:ss``) skips files that landed earlier without opening them.
+    With ``max_papers`` each run takes the next so many clean records that are not loaded yet. ``landed_after``
+    (``YYYY-MM-DDTHH:mm:ss``) skips files that landed earlier without opening them; ``stream_feed`` remembers by
+    itself which files it has loaded.
     """
     load_id = load_id or str(uuid4())
     loader = FeedLoader(spark, root, source_name, **settings)
@@ -220,13 +250,15 @@ def stream_feed(
     """Load every page file that landed since the last run, then stop; returns the batches loaded.
 
     The checkpoint remembers files, the tables remember commits: a micro-batch that is repeated
-    after a failure changes nothing. Late rows replace stored ones, as the window overlaps.
+    after a failure changes nothing. Commit ids hold the id of the checkpoint, so another checkpoint folder never
+    meets the commits of this one. Late rows replace stored ones.
     """
     loader = FeedLoader(spark, root, source_name, **settings)
     loaded = []
 
     def write_batch(pages: DataFrame, epoch: int) -> None:
-        loader.load(pages, f"{source_name}-{epoch}")
+        run = json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
+        loader.load(pages, f"{source_name}-{run}-{epoch}")
         loaded.append(epoch)
 
     query = (

@@ -1,5 +1,6 @@
 import hashlib
 import json
+import os
 from datetime import datetime, timezone
 
 import pytest
@@ -15,7 +16,7 @@ from paperloom.plans.tables import (
 )
 from paperloom.sinks.files import read_csv, write_csv
 from paperloom.sources.feed import entry_records, page_entries, page_facts, read_pages
-from paperloom.sources.reviews_csv import missing_columns, normalize_column_name, normalize_header, read_csv_defensively
+from paperloom.sources.reviews_csv import missing_columns, normalize_header, read_csv_defensively, snake_case
 from paperloom.streaming.feed_ingest import ingest_feed, stream_feed
 
 HEADER = ",Clothing ID,Age,Title,Review Text,Rating,Recommended IND,Positive Feedback Count,Division Name,Department Name,Class Name"
@@ -35,8 +36,17 @@ def test_csv_triage(spark, tmp_path):
     assert read_csv_defensively(spark, str(path)).select("a").count() == 6
 
 
+def test_files_with_another_header_raise(spark, tmp_path):
+    folder = tmp_path / "two"
+    folder.mkdir()
+    (folder / "1.csv").write_text("a,b\n1,2\n")
+    (folder / "2.csv").write_text("b,a\n2,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv_defensively(spark, str(folder), multi_line=False).collect()
+
+
 def test_header_normalisation(spark, tmp_path):
-    assert normalize_column_name("  Review -- Text (EN)! ") == "review_text_en"
+    assert snake_case("  Review -- Text (EN)! ") == "review_text_en"
     (tmp_path / "h.csv").write_text(HEADER + "\n0,1,2,t,r,5,1,0,d,e,c\n")
     frame = normalize_header(read_csv_defensively(spark, str(tmp_path / "h.csv")))
     assert missing_columns(frame) == [] and frame.columns[0] == "unnamed_0"
@@ -109,7 +119,7 @@ def test_review_ingest_numbers_many_files_in_order(spark, tmp_path):
 
 def test_review_ingest_refuses_a_wrong_header_after_landing_raw(spark, tmp_path):
     (tmp_path / "w.csv").write_text("a,b\n1,2\n")
-    with pytest.raises(ValueError, match="Missing columns: unnamed_0, clothing_id"):
+    with pytest.raises(ValueError, match="lacks required columns: unnamed_0, clothing_id"):
         ingest_reviews(spark, str(tmp_path / "w.csv"), str(tmp_path / "root"), "b1")
     assert RAW_REVIEWS.open(spark, str(tmp_path / "root")).current().count() == 1
 
@@ -192,25 +202,67 @@ def test_batch_window_cap_and_replaced_children(spark, tmp_path):
         spark, str(folder), str(tmp_path / "root"), "s", load_id, as_of=AS_OF, **kw).collect()))
     checks = load("l1", max_papers=3)
     assert (checks["raw_count"], checks["clean_count"], checks["reject_count"], checks["author_count"]) == (4, 3, 1, 6)
-    # The next run starts at the watermark less the overlap: entry 4 again, then the rest.
-    checks = load("l2")
-    assert (checks["raw_count"], checks["clean_count"]) == (4, 4)
-    assert load("l2") == checks
+    # The next capped run goes on behind the third clean entry; a window takes entry 4 again, then the rest.
+    checks = load("l2", max_papers=2)
+    assert (checks["raw_count"], checks["clean_count"]) == (2, 2)
+    assert load("l2", max_papers=2) == checks
+    checks = load("l3", window_only=True)
+    assert (checks["raw_count"], checks["clean_count"], checks["outside_window"]) == (2, 2, 5)
+    assert load("l4", max_papers=5)["raw_count"] == 0
     page_file(folder, 2, [entry(7, 7, authors=("Ann",))])
-    load("l3", replace_children=True)
+    load("l5", replace_children=True)
     authors = PAPER_AUTHORS.open(spark, str(tmp_path / "root")).current()
     assert authors.filter("paper_key = '24.7'").count() == 1 and authors.count() == 11
-    checks = load("l4", categories=["none.such"])
+    checks = load("l6", categories=["none.such"])
     assert checks["raw_count"] == 0
+    with pytest.raises(ValueError, match="other rows"):
+        load("l5", categories=["none.such"])
+
+
+def test_late_pages_new_checkpoints_and_page_names(spark, tmp_path):
+    folder, root = tmp_path / "in", str(tmp_path / "root")
+    run = lambda checkpoint: stream_feed(spark, str(folder), root, "s", str(tmp_path / checkpoint), as_of=AS_OF)
+    keys = lambda: [r[0] for r in rows(CLEAN_PAPERS.open(spark, root).current().select("paper_key"))]
+    mark = lambda: INGEST_STATE.open(spark, root).current().first().watermark_paper_key
+
+    def page(name, when, entries):
+        page_file(folder, 1, entries)
+        (folder / "page-0001.xml").rename(folder / name)
+        os.utime(folder / name, (when, when))
+
+    page("page-2.xml", 1_000, [entry(2, 2)])
+    page("page-10.xml", 2_000, [entry(10, 10)])
+    assert run("cp") == 1 and keys() == ["24.10", "24.2"] and mark() == "24.10"
+    # A page with an older entry lands late: it is loaded, and the watermark stays.
+    page("page-20240301120000.xml", 3_000, [entry(3, 3)])
+    assert run("cp") == 1 and keys() == ["24.10", "24.2", "24.3"] and mark() == "24.10"
+    # A new checkpoint reads all pages again, also those that landed meanwhile.
+    page("page-11.xml", 4_000, [entry(11, 11)])
+    assert run("other") == 1 and keys() == ["24.10", "24.11", "24.2", "24.3"] and mark() == "24.11"
+    numbers = {r.page_number for r in RAW_ENTRIES.open(spark, root).current().collect()}
+    assert numbers == {1}
+
+
+def test_capped_runs_take_everything_in_turn(spark, tmp_path):
+    folder = tmp_path / "in"
+    for number, days in ((2, (1, 2, 3)), (10, (4, 5, 6))):
+        page_file(folder, number, [entry(n, n, title="" if n == 5 else "T") for n in days])
+        os.utime(folder / f"page-{number:04d}.xml", (number, number))
+    seen = []
+    for turn in range(5):
+        ingest_feed(spark, str(folder), str(tmp_path / "root"), "s", f"t{turn}", max_papers=2, as_of=AS_OF)
+        seen.append(CLEAN_PAPERS.open(spark, str(tmp_path / "root")).current().count())
+    assert seen == [2, 4, 5, 5, 5]
+    assert REJECTED_ENTRIES.open(spark, str(tmp_path / "root")).current().count() == 1
 
 
 def test_full_run_twice_changes_nothing(spark, tmp_path):
     folder, root = tmp_path / "in", tmp_path / "root"
     page_file(folder, 1, [entry(n, n, title="Deep graph learning") for n in range(1, 6)])
-    first = run_all(spark, str(folder), str(root), "s", "r1", as_of=AS_OF)
+    first = run_all(spark, str(folder), str(root), "s", as_of=AS_OF)
     counts, tables = rows(first), stored(spark, root)
     assert ("clean_papers", 5) in counts and ("paper_authors", 10) in counts and ("pipeline_state", 1) in counts
-    assert rows(run_all(spark, str(folder), str(root), "s", "r2", as_of=AS_OF)) == counts
+    assert rows(run_all(spark, str(folder), str(root), "s", as_of=AS_OF)) == counts
     assert stored(spark, root) == tables
     assert spark.table("mv_agent_category_cooccurrence").collect() == [("cs.LG", "stat.ML", 5)]
     papers = CLEAN_PAPERS.open(spark, str(root)).current()
