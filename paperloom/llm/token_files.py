@@ -15,8 +15,8 @@ Scale: rows are range-partitioned by id and hash of the text, so a repeated id d
 task streams its documents into one file below the shared folder and renames it when complete, so a
 retried task replaces what a lost one left. The driver sees one manifest row per file.
 
-Encoding remembers what pieces of text encode to. A text is cut only at single spaces between visible
-characters, which the byte-level pre-tokenizer never joins across; so the ids equal those of the whole text.
+Encoding remembers what pieces of text encode to. A text is cut only where the byte-level pre-tokenizer never
+joins across, such as single spaces between visible characters; so the ids equal those of the whole text.
 
 Defined cases: null text is encoded as empty text (just the end id); a null id sorts first and is kept as null;
 equal ids are ordered by a hash of their text; an empty table gives no rows.
@@ -29,6 +29,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +43,11 @@ from paperloom.session import fresh_path
 MAGIC = b"PLTOKEN1"
 BLOCK = 8192
 _TRAILER = struct.Struct("<4q")
-_space = re.compile(r"(?<=\S) (?=\S)")
-_odd_space = re.compile(r"\s \s?| \s| $")
-_line = re.compile(r"(?<=\S)(\n)(?=\S)")
+#: Cuts a text only where the byte-level pre-tokenizer cuts as well: a word with its space, a comma or full stop behind a
+#: word, a single line break, or else all up to the next single space between visible characters.
+_pieces = re.compile(
+    r" ?[^\W\d_]+(?=[ ,.\n])|(?<=[^\W_])[,.](?=[ \n]\S)|(?<=\S)\n(?=\S)|.+?(?=(?<=\S) \S|\Z)", re.DOTALL
+).findall
 
 
 # --- bits -----------------------------------------------------------------------------------------
@@ -166,45 +169,36 @@ class TokenFile:
 # --- encoding -----------------------------------------------------------------------------------------
 
 class Encoder:
-    """Whole texts to ids as bytes, by a tokenizer of the byte-level kind, remembering pieces."""
+    """Whole texts to ids as bytes, by a tokenizer of the byte-level kind, remembering pieces.
 
-    MEMORY = 1_000_000
+    Memory is kept in two generations: when the young one is full it becomes the old one, and pieces that are met
+    again move back into the young one, so common pieces stay.
+    """
+
+    MEMORY = 700_000
 
     def __init__(self, tokenizer: Tokenizer) -> None:
         self.tokenizer = tokenizer
-        self.known: dict[str, bytes] = {}
-
-    @staticmethod
-    def units(text: str) -> list[str]:
-        """The text in pieces, each but the first with the single space in front of it."""
-        parts = text.split(" ") if _odd_space.search(text) is None else _space.split(text)
-        return [parts[0], *[" " + p for p in parts[1:]]]
-
-    @staticmethod
-    def pieces(unit: str) -> list[str]:
-        """A unit cut at single line breaks and in front of one closing comma or full stop."""
-        out = []
-        for part in _line.split(unit):
-            word = part[:-1]
-            if len(part) > 1 and part[-1] in ",." and (word[1:] if word[0] == " " else word).isalpha():
-                out += [word, part[-1]]
-            elif part:
-                out.append(part)
-        return out
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [self.units(text or "") for text in texts]
-        if len(self.known) > self.MEMORY:
-            self.known = {}
-        known = self.known
-        new = {unit for units in split for unit in units if unit not in known}
-        cut = {unit: self.pieces(unit) for unit in new}
-        missing = list({p for pieces in cut.values() for p in pieces if p not in known})
+        split = [_pieces(text or "") for text in texts]
+        if len(self.young) > self.MEMORY:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        new: set[str] = set()
+        for pieces in split:
+            new.update(filterfalse(young.__contains__, pieces))
+        missing = []
+        for piece in new:
+            if piece in old:
+                young[piece] = old[piece]
+            else:
+                missing.append(piece)
         for piece, encoded in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-            known[piece] = np.array(encoded.ids, "<u4").tobytes()
-        for unit, pieces in cut.items():
-            known[unit] = b"".join([known[p] for p in pieces])
-        return [b"".join([known[u] for u in units]) for units in split]
+            young[piece] = array("I", encoded.ids).tobytes()
+        return [b"".join(map(young.__getitem__, pieces)) for pieces in split]
 
 
 _encoders: dict[int, Encoder] = {}
@@ -250,8 +244,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int
             if batch.num_rows and writer is None:
                 sink = store.open_output_stream(part)
                 writer = TokenWriter(sink, bits)
-            for first in range(0, batch.num_rows, 2000):
-                some = batch.slice(first, 2000)
+            for first in range(0, batch.num_rows, 1000):
+                some = batch.slice(first, 1000)
                 encoded = encoder.encode(some.column(1).to_pylist())
                 for doc_id, ids in zip(some.column(0).to_pylist(), encoded, strict=True):
                     writer.add(doc_id, ids + end)
