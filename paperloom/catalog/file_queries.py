@@ -28,13 +28,12 @@ _HEADER = ("", "Clothing ID", "Age", "Title", "Review Text", "Rating", "Recommen
 _TEXT_FIELDS = [c for c in fx.REVIEW_EXPRS if c != "row_number"]
 
 
-def _review_lines(spark, sf_dir) -> DataFrame:
+def _review_lines(raw: DataFrame) -> DataFrame:
     """Raw CSV lines, one per event: some with a field too many or two, some cut short."""
 
     def quoted(c: str):
         return F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"'))
 
-    raw = fx.reviews_raw(spark, sf_dir)
     full = F.concat_ws(",", *[F.coalesce(quoted(c), F.lit("")) for c in _TEXT_FIELDS])
     short = F.concat_ws(",", *[F.coalesce(quoted(c), F.lit("")) for c in _TEXT_FIELDS[:3]])
     n = F.col("row_number")
@@ -50,7 +49,7 @@ def _review_lines(spark, sf_dir) -> DataFrame:
 def land_review_files(spark, sf_dir) -> str:
     """Write the raw lines as header-first text files; the separator never occurs, so nothing is quoted."""
     path = fresh_path(spark, "review-files")
-    _review_lines(spark, sf_dir).write.option("header", "true").option("sep", "\x01").option("quote", "").csv(path)
+    _review_lines(fx.reviews_raw(spark, sf_dir)).write.option("header", "true").option("sep", "\x01").option("quote", "").csv(path)
     return path
 
 
@@ -73,6 +72,28 @@ def src_csv_defensive(spark, sf_dir):
     return reviews_csv.normalize_header(scan)
 
 
+@query(
+    "src_csv_line_breaks",
+    f"SELECT * EXCLUDE (row_number) REPLACE (CASE WHEN title IS NULL THEN NULL ELSE title || chr(10) || 'second line' END AS title) "
+    f"FROM ({SQL_SCANNED})",
+    ("reviews",),
+)
+def src_csv_line_breaks(spark, sf_dir):
+    """The same lines with line breaks inside quoted titles."""
+    path = fresh_path(spark, "review-files")
+    raw = fx.reviews_raw(spark, sf_dir)
+    kept = ~F.col("title").isin("", "None", "NaN")
+    broken = raw.withColumn("title", F.when(kept, F.concat("title", F.lit("\nsecond line"))).otherwise(F.col("title")))
+    lines = _review_lines(broken)
+    # Text files of several lines a record, each headed by the header: one file per part.
+    parts, header = 8, ",".join(_HEADER)
+    heads = spark.range(parts).select(F.col("id").cast("int").alias("part"), F.lit(0).alias("after"), F.lit(header).alias("line"))
+    body = lines.select(F.pmod(F.xxhash64(F.col(f"`{header}`")), F.lit(parts)).cast("int").alias("part"), F.lit(1).alias("after"), F.col(f"`{header}`").alias("line"))
+    together = heads.unionByName(body).repartition("part").sortWithinPartitions("part", "after")
+    together.drop("after").write.partitionBy("part").text(path)
+    return reviews_csv.normalize_header(reviews_csv.read_csv_defensively(spark, f"{path}/part=*"))
+
+
 @query("src_normalize_header", f"SELECT {', '.join(_TEXT_FIELDS)} FROM reviews", ("reviews",))
 def src_normalize_header(spark, sf_dir):
     raw = fx.reviews_raw(spark, sf_dir).select(*_TEXT_FIELDS)
@@ -118,20 +139,14 @@ def src_feed_entries(spark, sf_dir):
     )
 
 
-@query("src_feed_page_meta", "SELECT start_index, CAST(2 AS BIGINT) AS total_results, 2 AS entry_count FROM feed_fields", ("feed_fields",))
+@query("src_feed_page_meta", """SELECT start_index, CASE WHEN start_index // 2 % 9 = 0 THEN 0 ELSE CAST(start_index // 2 % 50 AS BIGINT) END AS total_results,
+        CAST((SELECT count(*) FROM feed f WHERE f.start_index = p.start_index) AS INT) AS entry_count FROM feed_fields p""", ("feed_fields", "feed"))
 def src_feed_page_meta(spark, sf_dir):
     pages = feed.parse_pages(fx.feed_pages(spark, sf_dir), "xml")
     return feed.page_facts(pages).select("start_index", "total_results", "entry_count")
 
 
-_EXPORT = ", ".join(
-    "'[' || array_to_string(list_transform(categories_json, lambda c: '\"' || c || '\"'), ',') || ']' AS categories_json"
-    if c == "categories_json" else c
-    for c in tables.EXPORT_COLUMNS
-)
-
-
-@query("src_table_projection", f"SELECT {_EXPORT} FROM papers ORDER BY paper_key", ("papers",))
+@query("src_table_projection", f"{fx.SQL_EXPORTED} ORDER BY paper_key", ("papers",))
 def src_table_projection(spark, sf_dir):
     return tables.export_projection(fx.papers(spark, sf_dir))
 
@@ -153,40 +168,37 @@ def src_require_nonempty(spark, sf_dir):
 
 # --- sinks ------------------------------------------------------------------------------------
 
-_STORED = "paper_key, title, summary, published_at, author_count, comment, journal_ref, doi"
-
 
-def _stored_rows(spark, sf_dir) -> DataFrame:
-    return fx.papers(spark, sf_dir).select(*_STORED.split(", "))
+_TEXTS = [c for c in tables.EXPORT_COLUMNS if c not in ("published_at", "updated_at", "loaded_at", "author_count")]
 
 
 @query(
     "sink_csv",
     # CSV has one spelling for NULL and empty text; both come back as NULL.
-    f"SELECT * REPLACE (nullif(doi, '') AS doi, nullif(title, '') AS title) FROM (SELECT {_STORED} FROM papers)",
+    f"SELECT * REPLACE ({', '.join(f"nullif({c}, '') AS {c}" for c in _TEXTS)}) FROM ({fx.SQL_EXPORTED})",
     ("papers",),
 )
 def sink_csv(spark, sf_dir):
-    rows, path = _stored_rows(spark, sf_dir), fresh_path(spark, "csv")
+    rows, path = fx.exported(spark, sf_dir), fresh_path(spark, "csv")
     files.write_csv(rows, path)
     return files.read_csv(spark, path, rows.schema)
 
 
-@query("sink_parquet", f"SELECT {_STORED} FROM papers", ("papers",))
+@query("sink_parquet", fx.SQL_EXPORTED, ("papers",))
 def sink_parquet(spark, sf_dir):
-    rows, path = _stored_rows(spark, sf_dir), fresh_path(spark, "parquet")
+    rows, path = fx.exported(spark, sf_dir), fresh_path(spark, "parquet")
     files.write_parquet(rows, path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
 @query(
     "sink_jsonl",
-    f"SELECT {_STORED}, journal_ref IS NULL AS null_written FROM papers",
+    f"SELECT *, journal_ref IS NULL AS null_written FROM ({fx.SQL_EXPORTED})",
     ("papers",),
 )
 def sink_jsonl(spark, sf_dir):
     """JSON lines read back as text: the NULL field must be in the line."""
-    rows, path = _stored_rows(spark, sf_dir), fresh_path(spark, "jsonl")
+    rows, path = fx.exported(spark, sf_dir), fresh_path(spark, "jsonl")
     files.write_jsonl(rows, path)
     lines = spark.read.text(path)
     parsed = lines.select(F.from_json("value", rows.schema).alias("r"), F.col("value").contains('"journal_ref":null').alias("n"))
@@ -217,7 +229,11 @@ _JOB_TYPED = fx.sql_typed(f"({SQL_SCANNED})")
     "job_reviews",
     f"""SELECT unnest(['raw_count', 'clean_count', 'reject_count', 'clean_nulls', 'clean_duplicate_keys']) AS name,
                unnest([count(*), count(*) FILTER (WHERE reject_reason = ''), count(*) FILTER (WHERE reject_reason <> ''),
-                       0, 0]) AS row_count FROM ({_JOB_TYPED})""",
+                       count(*) FILTER (WHERE reject_reason = '' AND (review_key IS NULL OR clothing_id IS NULL OR
+                         review_text IS NULL OR rating IS NULL OR recommended_ind IS NULL)),
+                       count(*) FILTER (WHERE reject_reason = '')
+                         - count(DISTINCT review_key) FILTER (WHERE reject_reason = '')]) AS row_count FROM ({_JOB_TYPED})
+        UNION ALL SELECT 'rating_' || CAST(rating AS STRING), count(*) FROM ({_JOB_TYPED}) WHERE reject_reason = '' GROUP BY rating""",
     ("reviews",),
 )
 def job_reviews(spark, sf_dir):
@@ -235,25 +251,43 @@ def land_feed_pages(spark, sf_dir) -> str:
 
 
 AS_OF = datetime(2024, 3, 1, tzinfo=timezone.utc)
+# Pages whose document number is even come first; then the odd ones, and every fourth again. The watermark is the
+# last entry of the last page of the first increment, or of the second one if that is not older.
 _SQL_FEED_COUNTS = """
-SELECT unnest(['raw', 'clean', 'authors', 'rejected', 'state']) AS name,
+SELECT unnest(['raw', 'clean', 'authors', 'rejected', 'clean_of_second_load', 'rejected_of_second_load', 'watermark_day']) AS name,
        unnest([count(*), count(*) FILTER (WHERE reject_reason = ''),
                count(*) FILTER (WHERE reject_reason = '')
                  + count(*) FILTER (WHERE reject_reason = '' AND author_2 <> ''),
-               count(*) FILTER (WHERE reject_reason <> ''), 1]) AS row_count FROM feed
+               count(*) FILTER (WHERE reject_reason <> ''),
+               count(*) FILTER (WHERE reject_reason = '' AND (start_index % 4 = 2 OR start_index % 8 = 0)),
+               count(*) FILTER (WHERE reject_reason <> '' AND (start_index % 4 = 2 OR start_index % 8 = 0)),
+               day(greatest(max_by(published_at, start_index) FILTER (WHERE reject_reason = '' AND start_index % 4 = 0),
+                   max_by(published_at, start_index) FILTER (WHERE reject_reason = '' AND (start_index % 4 = 2 OR start_index % 8 = 0))
+               ))]) AS row_count FROM feed
 """
 
 
 @query("job_feed_incremental", _SQL_FEED_COUNTS, ("feed",))
 def job_feed_incremental(spark, sf_dir):
-    """A stream over all landed pages, which ends with a watermark."""
-    root = fresh_path(spark, "feed-tables")
-    stream_feed(spark, land_feed_pages(spark, sf_dir), root, "feed", f"{root}/checkpoint", page_format="parquet", as_of=AS_OF)
-    specs = {
-        "raw": RAW_ENTRIES, "clean": CLEAN_PAPERS, "authors": PAPER_AUTHORS, "rejected": REJECTED_ENTRIES,
-        "state": INGEST_STATE,
-    }
-    return quality.count_rows({name: spec.open(spark, root).current() for name, spec in specs.items()})
+    """Two increments of landed pages: the second one has late pages and some of the first again."""
+    root, landing = fresh_path(spark, "feed-tables"), fresh_path(spark, "feed-pages")
+    pages = fx.feed_pages(spark, sf_dir, "start_index")
+    load = lambda: stream_feed(spark, landing, root, "feed", f"{root}/checkpoint", page_format="parquet", as_of=AS_OF)
+    pages.filter("start_index % 4 = 0").drop("start_index").coalesce(1).write.parquet(landing)
+    load()
+    first = INGEST_STATE.open(spark, root).current().first().last_batch_id
+    pages.filter("start_index % 4 = 2 OR start_index % 8 = 0").drop("start_index").coalesce(1).write.mode("append").parquet(landing)
+    load()
+    raw, clean, authors, rejected, state = (
+        spec.open(spark, root).current() for spec in (RAW_ENTRIES, CLEAN_PAPERS, PAPER_AUTHORS, REJECTED_ENTRIES, INGEST_STATE)
+    )
+    later = F.col("batch_id") != first
+    counts = quality.count_rows({
+        "raw": raw, "clean": clean, "authors": authors, "rejected": rejected,
+        "clean_of_second_load": clean.filter(later), "rejected_of_second_load": rejected.filter(later),
+    })
+    day = state.select(F.lit("watermark_day").alias("name"), F.dayofmonth("watermark_published_at").cast("bigint").alias("row_count"))
+    return counts.unionByName(day)
 
 
 _SQL_PAIRS = """SELECT a.c AS category_a, b.c AS category_b, count(*) AS n
@@ -314,5 +348,5 @@ _FEED_WORDS = SQL_KEYWORDS.replace("FROM papers", "FROM feed WHERE reject_reason
 def job_full_run(spark, sf_dir):
     """The flow run twice over the same pages: the second run changes nothing."""
     landing, root = land_feed_pages(spark, sf_dir), fresh_path(spark, "full-run")
-    run_all(spark, landing, root, "feed", "run-1", page_format="parquet", as_of=AS_OF)
-    return run_all(spark, landing, root, "feed", "run-2", page_format="parquet", as_of=AS_OF)
+    run_all(spark, landing, root, "feed", page_format="parquet", as_of=AS_OF)
+    return run_all(spark, landing, root, "feed", page_format="parquet", as_of=AS_OF)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperloom.operators.quality import REASON, paper_reasons, typed_reviews
 from paperloom.session import land
+from paperloom.sources.tables import EXPORT_COLUMNS
 from paperloom.sources.feed import entry_records, page_entries, parse_pages
 
 
@@ -67,6 +68,19 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(table(spark, sf_dir, "documents"), {**PAPER_EXPRS, "row_hash": "sha2(text, 256)"})
 
 
+SQL_EXPORTED = "SELECT " + ", ".join(
+    "'[' || array_to_string(list_transform(categories_json, lambda c: '\"' || c || '\"'), ',') || ']' AS categories_json"
+    if c == "categories_json" else c
+    for c in EXPORT_COLUMNS
+) + " FROM papers"
+
+
+def exported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The papers with all columns of an export, lists as JSON text."""
+    rows = papers(spark, sf_dir)
+    return rows.select(*[F.to_json(c).alias(c) if c == "categories_json" else F.col(c) for c in EXPORT_COLUMNS])
+
+
 # --- authors: one per order line ---------------------------------------------------------------
 
 AUTHOR_EXPRS = {
@@ -161,8 +175,8 @@ def _xml_text(c: str):
     return clean
 
 
-def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``page_file``, ``xml``: each page reports 2 results and holds two entries."""
+def feed_pages(spark: SparkSession, sf_dir: str, *also: str) -> DataFrame:
+    """``page_file``, ``xml``, ``also``: each page holds two entries and reports some number of results, or none."""
     f = derive(table(spark, sf_dir, "documents"), FEED_FIELDS)
 
     def cat(*parts):
@@ -188,10 +202,14 @@ def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = F.lit(
         '<feed xmlns="http://www.w3.org/2005/Atom" xmlns:arxiv="http://arxiv.org/schemas/atom" '
         'xmlns:opensearch="http://a9.com/-/spec/opensearch/1.1/">'
-        "<opensearch:totalResults>2</opensearch:totalResults><opensearch:startIndex>"
     )
+    page = F.col("start_index") / 2
+    total = F.when(page % 9 == 0, F.lit("")).otherwise(
+        F.concat(F.lit("<opensearch:totalResults>"), (page % 50).cast("bigint").cast("string"), F.lit("</opensearch:totalResults>"))
+    )
+    head = F.concat(head, total, F.lit("<opensearch:startIndex>"))
     xml = F.concat(head, F.col("start_index").cast("string"), F.lit("</opensearch:startIndex>"), bad, good, F.lit("</feed>"))
-    return f.select(F.lit("page-1.xml").alias("page_file"), xml.alias("xml"))
+    return f.select(F.lit("page-1.xml").alias("page_file"), xml.alias("xml"), *also)
 
 
 def feed_records(spark: SparkSession, sf_dir: str) -> DataFrame:

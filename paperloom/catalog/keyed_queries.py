@@ -47,18 +47,13 @@ def up_dedupe_last(spark, sf_dir):
     return keyed.dedupe_last(_lines(spark, sf_dir), ["l_orderkey", "l_linenumber"], list(_LINE_COLUMNS[2:]))
 
 
-_PAPER_SLIM = "paper_key, batch_id, title, summary, published_at, loaded_at"
 _MOVED_KEY = "CAST(CAST(paper_key AS BIGINT) * 2 AS STRING)"
 _PAPER_BATCH = (
-    f"SELECT {_MOVED_KEY} AS paper_key, 'b2' AS batch_id, title || ' (2)' AS title, summary, published_at, "
-    f"TIMESTAMP '{_STAMP}' AS loaded_at FROM papers"
+    f"SELECT * REPLACE ({_MOVED_KEY} AS paper_key, 'b2' AS batch_id, title || ' (2)' AS title, "
+    f"TIMESTAMP '{_STAMP}' AS loaded_at) FROM ({fx.SQL_EXPORTED})"
 )
 
 
-def _slim(papers: DataFrame) -> DataFrame:
-    return papers.select(*_PAPER_SLIM.split(", "))
-
-
 def _paper_batch(papers: DataFrame) -> DataFrame:
     return papers.withColumns(
         {
@@ -69,19 +64,19 @@ def _paper_batch(papers: DataFrame) -> DataFrame:
     )
 
 
-_SQL_PAPER_UPSERT = _merged(f"SELECT {_PAPER_SLIM} FROM papers", _PAPER_BATCH, "paper_key")
+_SQL_PAPER_UPSERT = _merged(fx.SQL_EXPORTED, _PAPER_BATCH, "paper_key")
 
 
 @query("up_merge", _SQL_PAPER_UPSERT, ("papers",))
 def up_merge(spark, sf_dir):
-    papers = _slim(fx.papers(spark, sf_dir))
+    papers = fx.exported(spark, sf_dir)
     return keyed.upsert(papers, _paper_batch(papers), ["paper_key"], ["published_at"], {"loaded_at": _stamp()})
 
 
 @query("sink_upsert", _SQL_PAPER_UPSERT, ("papers",))
 def sink_upsert(spark, sf_dir):
     """The same upsert through a stored table: two loads, one of them sent twice, then a fold."""
-    papers = _slim(fx.papers(spark, sf_dir))
+    papers = fx.exported(spark, sf_dir)
     stored = KeyedTable(spark, fresh_path(spark, "papers-table"), papers.schema, ("paper_key",))
     stored.upsert(papers, ["published_at"], "load-1")
     for _ in range(2):
@@ -109,10 +104,13 @@ def _review_batch_sql() -> str:
     return "(" + fx._select(_REVIEW_BATCH_EXPRS, "events") + ")"
 
 
+_PAYLOAD = [c for c in fx.REVIEW_EXPRS if c != "row_number"]
+
+
 def _raw_sql(source: str, batch: str) -> str:
     return (
         f"SELECT {fx.SQL_REVIEW_HASH} AS row_hash, '{batch}' AS batch_id, row_number, 'file' AS source_url, "
-        f"clothing_id, review_text FROM {source}"
+        f"{', '.join(_PAYLOAD)} FROM {source}"
     )
 
 
@@ -121,7 +119,7 @@ def up_raw_reviews(spark, sf_dir):
     target = raw_review_rows(fx.reviews_raw(spark, sf_dir), "b1", "file")
     batch = raw_review_rows(_review_batch(spark, sf_dir), "b2", "file")
     merged = keyed.upsert(target, batch, ["row_hash"], ["row_number"])
-    payload = F.from_json("row_data", "clothing_id string, review_text string")
+    payload = F.from_json("row_data", ", ".join(f"{c} string" for c in _PAYLOAD))
     return merged.withColumn("p", payload).select("row_hash", "batch_id", "row_number", "source_url", "p.*")
 
 
@@ -193,17 +191,17 @@ def _upsert_entries(spark, sf_dir, columns: list[str], where: str = "true") -> D
     return keyed.upsert(target, second.filter(where).select(*wanted, order), ["paper_key"], [order])
 
 
-@query("up_raw_entries", _entries_sql("versioned_id, title"), ("feed",))
-def up_raw_entries(spark, sf_dir):
-    return _upsert_entries(spark, sf_dir, ["versioned_id", "title"])
-
-
 _CLEAN_ENTRY = (
     "versioned_id, title, summary, primary_category, author_count, first_author, authors_preview, arxiv_url, pdf_url, "
     "journal_ref"
 )
 
 
+@query("up_raw_entries", _entries_sql(_CLEAN_ENTRY), ("feed",))
+def up_raw_entries(spark, sf_dir):
+    return _upsert_entries(spark, sf_dir, _CLEAN_ENTRY.split(", "))
+
+
 @query("up_clean_papers", _entries_sql(_CLEAN_ENTRY, "reject_reason = ''"), ("feed",))
 def up_clean_papers(spark, sf_dir):
     return _upsert_entries(spark, sf_dir, _CLEAN_ENTRY.split(", "), f"{quality.REASON} = ''")
@@ -231,16 +229,22 @@ def up_rejected_entries(spark, sf_dir):
 
 @query(
     "up_authors",
-    """SELECT paper_key, 1 AS author_order, author_1 AS author_name FROM feed WHERE reject_reason = ''
-       UNION ALL SELECT paper_key, 2, author_2 FROM feed WHERE reject_reason = '' AND author_2 <> ''""",
+    """SELECT paper_key, 1 AS author_order, author_1 || CASE WHEN start_index % 6 = 0 THEN ' II' ELSE '' END AS author_name
+       FROM feed WHERE reject_reason = ''
+       UNION ALL SELECT paper_key, 2, author_2 FROM feed WHERE reject_reason = '' AND author_2 <> '' AND start_index % 6 <> 0""",
     ("feed",),
 )
 def up_authors(spark, sf_dir):
-    """Author rows loaded twice from the clean records: the second load replaces, adds nothing."""
+    """Stored author rows; a third of the papers comes again with a changed first and without its second author."""
     scored = fx.scored_records(spark, sf_dir)
-    clean = quality.split_by_reason(scored.withColumn("page_file", F.lit("page-1.xml")))[0]
+    clean = quality.split_by_reason(scored.withColumn("landed_at", F.lit(0).cast("timestamp")))[0]
     rows = author_rows(clean).select("paper_key", "author_order", "author_name", "start_index")
-    return keyed.upsert(rows.drop("start_index"), rows, ["paper_key", "author_order"], ["start_index"])
+    stored = KeyedTable(spark, fresh_path(spark, "authors-table"), rows.drop("start_index").schema, ("paper_key", "author_order"))
+    stored.upsert(rows, ["start_index"])
+    again = rows.filter("start_index % 6 = 0")
+    changed = again.filter("author_order = 1").withColumn("author_name", F.concat("author_name", F.lit(" II")))
+    stored.upsert(changed, ["start_index"], gone=again)
+    return stored.current()
 
 
 @query(
@@ -292,14 +296,16 @@ def st_window_bounds(spark, sf_dir):
 @query(
     "st_new_watermark",
     """SELECT CAST(ts AS TIMESTAMP) AS published_at, CAST(event_id AS STRING) AS paper_key FROM events
-       ORDER BY user_id DESC, event_id DESC LIMIT 1""",
+       ORDER BY date_trunc('day', ts) DESC, user_id DESC, event_id DESC LIMIT 1""",
 )
 def st_new_watermark(spark, sf_dir):
-    """Events as feed entries: the user is the page, the event number the place in it."""
+    """Events as feed entries: a day's pages land together, the user is the page, the event number the place in it."""
     entries = fx.table(spark, sf_dir, "events").select(
-        F.col("ts").alias("published_at"), F.col("event_id").cast("string").alias("paper_key"), "user_id", "event_id"
+        F.col("ts").alias("published_at"), F.col("event_id").cast("string").alias("paper_key"),
+        F.date_trunc("day", "ts").alias("landed_at"), F.col("user_id").alias("start_index"),
+        F.col("event_id").alias("entry_position"), F.lit("page").alias("page_file"),
     )
-    return last_in_feed(entries, ("user_id", "event_id"))
+    return last_in_feed(entries)
 
 
 # --- checks -----------------------------------------------------------------------------------

@@ -118,32 +118,45 @@ _FAULTS = (
 )
 
 
+# Some ids occur three times.
+_AGAIN = "SELECT * FROM alpaca WHERE task_type = 'keypoints' AND chunk_index = 1"
+_REPEATED = f"(SELECT * FROM alpaca UNION ALL {_AGAIN} UNION ALL {_AGAIN})"
+
+
+def _repeated(records: DataFrame) -> DataFrame:
+    again = records.filter("task_type = 'keypoints' AND metadata.chunk_index = 1")
+    return records.unionByName(again).unionByName(again)
+
+
 @query(
     "pl_validate_alpaca",
-    " UNION ALL ".join(f"SELECT '{n}' AS check_name, CAST({e} AS BIGINT) AS violations FROM alpaca" for n, e in _FAULTS),
+    " UNION ALL ".join(f"SELECT '{n}' AS check_name, CAST({e} AS BIGINT) AS violations FROM {_REPEATED}" for n, e in _FAULTS),
     ("alpaca",),
 )
 def pl_validate_alpaca(spark, sf_dir):
     # Limits above the defaults, so that there is something to find.
-    return ins.alpaca_fault_counts(alpaca(spark, sf_dir), min_input_words=40, min_output_words=20)
+    return ins.alpaca_fault_counts(_repeated(alpaca(spark, sf_dir)), min_input_words=40, min_output_words=20)
 
 
 @query(
     "pl_validate_chat",
-    """SELECT unnest(['no_records', 'duplicate_id', 'message_count', 'first_role', 'second_role',
+    # Keypoint records lose their second message, summaries start with the wrong role, the others end with it.
+    f"""SELECT unnest(['no_records', 'duplicate_id', 'message_count', 'first_role', 'second_role',
                       'empty_user_content', 'empty_assistant_content']) AS check_name,
-              unnest([CASE WHEN count(*) = 0 THEN 1 ELSE 0 END, 0, 0, 0,
-                      count(*) FILTER (WHERE task_type = 'classify'),
-                      0, count(*) FILTER (WHERE trim(output) = '')]) AS violations FROM alpaca""",
+              unnest([CASE WHEN count(*) = 0 THEN 1 ELSE 0 END, count(*) - count(DISTINCT id),
+                      count(*) FILTER (WHERE task_type = 'keypoints'), count(*) FILTER (WHERE task_type = 'summarize'),
+                      count(*) FILTER (WHERE task_type <> 'summarize'),
+                      count(*) FILTER (WHERE instruction || input = ''),
+                      count(*) FILTER (WHERE task_type = 'keypoints' OR trim(output) = '')]) AS violations FROM {_REPEATED}""",
     ("alpaca",),
 )
 def pl_validate_chat(spark, sf_dir):
-    """Chat records in which the classify answers carry a wrong role."""
-    chat = ins.chat_records(alpaca(spark, sf_dir))
-    broken = F.transform(
-        "messages",
-        lambda m: F.when(F.col("task_type") == "classify", m.withField("role", F.lit("user"))).otherwise(m),
-    )
+    """Chat records of which each task breaks another rule, some of them repeated."""
+    chat = ins.chat_records(_repeated(alpaca(spark, sf_dir)))
+    task = F.col("task_type")
+    role = F.when(task == "summarize", F.lit("assistant")).otherwise(F.lit("user"))
+    renamed = F.transform("messages", lambda m: m.withField("role", role))
+    broken = F.when(task == "keypoints", F.slice(renamed, 1, 1)).otherwise(renamed)
     return ins.chat_fault_counts(chat.withColumn("messages", broken))
 
 

@@ -208,8 +208,10 @@ def fn_extractive_summary(spark, sf_dir):
     "fn_keypoints",
     f"""SELECT paper_key, CASE WHEN len(s) = 0 THEN '- Key point unavailable due to empty chunk.'
                ELSE array_to_string(list_transform(s[1:5], lambda x: '- ' || x), chr(10)) END AS points
-        FROM (SELECT paper_key, {fx.sql_sentences('title')} AS s FROM flat)""",
+        FROM (SELECT paper_key, {fx.sql_sentences("CASE WHEN title = '' THEN '' ELSE summary END")} AS s FROM flat)""",
     ("flat",),
 )
 def fn_keypoints(spark, sf_dir):
-    return fx.papers(spark, sf_dir).select("paper_key", text.keypoints(F.col("title"), 5).alias("points"))
+    # Some texts are taken as blank, by the rule that leaves titles blank.
+    source = F.when(F.trim("title") == "", F.lit("")).otherwise(F.col("summary")).alias("source")
+    return fx.papers(spark, sf_dir).select("paper_key", source).select("paper_key", text.keypoints(F.col("source"), 5).alias("points"))

@@ -74,15 +74,15 @@ def f_submitted_range(spark, sf_dir):
 
 @query(
     "f_nonblank_source",
-    f"""SELECT paper_key FROM (SELECT * REPLACE (title AS summary) FROM papers)
+    f"""SELECT paper_key FROM (SELECT * REPLACE (CASE WHEN trim(title) = '' THEN ' ' ELSE summary END AS summary) FROM papers)
         WHERE {fx.sql_strip('paper_key')} <> '' AND {fx.sql_strip('summary')} <> ''
           AND {fx.sql_strip('primary_category')} <> ''""",
     ("papers",),
 )
 def f_nonblank_source(spark, sf_dir):
-    # Titles are blank at times, so they stand in for the summary here.
-    papers = fx.papers(spark, sf_dir).withColumn("summary", F.col("title"))
-    return nonblank_sources(papers).select("paper_key")
+    # Some texts are taken as blank, by the rule that leaves titles blank.
+    summary = F.when(F.trim("title") == "", F.lit(" ")).otherwise(F.col("summary"))
+    return nonblank_sources(fx.papers(spark, sf_dir).withColumn("summary", summary)).select("paper_key")
 
 
 @query("f_min_words", "SELECT paper_key, chunk_index FROM chunk_records", ("chunk_records",))
@@ -232,16 +232,16 @@ def state_rows(spark, sf_dir):
     )
 
 
-@query(
-    "agg_ingest_health",
-    f"""SELECT source_name, watermark_published_at, watermark_paper_key, last_batch_id,
+_HEALTH = f"""SELECT source_name, watermark_published_at, watermark_paper_key, last_batch_id,
                updated_at AS pipeline_updated_at, (SELECT count(*) FROM papers) AS clean_paper_rows,
                (SELECT count(*) FROM authors) AS author_rows, (SELECT count(*) FROM reviews) AS raw_rows,
                (SELECT count(*) FROM typed WHERE reject_reason <> '') AS rejected_rows,
-               (SELECT max(loaded_at) FROM papers) AS latest_clean_loaded_at FROM ({_STATE})""",
-    ("papers", "authors", "reviews", "typed"),
-)
-def agg_ingest_health(spark, sf_dir):
+               (SELECT max(loaded_at) FROM papers) AS latest_clean_loaded_at FROM ({_STATE})"""
+
+
+@query("agg_ingest_health", _HEALTH, ("papers", "authors", "reviews", "typed"))
+@query("agg_pipeline_health", _HEALTH, ("papers", "authors", "reviews", "typed"))
+def agg_pipeline_health(spark, sf_dir):
     raw = fx.reviews_raw(spark, sf_dir)
     rejected = quality.split_by_reason(fx.scored_reviews(spark, sf_dir, raw))[1]
     return views.ingest_health(
@@ -374,5 +374,5 @@ def sort_limit_topk(spark, sf_dir):
 def sort_feed_cap(spark, sf_dir):
     # The cap is the feature: the first entries that hold 100 clean ones.
     scored = fx.scored_records(spark, sf_dir)
-    capped = cap_at_clean_rows(scored, 100, ("start_index", "entry_position"))
+    capped = cap_at_clean_rows(scored.withColumn("landed_at", F.lit(0).cast("timestamp")), 100)
     return capped.select("versioned_id", quality.REASON)

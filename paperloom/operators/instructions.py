@@ -122,7 +122,7 @@ def _chat_faults() -> dict[str, Column]:
 
 
 def _fault_counts(records: DataFrame, faults: dict[str, Column]) -> DataFrame:
-    """``check_name``/``violations`` rows: records in all, repeated ids, and each fault. One shuffle, by id.
+    """``check_name``/``violations`` rows: no records, records beyond the first of their id, and each fault. One shuffle, by id.
 
     Faults are counted per id before the shuffle, so only ids and small counters move.
     """
@@ -130,7 +130,7 @@ def _fault_counts(records: DataFrame, faults: dict[str, Column]) -> DataFrame:
         F.count(F.lit(1)).alias("_n"), *[F.count_if(broken).alias(name) for name, broken in faults.items()]
     )
     totals = per_id.agg(
-        F.count_if(F.col("_n") > 1).alias("duplicate_id"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_id"),
         *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in faults],
         F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).cast("bigint").alias("no_records"),
     )

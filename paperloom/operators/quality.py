@@ -172,7 +172,10 @@ def review_checks(raw: DataFrame, clean: DataFrame, rejected: DataFrame, batch_i
     duplicates = duplicate_key_rows(batch, ["review_key"]).select(
         F.lit("clean_duplicate_keys").alias("name"), F.col("duplicate_rows").alias("row_count")
     )
-    return counts.unionByName(nulls).unionByName(duplicates)
+    ratings = rating_distribution(batch).select(
+        F.concat(F.lit("rating_"), F.col("rating").cast("string")).alias("name"), F.col("rating_count").alias("row_count")
+    )
+    return counts.unionByName(nulls).unionByName(duplicates).unionByName(ratings)
 
 
 def paper_checks(

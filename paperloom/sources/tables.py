@@ -29,11 +29,14 @@ def text_projection(
 ) -> DataFrame:
     """The text columns in key order; with ``max_papers`` only the first rows, with 0 every row.
 
-    ``ordered=False`` leaves out the range sort of a full scan where the consumer ignores order.
+    The cut is made at the key of the last row, so the rows stay spread over the tasks of the scan; keys are
+    unique. ``ordered=False`` leaves out the range sort where the consumer ignores order.
     """
     rows = papers.select(*TEXT_COLUMNS)
     if max_papers > 0:
-        return rows.orderBy(order_by).limit(max_papers)
+        first = papers.select(order_by).orderBy(order_by).limit(max_papers)
+        last = first.agg(F.max(order_by).alias("key"), F.count(order_by).alias("n")).first()
+        rows = rows.filter(F.col(order_by) <= F.lit(last.key)) if last.n else rows.limit(0)
     return rows.orderBy(order_by) if ordered else rows
 
 

@@ -72,7 +72,9 @@ REVIEWS = [
 def test_review_ingest(spark, tmp_path):
     source, root = review_file(tmp_path / "r.csv", REVIEWS), str(tmp_path / "root")
     checks = dict(map(tuple, ingest_reviews(spark, source, root, "b1", sample_path=f"{root}/sample").collect()))
+    ratings = {name: checks.pop(name) for name in list(checks) if name.startswith("rating_")}
     assert checks == {"raw_count": 7, "clean_count": 3, "reject_count": 3, "clean_nulls": 0, "clean_duplicate_keys": 0}
+    assert sum(ratings.values()) == 3 and ratings["rating_4"] >= 1
     clean = {r.review_key: r for r in CLEAN_REVIEWS.open(spark, root).current().collect()}
     assert clean["0"].title is None and clean["0"].class_name is None and clean["0"].review_text == "Silky, and\ncomfy"
     assert clean["1"].review_text == "Nicer" and clean["1"].rating == 5
