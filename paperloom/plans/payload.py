@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from paperloom.operators import chunking, instructions as ins
 from paperloom.operators.reports import manifest
 from paperloom.operators.split import SPLIT_SEED, TRAIN_RATIO, assign_split
-from paperloom.session import land
+from paperloom.session import land, scratch
 from paperloom.sinks.files import write_jsonl
 from paperloom.sources.tables import require_nonempty, text_projection
 
@@ -35,6 +36,19 @@ def build_payload(
     record formats are validated. Files are laid out as ``<format>/split=train|val``, so the whole set is the
     folder itself and no record is stored twice per format.
     """
+    with scratch(spark):
+        schema = _write(
+            spark, papers, out, table_name, max_chunk_words, chunk_overlap_words, min_input_words, min_output_words,
+            train_ratio, split_seed, max_papers, split_unit,
+        )
+    return spark.read.schema(schema).json(f"{out}/manifest")
+
+
+def _write(
+    spark: SparkSession, papers: DataFrame, out: str, table_name: str, max_chunk_words: int, chunk_overlap_words: int,
+    min_input_words: int, min_output_words: int, train_ratio: float, split_seed: int, max_papers: int, split_unit: str,
+) -> StructType:
+    """Write everything; the schema of the manifest row."""
     source = text_projection(papers, max_papers=max_papers, ordered=False)
     chunks = land(
         chunking.chunk_records(source, max_chunk_words, chunk_overlap_words, min_input_words), "chunks"
@@ -71,4 +85,4 @@ def build_payload(
         manifest(source.agg(count).scalar(), chunks.agg(count).scalar(), split, settings, files), "manifest"
     )
     write_jsonl(row.coalesce(1), f"{out}/manifest")
-    return row
+    return row.schema

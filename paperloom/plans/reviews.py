@@ -6,13 +6,14 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from paperloom.operators.keyed import KeyedTable
 from paperloom.operators.positions import number_file_rows
 from paperloom.operators.quality import (
     CLEAN_REVIEW_COLUMNS, REASON, REJECT_REVIEW_COLUMNS, review_checks, split_by_reason, typed_reviews,
 )
 from paperloom.plans.tables import CLEAN_REVIEWS, RAW_REVIEWS, REJECTED_REVIEWS
 from paperloom.functions.hashing import row_hash
-from paperloom.session import land
+from paperloom.session import land, scratch
 from paperloom.sinks.files import write_reject_sample
 from paperloom.sources.reviews_csv import normalize_header, read_csv_defensively, require_columns
 from paperloom.sources.tables import require_nonempty
@@ -57,6 +58,15 @@ def ingest_reviews(
     """
     batch_id = batch_id or str(uuid4())
     now = F.current_timestamp() if loaded_at is None else loaded_at
+    with scratch(spark):
+        tables = _load(spark, csv_path, root, batch_id, source_url or csv_path, sample_path, multi_line, now)
+    return review_checks(*[table.current() for table in tables], batch_id)
+
+
+def _load(
+    spark: SparkSession, csv_path: str, root: str, batch_id: str, source_url: str, sample_path: str | None,
+    multi_line: bool, now: Column,
+) -> tuple[KeyedTable, KeyedTable, KeyedTable]:
     scanned = normalize_header(read_csv_defensively(spark, csv_path, multi_line))
     names = scanned.columns
     positioned = read_csv_defensively(spark, csv_path, multi_line, with_position=True)
@@ -64,7 +74,7 @@ def ingest_reviews(
     require_nonempty(raw, "review file")
     raw_table, clean_table, reject_table = (t.open(spark, root) for t in (RAW_REVIEWS, CLEAN_REVIEWS, REJECTED_REVIEWS))
     raw_table.upsert(
-        raw_review_rows(raw, batch_id, source_url or csv_path), ["row_number"], f"{batch_id}-raw", {"ingested_at": now}
+        raw_review_rows(raw, batch_id, source_url), ["row_number"], f"{batch_id}-raw", {"ingested_at": now}
     )
     require_columns(raw)
     # The typed rows feed two tables and the sample: written once, read three times.
@@ -79,4 +89,4 @@ def ingest_reviews(
     )
     if sample_path:
         write_reject_sample(rejected, sample_path, ["row_number"], list(REJECT_REVIEW_COLUMNS))
-    return review_checks(raw_table.current(), clean_table.current(), reject_table.current(), batch_id)
+    return raw_table, clean_table, reject_table

@@ -4,9 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from paperloom.folders import delete
+
+# Paths handed out inside each open ``scratch`` block.
+_open: list[list[str]] = []
+
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and the bench; on a cluster the submitted session is used as it is."""
@@ -40,7 +47,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path nobody else writes to, below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what ``land`` and ``fresh_path`` made inside the block; nothing lazy may outlive it."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            delete(spark, path)
 
 
 def land(df: DataFrame, name: str) -> DataFrame:

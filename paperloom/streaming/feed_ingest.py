@@ -13,7 +13,7 @@ from paperloom.operators.keyed import last_per_key
 from paperloom.operators.quality import REASON, paper_checks, paper_reasons, split_by_reason
 from paperloom.plans.tables import CLEAN_PAPERS, INGEST_STATE, PAPER_AUTHORS, RAW_ENTRIES, REJECTED_ENTRIES
 from paperloom.plans.views import in_categories, submitted_between
-from paperloom.session import land
+from paperloom.session import land, scratch
 from paperloom.sinks.files import write_reject_sample
 from paperloom.sources.feed import entry_records, page_entries, read_pages, stream_pages
 
@@ -229,11 +229,12 @@ def ingest_feed(
     """
     load_id = load_id or str(uuid4())
     loader = FeedLoader(spark, root, source_name, **settings)
-    scored = loader.load(read_pages(spark, landing, page_format, landed_after), load_id, max_papers)
-    if sample_path:
-        rejects = scored.filter(F.col(REASON) != "").withColumnRenamed(REASON, "reason")
-        columns = ["paper_key", "row_hash", "reason", "raw_payload"]
-        write_reject_sample(rejects, sample_path, list(FEED_ORDER), columns, skip_empty=True)
+    with scratch(spark):
+        scored = loader.load(read_pages(spark, landing, page_format, landed_after), load_id, max_papers)
+        if sample_path:
+            rejects = scored.filter(F.col(REASON) != "").withColumnRenamed(REASON, "reason")
+            columns = ["paper_key", "row_hash", "reason", "raw_payload"]
+            write_reject_sample(rejects, sample_path, list(FEED_ORDER), columns, skip_empty=True)
     return loader.checks(load_id)
 
 
@@ -258,7 +259,8 @@ def stream_feed(
 
     def write_batch(pages: DataFrame, epoch: int) -> None:
         run = json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
-        loader.load(pages, f"{source_name}-{run}-{epoch}")
+        with scratch(spark):
+            loader.load(pages, f"{source_name}-{run}-{epoch}")
         loaded.append(epoch)
 
     query = (
