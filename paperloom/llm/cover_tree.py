@@ -2,14 +2,16 @@
 
 A node covers its points by a ball around its centre, which is one of its points; the children's centres are a
 net of the node's points: each point is within half the node's radius of its centre, and the centres are
-further apart than that. Nodes keep the true radius of their points, which only tightens the bounds.
+further apart than that. Where that takes more than ``CHILDREN`` centres, the balls of so many stay wider. Nodes keep
+the true radius of their points, so the bounds hold either way.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-LEAF = 48
+LEAF = 200
+CHILDREN = 64
 
 
 class Tree:
@@ -50,16 +52,17 @@ class Tree:
             reach = radius / 2
             nearest, owner = gaps.copy(), np.full(len(members), self.centre[node])
             net = [self.centre[node]]
-            # the centre stays in the net; the farthest uncovered point joins it until all are covered
-            while True:
-                far = int(nearest.argmax())
-                if nearest[far] <= reach or len(net) * 2 > len(members):
+            # the centre stays in the net; the first uncovered point joins it until all are covered
+            while len(net) < CHILDREN:
+                far = int((nearest > reach).argmax())
+                if nearest[far] <= reach:
                     break
                 other = self._gaps(int(members[far]), members)
                 closer = other < nearest
                 nearest[closer], owner[closer] = other[closer], members[far]
                 net.append(int(members[far]))
-            if len(net) * 2 > len(members):  # hardly any two points are close: finer balls would hold one point each
+            _, sizes = np.unique(owner, return_counts=True)
+            if 10 * sizes.max() > 9 * len(members):  # no two points are close: finer balls would hold one point each
                 self.members[node] = members
                 continue
             for point in net:
@@ -101,11 +104,10 @@ def top_products(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, d
             scores = wide.astype(np.float64)
         same = query_ids[rows][:, None] == data_ids[points][None, :]
         scores = np.where(same, -np.inf, scores)
-        for at, row in enumerate(rows):
-            line = scores[at]
-            found = np.flatnonzero((line >= best[row, -1]) & (line > -np.inf))
-            if not len(found):
-                continue
+        better = (scores >= best[rows, -1][:, None]) & (scores > -np.inf)
+        for at in np.flatnonzero(better.any(axis=1)).tolist():
+            row, line = rows[at], scores[at]
+            found = np.flatnonzero(better[at])
             values = np.concatenate([best[row], line[found]])
             ids = np.concatenate([best_ids[row], data_ids[points[found]]])
             places = np.concatenate([best_rows[row], points[found]])
