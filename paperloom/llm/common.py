@@ -1,12 +1,12 @@
-"""Small helpers of the training-data operators: table scans, words, and whole-column batches."""
+"""Small helpers of the training-data operators: table scans, words, and the package on the executors."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
-from typing import Any
+import tempfile
+import zipfile
+from pathlib import Path
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Fixed value: a word is a run of anything but these six white-space characters.
@@ -28,16 +28,21 @@ def folded_words(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def map_columns(
-    df: DataFrame, schema: str, convert: Callable[[dict[str, Any]], dict[str, Any]], setup: Callable[[], None] | None = None
-) -> DataFrame:
-    """``convert`` turns the columns of each Arrow batch (name to Arrow array) into the columns of ``schema``."""
+_shipped: set[str] = set()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if setup is not None:
-            setup()
-        for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_pydict(convert(dict(zip(batch.schema.names, batch.columns, strict=True))))
 
-    return df.mapInArrow(run, schema)
+def shipped(df: DataFrame) -> DataFrame:
+    """``df``, after sending this package to the executors of its session, once per application.
+
+    Tasks import their functions from it, and a cluster need not have it installed.
+    """
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="paperloom-package-")) / "paperloom_package.zip"
+        with zipfile.ZipFile(archive, "w") as target:
+            for file in sorted(package.rglob("*.py")):
+                target.write(file, Path(package.name) / file.relative_to(package))
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)
+    return df

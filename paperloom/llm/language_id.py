@@ -22,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from paperloom.llm.common import shipped
+
 UNDETERMINED = "und"
 LONGEST = 5
 STEP_COST = 0.3
@@ -143,7 +145,7 @@ def identify(
     sample_chars: int = 3_000_000, columns: tuple[Column, ...] = (),
 ) -> DataFrame:
     """``columns``, then ``lang_pred`` and ``score``, for every row; ``train`` marks the rows to learn from."""
-    sample = sample_for_fit(docs.where(train), text, lang, F.coalesce(F.col(key).cast("string"), F.lit("")), sample_chars)
+    sample = sample_for_fit(shipped(docs).where(train), text, lang, F.coalesce(F.col(key).cast("string"), F.lit("")), sample_chars)
     model = docs.sparkSession.sparkContext.broadcast(fit(sample, text, lang))
     chosen = docs.select(*columns, F.col(text).alias("_text"))
     kept = chosen.columns[:-1]

@@ -21,7 +21,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paperloom.llm.common import WORD_PATTERN
+from paperloom.llm.common import WORD_PATTERN, shipped
 
 PACKED = "piece int, start_token bigint, n_tokens bigint, bin_id bigint, bin_offset bigint"
 
@@ -107,7 +107,7 @@ def pack(
     ``source`` and ``cluster`` are what must not meet in a bin; leave one out to allow it.
     """
     none = F.lit(None).cast("string")
-    items = docs.select(
+    items = shipped(docs).select(
         F.col(key).alias("_key"), (source if source is not None else none).cast("string").alias("_source"),
         (cluster if cluster is not None else none).cast("string").alias("_cluster"), size.cast("long").alias("_size"),
     )

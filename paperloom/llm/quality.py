@@ -17,7 +17,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paperloom.llm.common import find_words
+from paperloom.llm.common import find_words, shipped
 from paperloom.session import land
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -49,7 +49,7 @@ def base_failed(min_words: int = 50, max_repeat_percent: int = 50) -> Column:
 
 def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """The input rows with the five count columns."""
-    docs = docs.drop(*COUNTS)
+    docs = shipped(docs).drop(*COUNTS)
     names = docs.columns
     at = names.index(text)
 

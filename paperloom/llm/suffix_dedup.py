@@ -33,6 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from paperloom.llm.common import shipped
 from paperloom.llm.induced import common_prefixes, suffix_array
 from paperloom.session import land
 
@@ -287,7 +288,7 @@ def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 200) -> DataFrame:
     """``id``, ``place``, ``start``, ``stop``: spans of bytes to remove; they may overlap."""
-    texts = keyed(docs, key, text)
+    texts = keyed(shipped(docs), key, text)
     sifted = land(sift(segment_rows(texts, length)), "segments")
     compare = sifted.where("compare")
     sizes = compare.groupBy("k").agg(F.sum(F.col("last") - F.col("first") + length).alias("bytes"))

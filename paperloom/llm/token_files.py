@@ -38,6 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
+from paperloom.llm.common import shipped
 from paperloom.session import fresh_path
 
 MAGIC = b"PLTOKEN1"
@@ -229,7 +230,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int
     store, root = pyarrow.fs.FileSystem.from_uri(folder)
     store.create_dir(root)
     end = struct.pack("<I", end_id)
-    rows = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"), F.xxhash64(text).alias("_hash"))
+    rows = shipped(docs).select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"), F.xxhash64(text).alias("_hash"))
     ordered = rows.repartitionByRange("_id", "_hash").sortWithinPartitions("_id", "_hash", "_text")
 
     def run(batches):
@@ -274,6 +275,7 @@ def read_documents(spark: SparkSession, manifest: list) -> DataFrame:
     if not files:
         return spark.createDataFrame([], schema)
     listed = spark.createDataFrame(files, "file string, base bigint").repartition(len(files))
+    shipped(listed)
 
     def run(batches):
         for batch in batches:

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from paperloom.llm.common import shipped
 from paperloom.llm.cover_tree import top_products
 
 RESULT = "query_id bigint, vec_id bigint, score bigint"
@@ -46,7 +47,7 @@ def search(
     block_rows: int = 8192, group_rows: int = 4096,
 ) -> DataFrame:
     """``query_id``, ``rank`` from 1, ``vec_id``, ``score``: the ``k`` best rows for each query row."""
-    data = usable(rows, key, vector, scale)
+    data = usable(shipped(rows), key, vector, scale)
     queries = usable(rows.where(is_query), key, vector, scale)
     blocks = max(1, -(-data.count() // block_rows))
     groups = max(1, -(-queries.count() // group_rows))
