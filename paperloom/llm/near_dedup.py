@@ -4,9 +4,10 @@
    Equal sets are one node from here on, whatever the number of copies.
 2. Signatures are cut into bands; nodes that share a band are candidates. With ``ROWS`` rows and ``BANDS``
    bands a pair at similarity 0.8 is missed with probability (1 - 0.8 ** 5) ** 32 = 3e-6, a closer pair less.
-3. Within a bucket every node is first compared with the bucket's smallest node only, so a bucket of n
-   nodes gives n - 1 pairs. Connected components of the links found are contracted; only nodes of a bucket
-   that are still in different components are then compared with each other, by blocks, inside the tasks.
+3. Within a bucket every node is first compared with one hub only, so a bucket of n nodes gives n - 1 pairs. The
+   hub is the node that meets most others over all its buckets: what many copies were made from. Connected components of the links found are contracted; only nodes of a bucket
+   that are still in different components are then compared with each other, by blocks and inside the tasks, each
+   pair in the first bucket it shares. These steps give rows for links that join components, not for pairs.
 4. A comparison reads the signatures batch by batch. With a uniform prior, the posterior probability that
    the similarity reaches the threshold after m of n equal hashes is a binomial tail; the pair is dropped as
    soon as that is below ``miss``. Sets whose sizes alone rule the threshold out are dropped first.
@@ -31,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from paperloom.llm.common import folded_words
+from paperloom.llm.common import folded_words, shipped
 from paperloom.llm.components import components
 from paperloom.session import land
 
@@ -153,16 +154,26 @@ def sketch(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
 
 
 def bands_of(nodes: DataFrame) -> DataFrame:
-    """``key`` and ``node``: the buckets of each node."""
+    """``key``, ``band`` and ``node``: the buckets of each node."""
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
                 keys = band_keys(_matrix(batch.column(1)))
                 node = np.repeat(batch.column(0).to_numpy(), BANDS)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(node)], names=["key", "node"])
+                band = np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(band), pa.array(node)], names=["key", "band", "node"])
 
-    return nodes.select("node", "sig").mapInArrow(run, "key bigint, node bigint")
+    return nodes.select("node", "sig").mapInArrow(run, "key bigint, band int, node bigint")
+
+
+def with_hubs(bands: DataFrame) -> DataFrame:
+    """``key``, ``band``, ``node``, ``n``, ``hub``: the buckets of two nodes and more, their sizes and hubs."""
+    sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    rows = land(bands.join(sizes, "key").select("key", "band", "node", "n"), "buckets")
+    met = rows.groupBy("node").agg(F.sum("n").alias("met"))
+    hubs = rows.join(met, "node").groupBy("key").agg(F.max(F.struct("met", (-F.col("node")).alias("node"))).alias("first"))
+    return rows.join(hubs, "key").select("key", "band", "node", "n", (-F.col("first.node")).alias("hub"))
 
 
 def drop_unlikely(pairs: DataFrame, nodes: DataFrame, percent: int, miss: float) -> DataFrame:
@@ -185,18 +196,32 @@ def drop_unlikely(pairs: DataFrame, nodes: DataFrame, percent: int, miss: float)
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.searchsorted(b, a)
+    shared = int((b[np.minimum(at, len(b) - 1)] == a).sum()) if len(b) else 0
+    return 100 * shared >= percent * (len(a) + len(b) - shared)
+
+
+def texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``node`` and ``text`` of the wanted nodes, landed: a document of each node is looked up by id and hash."""
+    chosen = nodes.join(wanted.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "place")
+    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("place"), F.col(text).alias("text"))
+    same = F.coalesce(F.col("doc_id"), F.lit(-1))
+    found = texts.withColumn("id", same).drop("doc_id").join(chosen.withColumn("id", same).drop("doc_id"), ["id", "place"])
+    # rows repeated as a whole are one text; the join has dealt them by these columns already
+    return land(found.dropDuplicates(["id", "place"]).select("node", "text"), "suspects")
+
+
 def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold.
 
-    The texts of the nodes are looked up once; each partner b travels to its a, and the partners of one a are
-    dealt in parts of about ``PART``, each of which gets a's text first and streams over the others.
+    Each partner b travels to its a, and the partners of one a are dealt in parts of about ``PART``, each of
+    which gets a's text first and streams over the others.
     """
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = nodes.join(ends, "node", "left_semi").select("node", "doc_id", "place")
-    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("place"), F.col(text).alias("text"))
-    same = F.coalesce(F.col("doc_id"), F.lit(-1))
-    found = texts.withColumn("id", same).drop("doc_id").join(wanted.withColumn("id", same).drop("doc_id"), ["id", "place"])
-    found = land(found.select("node", "text"), "suspects")
+    found = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), nodes, docs, key, text)
     parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
     sent = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
     partners = sent.join(found.withColumnRenamed("node", "b"), "b").select("a", "part", F.lit(1).alias("kind"), "b", "text")
@@ -214,8 +239,7 @@ def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text:
                     head, own = a[at], other
                     continue
                 assert head == a[at]
-                shared = len(np.intersect1d(own, other, assume_unique=True))
-                if 100 * shared >= percent * (len(own) + len(other) - shared):
+                if similar(own, other, percent):
                     links.append((a[at], b[at]))
             columns = list(zip(*links, strict=True)) or [(), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
@@ -224,45 +248,79 @@ def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text:
     return together.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def across_components(members: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int, miss: float) -> DataFrame:
-    """Pairs of one bucket in different components that the test on signatures keeps; pairs with the hub are done.
+class Groups:
+    """Which labels have been joined."""
 
-    Buckets of more than ``BLOCK`` nodes are compared block by block.
+    def __init__(self) -> None:
+        self.parent: dict[int, int] = {}
+
+    def root(self, label: int) -> int:
+        while (up := self.parent.get(label, label)) != label:
+            self.parent[label] = label = self.parent.get(up, up)
+        return label
+
+    def join(self, a: int, b: int) -> None:
+        self.parent[self.root(a)] = self.root(b)
+
+
+def across_components(
+    members: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, shingle: int, percent: int, miss: float
+) -> DataFrame:
+    """Links (a, b) between nodes of one bucket that are in different components; pairs with the hub are done.
+
+    Buckets of more than ``BLOCK`` nodes are compared block by block. A pair is compared in its first common
+    band, by signatures and then by full sets, unless links found in the task join its components already.
     """
     table = least_matches(percent, miss)
     labelled = members.where("n > 2").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    open_rows = labelled.join(mixed, "key", "left_semi")
+    open_rows = land(labelled.join(mixed, "key", "left_semi"), "open-buckets")
+    found = texts_of(open_rows, nodes, docs, key, text)
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     dealt = open_rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
-        "key", "node", "hub", "component", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+        "key", "band", "node", "hub", "component", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
     )
-    signed = dealt.join(nodes.select("node", "n_shingles", "sig"), "node")
+    signed = dealt.join(nodes.select("node", "n_shingles", "sig"), "node").join(found, "node")
 
     def run(rows: pa.Table) -> pa.Table:
         node, hub, component, block, counts = (rows.column(c).to_numpy() for c in ("node", "hub", "component", "own", "n_shingles"))
-        low, high = rows.column("low")[0].as_py(), rows.column("high")[0].as_py()
-        signatures = _matrix(rows.column("sig"))
+        low, high, band = (rows.column(c)[0].as_py() for c in ("low", "high", "band"))
+        signatures, texts = _matrix(rows.column("sig")), rows.column("text")
+        bands = signatures.reshape(len(signatures), BANDS, ROWS)
+        sets: dict[int, np.ndarray] = {}
+        joined, links = Groups(), []
+
+        def set_of(row: int) -> np.ndarray:
+            if row not in sets:
+                sets[row] = shingle_set(texts[row].as_py(), shingle)
+            return sets[row]
+
         left, right = np.flatnonzero((block == low) & (node != hub)), np.flatnonzero((block == high) & (node != hub))
-        out_a, out_b = [], []
-        for at in left:
+        for at in left.tolist():
             others = right[(component[right] != component[at]) & ((node[right] > node[at]) | (low != high))]
             others = others[_sizes_allow(counts[others], counts[at], percent)]
-            if len(others):
-                kept = others[plausible(np.broadcast_to(signatures[at], (len(others), HASHES)), signatures[others], table)]
-                out_a += np.minimum(node[kept], node[at]).tolist()
-                out_b += np.maximum(node[kept], node[at]).tolist()
-        return pa.table([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+            earlier = (bands[others, :band] == bands[at, :band]).all(axis=2).any(axis=1)
+            others = others[~earlier]
+            if not len(others):
+                continue
+            likely = others[plausible(np.broadcast_to(signatures[at], (len(others), HASHES)), signatures[others], table)]
+            for other in likely.tolist():
+                a, b = int(component[at]), int(component[other])
+                if joined.root(a) != joined.root(b) and similar(set_of(at), set_of(other), percent):
+                    joined.join(a, b)
+                    links.append((int(node[at]), int(node[other])))
+        columns = list(zip(*links, strict=True)) or [(), ()]
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
 
-    return signed.groupBy("key", "low", "high").applyInArrow(run, "a bigint, b bigint").distinct()
+    return signed.groupBy("key", "low", "high").applyInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80, miss: float = 1e-8,
 ) -> DataFrame:
     """``doc_id``, ``place`` (hash of the text), ``n_shingles``, ``component_id`` and ``kept``, one row per document."""
-    rows = land(sketch(docs, key, text, shingle), "sketch")
+    rows = land(sketch(shipped(docs), key, text, shingle), "sketch")
     classes = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(
         F.min(F.struct("doc_id", "place")).alias("first"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"),
         F.min("doc_id").alias("low"),
@@ -275,15 +333,14 @@ def near_duplicates(
         "nodes",
     )
     bands = bands_of(nodes)
-    hubs = bands.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = land(bands.join(hubs, "key"), "buckets")
+    members = land(with_hubs(bands), "buckets")
     stars = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     likely = land(drop_unlikely(stars, nodes, percent, miss), "likely")
     links = land(verify(likely, nodes, docs, key, text, shingle, percent), "links")
     labels = components(links)
-    more = land(across_components(members, labels, nodes, percent, miss), "likely")
+    more = land(across_components(members, labels, nodes, docs, key, text, shingle, percent, miss), "links")
     if not more.isEmpty():
-        labels = components(links.unionByName(verify(more, nodes, docs, key, text, shingle, percent)))
+        labels = components(links.unionByName(more))
     named = nodes.select("node", "digest", "low").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = named.groupBy("component").agg(F.min("low").alias("component_id"))
     by_digest = named.join(lowest, "component").select("digest", "component_id")
