@@ -102,7 +102,8 @@ def judge(
     chosen = docs.select(*[F.col(c) for c in wanted], F.col(host).alias("_host"))
     counted = with_counts(chosen, text).drop(*([] if text in columns else [text]))
     counted = land(counted.withColumn("base_failed", base_failed(min_words, max_repeat_percent)), "quality")
-    rates = host_rates(counted, "_host").select(F.col("_host").alias("_rated"), "host_rate")
+    # landed, so that its size is known before the join: documents are not shuffled by host unless hosts are many
+    rates = land(host_rates(counted, "_host").select(F.col("_host").alias("_rated"), "host_rate"), "hosts")
     joined = counted.join(rates, F.col("_host") == F.col("_rated"), "left").drop("_rated")
     bad_host = F.coalesce(F.col("host_rate") >= max_host_rate, F.lit(False))
     return joined.withColumn("kept", ~F.col("base_failed") & ~bad_host).withColumnRenamed("_host", "host")
@@ -125,6 +126,6 @@ def keep_documents(
     at = docs.columns.index(text)
     counted = with_counts(docs.select(F.col(text), F.col(host).alias("_host")), text).drop(text)
     rates = host_rates(land(counted.withColumn("base_failed", base_failed(min_words, max_repeat_percent)), "quality"), "_host")
-    bad = rates.where(F.col("host_rate") >= max_host_rate).select(F.col("_host").alias("__host"))
+    bad = land(rates.where(F.col("host_rate") >= max_host_rate).select(F.col("_host").alias("__host")), "hosts")
     passed = docs.mapInArrow(run, docs.schema)
     return passed.join(bad, passed[host] == F.col("__host"), "left_anti")
