@@ -120,7 +120,8 @@ def scored(
     share = min(1.0, train_tokens / n) if n else 1.0
     place = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(29)), F.lit(1_000_000))
     sample = docs.where(learned & (place < share * 1_000_000)).select(text)
-    weights = fit(sample, tokens, rare, token_counts, hidden, classes)
+    # landed, so that all tasks scan the documents and the fitting task reads the chosen ones only
+    weights = fit(land(sample, "lm-sample"), tokens, rare, token_counts, hidden, classes)
 
     base_of = lambda c: math.log10((c + ADDED) / (n + ADDED * (v + 1)))
     rare_of = lambda c: math.log10((c + ADDED) / (rare_n + ADDED * (rare_v + 1)))

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from paperloom.llm import gated, language_id, lm_scoring, quality, token_files
@@ -176,6 +177,20 @@ def test_scores_without_rows_or_training(spark):
     assert all(r["held_out"] and r["train_tokens"] == 0 and r["base_score"] == pytest.approx(0) for r in out)
 
 
+def test_no_task_scans_several_parts_of_the_documents(spark, tmp_path):
+    def noted(batches):
+        for batch in batches:
+            if batch.num_rows:
+                with open(f"{folder}/{TaskContext.get().taskAttemptId()}", "a") as file:
+                    file.write(f"{batch.column(0)[0]}\n")
+            yield batch
+
+    folder = str(tmp_path)
+    rows = spark.sparkContext.parallelize([(i, "a b c " * 5) for i in range(40)], 8).toDF("doc_id bigint, text string")
+    lm_scoring.scored(rows.mapInArrow(noted, rows.schema), F.lit(True)).collect()
+    assert all(len(file.read_text().split()) == 1 for file in tmp_path.iterdir())
+
+
 def tiny_model(size=7):
     model = gated.fresh_model(np.arange(size, 0, -1).astype(float), hidden=4, classes=3)
     rng = np.random.default_rng(1)
