@@ -186,8 +186,8 @@ def _gradients(model: dict, kept: list, places: list, run: Lanes, states: list)
     return grad
 
 
-def train(model: dict, documents: list[np.ndarray], lanes: int = 64, rate: float = 0.01) -> dict:
-    """One pass over the documents with Adam; the learning rate falls to a tenth."""
+def train(model: dict, documents: list[np.ndarray], lanes: int = 64, rate: float = 0.01, last: float = 0.001) -> dict:
+    """One pass over the documents with Adam; the learning rate falls from ``rate`` to ``last``."""
     run = Lanes(documents, lanes, len(model["word_b"]))
     names = [name for name in model if name != "starts"]
     first = {name: np.zeros_like(model[name]) for name in names}
@@ -206,7 +206,7 @@ def train(model: dict, documents: list[np.ndarray], lanes: int = 64, rate: float
         grad = _gradients(model, kept, steps, run, states)
         norm = float(np.sqrt(sum(float((g * g).sum()) for g in grad.values())))
         factor = min(1.0, 1.0 / max(norm, 1e-9))
-        pace = rate * (1 - 0.9 * number / rounds)
+        pace = rate + (last - rate) * number / rounds
         for name in names:
             g = grad[name] * np.float32(factor)
             first[name] = 0.9 * first[name] + 0.1 * g

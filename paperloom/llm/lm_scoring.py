@@ -3,13 +3,15 @@
 1. Every word of the training documents is counted (partial counts per task, then one shuffle).
 2. The most frequent words, at most ``dictionary``, go to all tasks with their counts; the ``vocabulary`` most frequent of
    them are the model's tokens, all other words are its rare token. The model starts from the counts over
-   all training documents and learns from whole documents with about ``train_tokens`` tokens in all, chosen by a hash.
+   all training documents and then learns from every one of them, in rounds: the documents of a round lie in shards of
+   about ``shard_tokens`` tokens, each task trains on its own shards, and the weights are averaged for the next round.
 3. All documents are scored whole: the state runs on from window to window. A rare word's probability is that of
    the rare token times its own share among the rare words.
 4. Words outside of the dictionary are joined with the counts by a shuffle and added, so that no count is left out.
 
-So what is broadcast is bounded by parameters, while counts and joins cover all data. The sample of step 2 is
-trained on in one task, which its parameter bounds.
+So what is broadcast is bounded by parameters, while counts, training and joins cover all data. Averages are taken in
+two steps, so that neither a task nor the driver meets the weights of all shards. The scores depend a little on how documents
+lie in parts when there is more than one shard; the base scores do not.
 
 Defined cases: null text is empty and has the end token only; a null id counts as empty text in the hash; without training
 documents every probability of the base is 1; repeated rows are rows; an empty table gives an empty result.
@@ -28,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from paperloom.llm.common import folded_words
 from paperloom.llm.gated import fresh_model, log_likelihoods, train
-from paperloom.session import land
+from paperloom.session import fresh_path, land
 
 #: The end token. No word is empty.
 END = b""
@@ -78,21 +80,103 @@ def _saved(model: dict) -> bytes:
     return out.getvalue()
 
 
-def fit(sample: DataFrame, tokens: dict[bytes, int], rare: int, token_counts: np.ndarray, hidden: int, classes: int) -> bytes:
-    """The trained weights; the sample is one column of texts, bounded by the caller, and is worked through in one task."""
+def _loaded(weights: bytes) -> dict:
+    with np.load(io.BytesIO(weights)) as file:
+        return {name: file[name] for name in file.files}
+
+
+WEIGHTS = "tokens bigint, model binary"
+
+
+def _weights(tokens: int, model: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([tokens], pa.int64()), pa.array([_saved(model)], pa.binary())], names=["tokens", "model"])
+
+
+def averaged(rows) -> tuple[int, dict | None]:
+    """The mean of models, each weighted by its tokens; one of them at a time is unpacked."""
+    total, sums = 0, None
+    for tokens, weights in rows:
+        model = _loaded(weights)
+        total += tokens
+        parts = {name: value if name == "starts" else value.astype(np.float64) * tokens for name, value in model.items()}
+        sums = parts if sums is None else {name: value if name == "starts" else value + parts[name] for name, value in sums.items()}
+    if sums is None:
+        return 0, None
+    return total, {name: value if name == "starts" else (value / total).astype(np.float32) for name, value in sums.items()}
+
+
+def encoded(texts: DataFrame, tokens: dict[bytes, int], rare: int, rounds: int) -> DataFrame:
+    """``document``, ``round``: each text of a one-column frame as tokens of four bytes; every part has a share in each round."""
 
     def run(batches):
-        documents = []
+        at = TaskContext.get().partitionId()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                words = [tokens.get(w, rare) for w in folded_words(text)]
-                documents.append(np.array([*words, tokens[END]], np.int32))
-        documents.sort(key=lambda d: d.tobytes())
-        model = train(fresh_model(token_counts, hidden, classes), documents) if documents else fresh_model(token_counts, hidden, classes)
-        yield pa.RecordBatch.from_arrays([pa.array([_saved(model)], pa.binary())], names=["model"])
+            documents = [
+                np.array([*(tokens.get(w, rare) for w in folded_words(text)), tokens[END]], np.int32).tobytes()
+                for text in batch.column(0).to_pylist()
+            ]
+            dealt = (np.arange(at, at + len(documents)) % rounds).astype(np.int32)
+            at += len(documents)
+            yield pa.RecordBatch.from_arrays([pa.array(documents, pa.binary()), pa.array(dealt)], names=["document", "round"])
+
+    return texts.mapInArrow(run, "document binary, round int")
+
+
+def _pass(shards: DataFrame, weights: bytes, lanes: int, most: int, rate: float, last: float, groups: int) -> bytes:
+    """The mean of the weights that the tasks reach, each on its own shards of at most ``most`` tokens and one document."""
+    sent = shards.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batches):
+        model, total, held, documents = None, 0, 0, []
+        for batch in batches:
+            for document in batch.column(0).to_pylist():
+                documents.append(np.frombuffer(document, np.int32))
+                held += len(documents[-1])
+                if held >= most:
+                    model = train(model or _loaded(sent.value), sorted(documents, key=lambda d: d.tobytes()), lanes, rate, last)
+                    total, held, documents = total + held, 0, []
+        if documents:
+            model = train(model or _loaded(sent.value), sorted(documents, key=lambda d: d.tobytes()), lanes, rate, last)
+            total += held
+        if model is not None:
+            yield _weights(total, model)
+
+    def mean(batches):
+        total, model = averaged(
+            row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+        )
+        if model is not None:
+            yield _weights(total, model)
+
+    reached = shards.mapInArrow(run, WEIGHTS)
+    if groups > 1:
+        reached = reached.repartition(groups).mapInArrow(mean, WEIGHTS)
+    model = averaged((row["tokens"], bytes(row["model"])) for row in reached.collect())[1]
+    sent.destroy()
+    return _saved(model) if model is not None else weights
+
+
+def fit(
+    texts: DataFrame, tokens: dict[bytes, int], rare: int, token_counts: np.ndarray, hidden: int, classes: int,
+    shard_tokens: int = 1_000_000, most_rounds: int = 8,
+) -> bytes:
+    """The weights after one pass over all texts (one column), which ``token_counts`` counts.
 
-    rows = sample.coalesce(1).mapInArrow(run, "model binary").collect()
-    return bytes(rows[0]["model"]) if rows else _saved(fresh_model(token_counts, hidden, classes))
+    A few shards are worked through one after the other, one a round; more of them share ``most_rounds`` rounds.
+    """
+    weights, n = _saved(fresh_model(token_counts, hidden, classes)), int(token_counts.sum())
+    rounds = max(1, min(most_rounds, n // shard_tokens))
+    parts = -(-n // (rounds * shard_tokens))
+    path = fresh_path(texts.sparkSession, "lm-shards")
+    encoded(texts, tokens, rare, rounds).write.partitionBy("round").parquet(path)
+    landed = texts.sparkSession.read.schema("document binary, round int").parquet(path)
+    pace = [0.01 * (1 - 0.9 * number / rounds) for number in range(rounds + 1)]
+    # wider lanes save CPU time, narrower ones take more steps
+    lanes = min(256, max(64, n // 50_000))
+    for number in range(rounds):
+        shards = landed.where(F.col("round") == number).select("document").coalesce(max(1, parts))
+        weights = _pass(shards, weights, lanes, 2 * shard_tokens, pace[number], pace[number + 1], math.isqrt(parts))
+    return weights
 
 
 SCORED = "row bigint, n_tokens bigint, n_known bigint, base double, score double, rest array<struct<word: binary, n: int>>"
@@ -100,7 +184,7 @@ SCORED = "row bigint, n_tokens bigint, n_known bigint, base double, score double
 
 def scored(
     docs: DataFrame, train_on: Column, key: str = "doc_id", text: str = "text", dictionary: int = 300_000, vocabulary: int = 4096,
-    train_tokens: int = 1_500_000, hidden: int = 24, classes: int = 64,
+    hidden: int = 24, classes: int = 64, shard_tokens: int = 1_000_000,
 ) -> DataFrame:
     """``key``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``, one row per document."""
     spark = docs.sparkSession
@@ -117,11 +201,7 @@ def scored(
     rare = next(at for at, (word, _) in enumerate(ranked) if word is None)
     token_counts = np.array([count for _, count in ranked], np.float64)
 
-    share = min(1.0, train_tokens / n) if n else 1.0
-    place = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(29)), F.lit(1_000_000))
-    sample = docs.where(learned & (place < share * 1_000_000)).select(text)
-    # landed, so that all tasks scan the documents and the fitting task reads the chosen ones only
-    weights = fit(land(sample, "lm-sample"), tokens, rare, token_counts, hidden, classes)
+    weights = fit(docs.where(learned).select(text), tokens, rare, token_counts, hidden, classes, shard_tokens)
 
     base_of = lambda c: math.log10((c + ADDED) / (n + ADDED * (v + 1)))
     rare_of = lambda c: math.log10((c + ADDED) / (rare_n + ADDED * (rare_v + 1)))
@@ -142,8 +222,7 @@ def scored(
 
     def run(batches):
         words, base, inner, token, weights, end, end_known = sent.value
-        with np.load(io.BytesIO(weights)) as file:
-            model = {name: file[name] for name in file.files}
+        model = _loaded(weights)
         row = TaskContext.get().partitionId() << 33
         find = words.get
         for batch in batches:

@@ -1,5 +1,6 @@
 import math
 import random
+import uuid
 import zlib
 from collections import Counter
 
@@ -191,6 +192,31 @@ def test_no_task_scans_several_parts_of_the_documents(spark, tmp_path):
     assert all(len(file.read_text().split()) == 1 for file in tmp_path.iterdir())
 
 
+def test_every_training_document_is_learned_from(spark, tmp_path, monkeypatch):
+    """Two million tokens, more than any one task takes here."""
+    folder, inner = str(tmp_path), gated.train
+
+    def noted(model, documents, *rest):
+        with open(f"{folder}/{uuid.uuid4().hex}", "w") as file:
+            file.write(f"{len(documents)} {sum(map(len, documents))}")
+        return inner(model, documents, *rest)
+
+    monkeypatch.setattr(lm_scoring, "train", noted)
+    rows = spark.range(4_000, numPartitions=4).select(F.col("id").alias("doc_id"), F.expr("repeat('a b c d e ', 100)").alias("text"))
+    out = lm_scoring.scored(rows, F.col("doc_id") >= 10, shard_tokens=100_000).agg(F.sum("score"), F.sum("base_score")).first()
+    took = [tuple(map(int, file.read_text().split())) for file in tmp_path.iterdir()]
+    assert (sum(t[0] for t in took), sum(t[1] for t in took)) == (3_990, 3_990 * 501)
+    assert max(t[1] for t in took) <= 200_000 + 501 and out[0] > 0.5 * out[1]
+
+
+def test_means_of_weights():
+    models = [{"starts": np.array([0, 2]), "turn": np.full((2, 2), x, np.float32)} for x in (1.0, 5.0)]
+    rows = [(t, lm_scoring._saved(m)) for t, m in zip((300, 100), models, strict=True)]
+    total, mean = lm_scoring.averaged(iter(rows))
+    assert total == 400 and mean["starts"].tolist() == [0, 2] and (mean["turn"] == 2).all()
+    assert lm_scoring.averaged([]) == (0, None)
+
+
 def tiny_model(size=7):
     model = gated.fresh_model(np.arange(size, 0, -1).astype(float), hidden=4, classes=3)
     rng = np.random.default_rng(1)
