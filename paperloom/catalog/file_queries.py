@@ -25,6 +25,7 @@ from paperloom.streaming.feed_ingest import stream_feed
 
 _HEADER = ("", "Clothing ID", "Age", "Title", "Review Text", "Rating", "Recommended IND",
            "Positive Feedback Count", "Division Name", "Department Name", "Class Name")
+LINES_A_FILE = 50_000
 _TEXT_FIELDS = [c for c in fx.REVIEW_EXPRS if c != "row_number"]
 
 
@@ -85,8 +86,8 @@ def src_csv_line_breaks(spark, sf_dir):
     kept = ~F.col("title").isin("", "None", "NaN")
     broken = raw.withColumn("title", F.when(kept, F.concat("title", F.lit("\nsecond line"))).otherwise(F.col("title")))
     lines = _review_lines(broken)
-    # Text files of several lines a record, each headed by the header: one file per part.
-    parts, header = 8, ",".join(_HEADER)
+    # Text files of several lines a record, each headed by the header: one file per part, as each is read by one task.
+    parts, header = max(8, -(-raw.count() // LINES_A_FILE)), ",".join(_HEADER)
     heads = spark.range(parts).select(F.col("id").cast("int").alias("part"), F.lit(0).alias("after"), F.lit(header).alias("line"))
     body = lines.select(F.pmod(F.xxhash64(F.col(f"`{header}`")), F.lit(parts)).cast("int").alias("part"), F.lit(1).alias("after"), F.col(f"`{header}`").alias("line"))
     together = heads.unionByName(body).repartition("part").sortWithinPartitions("part", "after")
@@ -273,10 +274,10 @@ def job_feed_incremental(spark, sf_dir):
     root, landing = fresh_path(spark, "feed-tables"), fresh_path(spark, "feed-pages")
     pages = fx.feed_pages(spark, sf_dir, "start_index")
     load = lambda: stream_feed(spark, landing, root, "feed", f"{root}/checkpoint", page_format="parquet", as_of=AS_OF)
-    pages.filter("start_index % 4 = 0").drop("start_index").coalesce(1).write.parquet(landing)
+    pages.filter("start_index % 4 = 0").drop("start_index").write.parquet(landing)
     load()
     first = INGEST_STATE.open(spark, root).current().first().last_batch_id
-    pages.filter("start_index % 4 = 2 OR start_index % 8 = 0").drop("start_index").coalesce(1).write.mode("append").parquet(landing)
+    pages.filter("start_index % 4 = 2 OR start_index % 8 = 0").drop("start_index").write.mode("append").parquet(landing)
     load()
     raw, clean, authors, rejected, state = (
         spec.open(spark, root).current() for spec in (RAW_ENTRIES, CLEAN_PAPERS, PAPER_AUTHORS, REJECTED_ENTRIES, INGEST_STATE)

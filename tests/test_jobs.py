@@ -2,10 +2,12 @@ import hashlib
 import json
 import os
 from datetime import datetime, timezone
+from unittest.mock import MagicMock
 
 import pytest
 from pyspark.sql import functions as F
 
+from paperloom.catalog import file_queries
 from paperloom.plans.export import compare_formats, export_papers
 from paperloom.plans.full_run import run_all
 from paperloom.plans.payload import build_payload
@@ -288,3 +290,34 @@ def test_csv_round_trip(spark, tmp_path):
     frame = spark.createDataFrame(data, "k string, x string, y string")
     write_csv(frame, str(tmp_path / "c"))
     assert rows(read_csv(spark, str(tmp_path / "c"), frame.schema)) == sorted(data, key=repr)
+
+
+def test_feed_pages_are_landed_by_all_tasks(spark, monkeypatch):
+    """Both increments of the catalog job: a file for each part that has rows."""
+    landed = []
+
+    def counted(spark, landing, *rest, **how):
+        landed.append(len([f for f in os.listdir(landing.removeprefix("file://")) if f.endswith(".parquet")]))
+        if len(landed) == 2:
+            raise KeyboardInterrupt
+
+    documents = spark.range(400, numPartitions=4).selectExpr("id AS doc_id", "'some text' AS text", "'en' AS lang", "'s' AS source")
+    monkeypatch.setattr(file_queries.fx, "table", lambda *_: documents)
+    monkeypatch.setattr(file_queries, "INGEST_STATE", MagicMock())
+    monkeypatch.setattr(file_queries, "stream_feed", counted)
+    with pytest.raises(KeyboardInterrupt):
+        file_queries.job_feed_incremental(spark, "")
+    assert landed == [4, 8]
+
+
+def test_csv_parts_grow_with_the_rows(spark, monkeypatch):
+    """With line breaks inside quotes each file is read by one task."""
+    seen = []
+    monkeypatch.setattr(file_queries, "LINES_A_FILE", 100)
+    monkeypatch.setattr(file_queries.reviews_csv, "read_csv_defensively", lambda spark, path: seen.append(path) or spark.range(0))
+    monkeypatch.setattr(file_queries.reviews_csv, "normalize_header", lambda df: df)
+    texts = {c: F.lit("x") for c in file_queries._TEXT_FIELDS}
+    raw = spark.range(2_000).withColumn("row_number", F.col("id")).withColumns(texts).withColumn("title", F.col("id").cast("string"))
+    monkeypatch.setattr(file_queries.fx, "reviews_raw", lambda *_: raw)
+    file_queries.src_csv_line_breaks(spark, "")
+    assert len([d for d in os.listdir(seen[0].removeprefix("file://").removesuffix("/part=*")) if d.startswith("part=")]) == 20
