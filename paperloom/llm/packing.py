@@ -107,12 +107,16 @@ def pack(
     ``source`` and ``cluster`` are what must not meet in a bin; leave one out to allow it.
     """
     none = F.lit(None).cast("string")
-    items = shipped(docs).select(
-        F.col(key).alias("_key"), (source if source is not None else none).cast("string").alias("_source"),
+    # rows of a key that would fill a shard are dealt by their place, all others by what they are
+    counts = docs.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__rows"))
+    often = counts.where(F.col("__rows") > shard_rows).select("__key", F.lit(True).alias("__often"))
+    salt = F.when(F.col("__often"), F.monotonically_increasing_id())
+    items = shipped(docs).join(F.broadcast(often), F.col(key).eqNullSafe(F.col("__key")), "left").select(
+        salt.alias("_salt"), F.col(key).alias("_key"), (source if source is not None else none).cast("string").alias("_source"),
         (cluster if cluster is not None else none).cast("string").alias("_cluster"), size.cast("long").alias("_size"),
     )
     shards = max(1, -(-docs.count() // shard_rows))
-    dealt = items.withColumn("_shard", F.pmod(F.xxhash64("_key", "_size", "_cluster"), F.lit(shards)))
+    dealt = items.withColumn("_shard", F.pmod(F.xxhash64("_key", "_size", "_cluster", "_salt"), F.lit(shards))).drop("_salt")
     kind = items.schema["_key"].dataType.simpleString()
 
     def run(table: pa.Table) -> pa.Table:

@@ -296,7 +296,8 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     hot = land(sizes.where(F.col("bytes") > HOT_BYTES).select("k", F.lit(True).alias("hot")), "hot-segments")
     marked = compare.join(hot, "k", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     by_doc = marked.groupBy("id", "place").agg(F.collect_list(F.struct("k", "first", "last", "whole", "hot")).alias("wanted"))
-    found = texts.join(by_doc, ["id", "place"])
+    # rows repeated as a whole give their segments once
+    found = texts.join(by_doc, ["id", "place"]).dropDuplicates(["id", "place"])
 
     def cut(batches):
         for batch in batches:
@@ -345,7 +346,7 @@ def without(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
 def _spans_by_document(docs: DataFrame, key: str, text: str, length: int) -> DataFrame:
     spans = repeated_spans(docs, key, text, length)
     return spans.groupBy(F.col("id").alias("__id"), F.col("place").alias("__place")).agg(
-        F.collect_list(F.struct("start", "stop")).alias("__spans")
+        F.collect_set(F.struct("start", "stop")).alias("__spans")
     )
 
 

@@ -199,3 +199,11 @@ def test_packing_odd_rows(spark):
             values = [r[name] for r in rows if r[name] is not None]
             assert len(set(values)) == len(values)
     assert packing.pack(no_documents(spark), packing.word_tokens()).collect() == []
+
+
+@pytest.mark.parametrize("key", [7, None])
+def test_rows_of_one_key_are_dealt_to_many_shards(spark, key):
+    rows = [(key, "same text", "s")] * 400 + [(i, "other text", "s") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    out = packing.pack(docs, packing.word_tokens(), cluster=F.md5("text"), shard_rows=20).collect()
+    assert len(out) == 800 and max(Counter(r["bin_id"] >> 32 for r in out).values()) < 100

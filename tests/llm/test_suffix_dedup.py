@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from paperloom.llm import induced, suffix_dedup
-from tests.llm.data import by_hand, no_documents, odd_documents, odd_rows
+from tests.llm.data import by_hand, no_documents, odd_documents, odd_rows, words
 
 
 def plain(rows, length=200):
@@ -98,3 +98,21 @@ def test_common_prefixes():
         a, b = order[i - 1], order[i]
         shared = next(n for n in range(17) if n == 16 or text[a + n] != text[b + n] or max(a, b) + n >= 21)
         assert got[i] == shared or max(a, b) + shared >= 21
+
+
+def test_rows_repeated_as_a_whole_are_gathered_once(spark, monkeypatch):
+    """One shard gets each segment once, and a document each of its spans once."""
+    pieces, inner = [], suffix_dedup.shard_spans
+
+    def seen(frame, *rest):
+        pieces.extend((r["id"], r["place"], r["first"]) for r in frame.collect())
+        return inner(frame, *rest)
+
+    monkeypatch.setattr(suffix_dedup, "shard_spans", seen)
+    rng = random.Random(8)
+    shared = words(rng, 100)
+    rows = [(1, words(rng, 80) + shared + words(rng, 70))] * 30 + [(2, words(rng, 60) + shared + words(rng, 50))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    spans = {r["__id"]: r["__spans"] for r in suffix_dedup._spans_by_document(docs, "doc_id", "text", 200).collect()}
+    assert pieces and len(pieces) == len(set(pieces))
+    assert set(spans) == {1, 2} and all(len(x) == len({(y["start"], y["stop"]) for y in x}) for x in spans.values())
