@@ -316,18 +316,21 @@ def across_components(
     return signed.groupBy("key", "low", "high").applyInArrow(run, "a bigint, b bigint")
 
 
-def near_duplicates(
+def grouped(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80, miss: float = 1e-8,
 ) -> DataFrame:
-    """``doc_id``, ``place`` (hash of the text), ``n_shingles``, ``component_id`` and ``kept``, one row per document."""
+    """``doc_id``, ``place`` (hash of the text), ``n_shingles``, ``component_id`` and ``survives``, one row per document.
+
+    The rows that survive have one id and one text per component: the lowest known id and, under it, the lowest place.
+    """
     rows = land(sketch(shipped(docs), key, text, shingle), "sketch")
     classes = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(
         F.min(F.struct("doc_id", "place")).alias("first"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"),
-        F.min("doc_id").alias("low"),
+        F.min("doc_id").alias("low"), F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "place")).alias("best"),
     )
     nodes = land(
         classes.select(
-            F.monotonically_increasing_id().alias("node"), "digest", "low", "n_shingles", "sig",
+            F.monotonically_increasing_id().alias("node"), "digest", "low", "best", "n_shingles", "sig",
             F.col("first.doc_id").alias("doc_id"), F.col("first.place").alias("place"),
         ),
         "nodes",
@@ -341,19 +344,25 @@ def near_duplicates(
     more = land(across_components(members, labels, nodes, docs, key, text, shingle, percent, miss), "links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
-    named = nodes.select("node", "digest", "low").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    lowest = named.groupBy("component").agg(F.min("low").alias("component_id"))
-    by_digest = named.join(lowest, "component").select("digest", "component_id")
+    named = nodes.select("node", "digest", "low", "best").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    lowest = named.groupBy("component").agg(F.min("low").alias("component_id"), F.min("best").alias("survivor"))
+    by_digest = named.join(lowest, "component").select("digest", "component_id", "survivor")
     out = rows.select("doc_id", "place", "n_shingles", "digest").join(by_digest, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "place", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
+    best = F.col("doc_id").eqNullSafe(F.col("survivor.doc_id")) & (F.col("place") == F.col("survivor.place"))
+    return out.select(
+        "doc_id", "place", "n_shingles", component.alias("component_id"), (F.col("digest").isNull() | best).alias("survives")
     )
 
 
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """``doc_id``, ``place`` (hash of the text), ``n_shingles``, ``component_id`` and ``kept``, one row per document."""
+    return grouped(docs, key, text, **how).drop("survives").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each group, rows repeated under its id once."""
-    verdict = near_duplicates(docs, key, text, **how).where("kept").select(
+    verdict = grouped(docs, key, text, **how).where("survives").select(
         F.coalesce("doc_id", F.lit(-1)).alias("__id"), F.col("place").alias("__place")
     ).distinct()
     marked = docs.withColumns({"__id": F.coalesce(F.col(key).cast("long"), F.lit(-1)), "__place": F.xxhash64(text)})

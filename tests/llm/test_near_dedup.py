@@ -124,3 +124,13 @@ def test_components(spark):
     got = components(spark.createDataFrame(edges, "a bigint, b bigint"))
     assert {r["node"]: r["component"] for r in got.collect()} == want
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+@pytest.mark.parametrize("key", [7, None])
+def test_one_near_copy_stays_when_ids_do_not_tell_them_apart(spark, key):
+    """Also a repeated row of the copy that stays goes, and rows without a word stay."""
+    text = words(random.Random(3), 200)
+    copies = [text, text + " more", text + " and more", text + " more"]
+    rows = [(key, t) for t in copies] + [(None, text + " no id"), (8, "something else"), (9, "")]
+    kept = near_dedup.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    assert sorted((r["doc_id"] for r in kept), key=repr) == sorted([key, 8, 9], key=repr)
