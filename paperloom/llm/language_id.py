@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,13 @@ _letters = re.compile(r"[^\W\d_]+").findall
 
 def words_of(text: str | None) -> list[str]:
     """Lower-cased runs of letters."""
-    return [w for w in _letters((text or "").lower()) if w.isalpha()]
+    words = []
+    for run in _letters((text or "").lower()):
+        if run.isalpha():
+            words.append(run)
+        else:  # the pattern takes numerals such as superscripts for letters
+            words += ["".join(part) for letters, part in groupby(run, str.isalpha) if letters]
+    return words
 
 
 def grams_of(word: str, size: int) -> list[str]:

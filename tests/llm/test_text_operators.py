@@ -150,6 +150,10 @@ def test_token_files_odd_rows(spark):
     assert token_files.read_documents(spark, empty).collect() == []
 
 
+def test_numerals_end_a_word():
+    assert language_id.words_of("Maison² a½b CO₂, ²³ x1y été") == ["maison", "a", "b", "co", "x", "y", "été"]
+
+
 # --- language model ---------------------------------------------------------------------------------------
 
 def plain_base(rows, learned):
