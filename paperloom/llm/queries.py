@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperloom.llm import chat, language_id, lm_scoring, mixing, near_dedup, packing, quality, suffix_dedup, token_files, topk
+from paperloom.llm import (
+    chat, language_id, lm_scoring, mixing, near_dedup, packing, periodic_runs, quality, sentence_pieces, suffix_dedup, token_alignment,
+    token_files, topk,
+)
 from paperloom.llm.common import WORD_PATTERN, documents, id_crc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,3 +166,47 @@ def identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     held_out = id_crc() % 3 == 1
     return language_id.identify(docs, ~held_out, columns=(F.col("doc_id"), held_out.alias("held_out")))
+
+
+@query("op11_token_alignment")
+def align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.document_scores(token_alignment.blocks(documents(spark, sf_dir).select("doc_id", "text"), *files))
+
+
+@query("op12_sentence_pieces")
+def encode_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return sentence_pieces.digests(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, 1 + length(k)), lambda i: ascii(k[i])::BIGINT)),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+_RUNS = f"""
+WITH k AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w, coalesce(CAST(doc_id AS VARCHAR), '') AS k FROM documents),
+h AS (SELECT r, doc_id, w, len(w) AS n, {_CRC} AS h FROM k),
+p AS (SELECT *, h // 10 AS g, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n END AS a FROM h),
+m AS MATERIALIZED (SELECT r, doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n),
+  lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) END AS w FROM p),
+x AS MATERIALIZED (SELECT r, n, unnest(range(n)) AS i, unnest(w) AS w FROM m),
+s AS (SELECT a.r, b.i - a.i AS q, a.i FROM x a JOIN x b ON a.r = b.r AND a.w = b.w AND b.i > a.i WHERE 3 * (b.i - a.i) <= a.n),
+o AS (SELECT r, q, min(i) AS s, count(*) + q AS l FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS o FROM s)
+  GROUP BY r, q, o HAVING count(*) + q >= greatest(24, 3 * q)),
+u AS MATERIALIZED (SELECT r, s, l, min(q) AS q FROM o GROUP BY r, s, l),
+e AS (SELECT r, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+  arg_min({{'s': s, 'l': l, 'q': q}}, {{'x': -l / q, 's': s, 'q': q}}) AS best FROM u GROUP BY r),
+d AS (SELECT DISTINCT u.r, x.i FROM u JOIN x ON x.r = u.r AND x.i >= u.s + u.q AND x.i < u.s + u.l),
+c AS (SELECT r, string_agg(w, ' ' ORDER BY i) AS kept FROM x ANTI JOIN d USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.s::BIGINT AS start, best.l::BIGINT AS length, best.q::BIGINT AS period,
+  (1000 * best.l // best.q)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM m LEFT JOIN e USING (r) LEFT JOIN c USING (r)
+"""
+
+
+@query("op13_periodic_runs", _RUNS)
+def find_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return periodic_runs.report(periodic_runs.periodic_runs(periodic_runs.planted(docs, id_crc())))

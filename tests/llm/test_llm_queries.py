@@ -21,7 +21,7 @@ def rounded(rows):
 
 def test_registered():
     names = entry_module.queries()
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert sum(n.startswith(f"op{number}_") for n in names) == 1
     assert names["pipeline"] is corpus_pipeline.run
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_dedup", "suffix_dedup", "mix_sources", "best_fit_packing"]
