@@ -1,7 +1,7 @@
 """Sentence-first chunking with word overlap.
 
 All steps are column expressions on one row per document: no shuffle, and the text never leaves the
-JVM. Only the order-dependent packing is a fold.
+JVM. Only the order-dependent packing is a fold, over numbers of words.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ OVERLAP_WORDS = 50
 MIN_INPUT_WORDS = 30
 
 _PIECE = "struct<text:string,words:int>"
-_STATE = "struct<chunks:array<string>,text:string,words:int>"
+_BOUND = "struct<start:int,words:int>"
+_STATE = f"struct<closed:array<{_BOUND}>,start:int,words:int,at:int>"
 
 
 def source_text(title: Column, summary: Column) -> Column:
@@ -49,33 +50,52 @@ def pieces(flat: Column, max_words: int, overlap_words: int) -> Column:
     return F.flatten(F.transform(flat_sentences(flat), lambda s: sentence_pieces(s, max_words, overlap_words)))
 
 
-def pack_pieces(pieces_col: Column, max_words: int, overlap_words: int) -> Column:
-    """Pack pieces into chunks of up to ``max_words`` words.
+def chunk_bounds(sizes: Column, max_words: int, overlap_words: int) -> Column:
+    """Where each chunk begins and ends among the words of all pieces, from the pieces' numbers of words.
 
-    When the next piece does not fit, the chunk is closed and the next one starts with its last
-    ``overlap_words`` words, so a chunk may pass ``max_words`` by the overlap.
+    A chunk holds pieces as long as they fit into ``max_words``. The next one begins with the last ``overlap_words`` words of
+    the one before and takes a piece in any case, so it may pass ``max_words`` by the overlap.
     """
-    start = F.struct(
-        F.array().cast("array<string>").alias("chunks"), F.lit("").alias("text"), F.lit(0).alias("words")
+    none = F.struct(
+        F.array().cast(f"array<{_BOUND}>").alias("closed"), *[F.lit(0).alias(name) for name in ("start", "words", "at")]
     ).cast(_STATE)
 
-    def step(state: Column, piece: Column) -> Column:
-        empty = state["words"] == 0
-        full = ~empty & (state["words"] + piece["words"] > max_words)
-        # The running text is always a single-spaced join, so its tail needs no splitting.
-        tail = F.substring_index(state["text"], " ", -overlap_words) if overlap_words > 0 else F.lit("")
-        carried = F.least(state["words"], F.lit(max(overlap_words, 0)))
-        prefix = F.when(empty, "").when(full, tail).otherwise(state["text"])
+    def step(state: Column, size: Column) -> Column:
+        full = (state["words"] > 0) & (state["words"] + size > max_words)
+        kept = F.least(state["words"], F.lit(max(overlap_words, 0)))
         return F.struct(
-            F.when(full, F.array_append(state["chunks"], state["text"])).otherwise(state["chunks"]).alias("chunks"),
-            F.concat_ws(" ", F.nullif(prefix, F.lit("")), piece["text"]).alias("text"),
-            (F.when(full, carried).otherwise(state["words"]) + piece["words"]).cast("int").alias("words"),
-        ).cast(_STATE)
+            F.when(full, F.array_append(state["closed"], _bound(state))).otherwise(state["closed"]).alias("closed"),
+            F.when(full, state["at"] - kept).otherwise(state["start"]).alias("start"),
+            (F.when(full, kept).otherwise(state["words"]) + size).alias("words"),
+            (state["at"] + size).alias("at"),
+        )
 
     def finish(state: Column) -> Column:
-        return F.when(state["words"] == 0, state["chunks"]).otherwise(F.array_append(state["chunks"], state["text"]))
+        return F.when(state["words"] == 0, state["closed"]).otherwise(F.array_append(state["closed"], _bound(state)))
+
+    return F.aggregate(sizes, none, step, finish)
+
+
+def _bound(state: Column) -> Column:
+    return F.struct(state["start"].alias("start"), state["words"].alias("words"))
+
+
+def pack_pieces(pieces_col: Column, max_words: int, overlap_words: int) -> Column:
+    """Pack pieces into chunks of up to ``max_words`` words.
+
+    A chunk is a run of the words of all pieces, its overlap included, so a fold over numbers finds the runs and each chunk
+    is one slice of the words; no text is copied while packing.
+    """
+
+    def packed(found: Column) -> Column:
+        words = F.flatten(F.transform(found, lambda p: F.split(p["text"], " ")))
+        bounds = chunk_bounds(F.transform(found, lambda p: p["words"]), max_words, overlap_words)
+        return F.transform(
+            F.array(words), lambda w: F.transform(bounds, lambda b: F.array_join(F.slice(w, b["start"] + 1, b["words"]), " "))
+        )[0]
 
-    return F.aggregate(pieces_col, start, step, finish)
+    # Bound to a name of its own, so that the pieces are made once.
+    return F.transform(F.array(F.filter(pieces_col, lambda p: p["words"] > 0)), packed)[0]
 
 
 def chunk_text(c: Column, max_words: int = MAX_WORDS, overlap_words: int = OVERLAP_WORDS) -> Column:
