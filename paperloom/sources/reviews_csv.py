@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
+from paperloom.sources.csv_records import BLOCK, FILE, RECORD, SLOT, csv_records
+
 # Texts that mean "no value" in a scanned field.
 NULL_TOKENS = (
     "", "null", "NULL", "None", "none", "NaN", "nan",
@@ -19,9 +21,7 @@ REVIEW_COLUMNS = (
     "positive_feedback_count", "division_name", "department_name", "class_name",
 )
 BAD_LINE = "_bad_line"
-ROW_SLOT = "_slot"
-ROW_FILE = "_file"
-ROW_BLOCK = "_block"
+ROW_SLOT, ROW_FILE, ROW_BLOCK = SLOT, FILE, BLOCK
 
 
 def snake_case(name: str) -> str:
@@ -67,9 +67,9 @@ def read_csv_defensively(
     pay for it. Every file must have the header of the first one; another header raises. (With two or more
     nameless columns Spark cannot compare headers, and files are taken by position.)
 
-    ``multi_line`` keeps line breaks inside quotes; such a file is read by one task, so land large
-    feeds as many files, or switch it off where no field has line breaks and files split by block.
-    Column pruning is off for this scan because it changes which lines look malformed.
+    ``multi_line`` keeps line breaks inside quotes: records are told apart over the blocks of a file (``csv_records``), which
+    writes the lines once. Where no field has line breaks, switch it off; Spark then scans the files itself. Column
+    pruning is off for that scan because it changes which lines look malformed.
     ``with_position`` adds the file, block and in-task slot of each row for ``number_file_rows``.
     """
     reader = (
@@ -78,27 +78,49 @@ def read_csv_defensively(
         .option("quote", '"')
         .option("escape", '"')
         .option("columnPruning", "false")
-        .option("multiLine", multi_line)
     )
     header = reader.csv(path).columns
     # Spark calls a nameless column _c<i>; in the file, and so in the comparison of headers, it has no name.
     in_file = ["" if name == f"_c{i}" else name for i, name in enumerate(header)]
     comparable = in_file.count("") < 2
-    names = in_file if comparable else header
-    fields = [T.StructField(name, T.StringType()) for name in (*names, BAD_LINE)]
-    scan = (
-        reader.option("enforceSchema", not comparable).option("columnNameOfCorruptRecord", BAD_LINE)
-        .schema(T.StructType(fields)).csv(path).toDF(*header, BAD_LINE)
-    )
+    read = _parsed_records if multi_line else _scanned_lines
+    scan = read(spark, reader, path, header, in_file if comparable else None)
     kept = F.col(BAD_LINE).isNull() | (_field_count(F.col(BAD_LINE)) <= len(header))
     # Always true; a scan of nothing but the raw text, as for a bare count, is refused.
     kept &= F.length(F.coalesce(F.col(f"`{header[0]}`"), F.lit(""))) >= 0
-    position = []
-    if with_position:
-        position = [
-            F.col("_metadata.file_path").alias(ROW_FILE),
-            F.col("_metadata.file_block_start").alias(ROW_BLOCK),
-            F.monotonically_increasing_id().alias(ROW_SLOT),
-        ]
     values = [null_tokens_to_null(F.col(f"`{name}`")).alias(name) for name in header]
-    return scan.filter(kept).select(*values, *position)
+    rows = scan.filter(kept)
+    if not with_position:
+        return rows.select(*values)
+    if multi_line:
+        place = F.row_number().over(Window.partitionBy(FILE, BLOCK).orderBy(SLOT)).cast("long")
+        return rows.select(*values, F.col(FILE).alias(ROW_FILE), F.col(BLOCK).alias(ROW_BLOCK), place.alias(ROW_SLOT))
+    position = (
+        F.col("_metadata.file_path").alias(ROW_FILE), F.col("_metadata.file_block_start").alias(ROW_BLOCK),
+        F.monotonically_increasing_id().alias(ROW_SLOT),
+    )
+    return rows.select(*values, *position)
+
+
+def _scanned_lines(spark: SparkSession, reader, path: str, header: list[str], in_file: list[str] | None) -> DataFrame:
+    """The columns of the header and the raw text of lines with another number of fields, by Spark's own scan."""
+    fields = [T.StructField(name, T.StringType()) for name in (*(in_file or header), BAD_LINE)]
+    reader = reader.option("enforceSchema", in_file is None).option("columnNameOfCorruptRecord", BAD_LINE)
+    return reader.schema(T.StructType(fields)).csv(path).toDF(*header, BAD_LINE)
+
+
+def _parsed_records(spark: SparkSession, reader, path: str, header: list[str], in_file: list[str] | None) -> DataFrame:
+    """As ``_scanned_lines``, from records that may hold line breaks, with their positions."""
+    records = csv_records(spark, path)
+    fields = [f"f{i}" for i in range(len(header))]
+    options = {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": BAD_LINE}
+    parsed = F.from_csv(RECORD, ", ".join(f"{name} string" for name in (*fields, BAD_LINE)), options)
+    rows = records.select(FILE, BLOCK, SLOT, "first", parsed.alias("_parsed"))
+    if in_file is not None:
+        wanted = F.array(*[F.lit(name.lower()) for name in in_file])
+        found = F.array(*[F.lower(F.coalesce(f"_parsed.{name}", F.lit(""))) for name in fields])
+        other = rows.filter(F.col("first") & ((found != wanted) | F.col(f"_parsed.{BAD_LINE}").isNotNull())).select(FILE).first()
+        if other is not None:
+            raise ValueError(f"The header of {other[FILE]} differs from that of the first file")
+    columns = [F.col(f"_parsed.{name}").alias(column) for name, column in zip(fields, header, strict=True)]
+    return rows.filter(~F.col("first")).select(*columns, f"_parsed.{BAD_LINE}", FILE, BLOCK, SLOT)
