@@ -154,11 +154,14 @@ class KeyedTable:
         latest = last_per_key(stacked, list(self.keys), [order]) if len(live["changes"]) > 1 else stacked
         return latest.drop(order)
 
-    def _merged(self, live: dict) -> DataFrame:
-        """The rows of the buckets that have changes."""
+    def _merged(self, live: dict, only: DataFrame | None = None) -> DataFrame:
+        """The rows of the buckets that have changes; with ``only`` those of its keys."""
         touched = self._touched(live)
         base = self._read(self._base_folders(live, touched.__contains__)).withColumn(_GONE, F.lit(False))
-        return merge(base, self._latest_changes(live), list(self.keys)).filter(~F.col(_GONE)).drop(_GONE)
+        changes = self._latest_changes(live)
+        if only is not None:
+            base, changes = (side.join(only, list(self.keys), "left_semi") for side in (base, changes))
+        return merge(base, changes, list(self.keys)).filter(~F.col(_GONE)).drop(_GONE)
 
     def current(self) -> DataFrame:
         """The rows as they are after the last commit; only buckets with changes are joined."""
@@ -170,6 +173,29 @@ class KeyedTable:
         merged = self._merged(live)
         return self._read(still).unionByName(merged) if still else merged
 
+    def matching(self, wanted: DataFrame) -> DataFrame:
+        """The current rows of the keys in ``wanted`` (distinct, landed); opens only the buckets these keys fall into."""
+        live = self._live()
+        places = wanted.select(self._place(live["buckets"])).distinct().collect()
+        buckets = {row[0] for row in places}
+        changes = [change | {"buckets": [b for b in change["buckets"] if b in buckets]} for change in live["changes"]]
+        near = live | {
+            "base": {b: path for b, path in live["base"].items() if int(b) in buckets},
+            "changes": [change for change in changes if change["buckets"]],
+        }
+        touched = self._touched(near)
+        still = self._read(self._base_folders(near, lambda bucket: bucket not in touched))
+        found = still.join(wanted, list(self.keys), "left_semi")
+        return found.unionByName(self._merged(near, wanted)) if touched else found
+
+    def commits(self) -> int:
+        """How many commits the table has had."""
+        return self._live()["seq"]
+
+    def has(self, commit_id: str) -> bool:
+        """Whether a commit is in, as far back as ids are remembered."""
+        return commit_id in self._live()["recent"]
+
     # --- writing ---
 
     def upsert(
@@ -214,17 +240,20 @@ class KeyedTable:
     def _typed(self, rows: DataFrame) -> DataFrame:
         return rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
 
+    def _place(self, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(F.col(self.keys[0])), F.lit(buckets)).cast("int")
+
     def _store(self, rows: DataFrame, kind: str, buckets: int) -> tuple[str, list[int]]:
-        """Write rows by bucket; the folder and the buckets in it.
+        """Write rows by bucket, sorted by key in each; the folder and the buckets in it.
 
         Rows without a first key match nothing; they are spread by all they hold.
         """
         path = f"{kind}/{uuid4().hex}"
-        first = F.col(self.keys[0])
         others = [F.col(f.name) for f in self.schema.fields if "map<" not in f.dataType.simpleString()]
-        place = F.pmod(F.when(first.isNull(), F.xxhash64(*others)).otherwise(F.xxhash64(first)), F.lit(buckets)).cast("int")
+        place = F.when(F.col(self.keys[0]).isNull(), F.pmod(F.xxhash64(*others), F.lit(buckets)).cast("int")).otherwise(self._place(buckets))
         spread = rows.withColumn(_BUCKET, place).hint("rebalance", _BUCKET)
-        spread.write.partitionBy(_BUCKET).parquet(f"{self.root}/{path}")
+        # The writer sorts by bucket anyway; with the key behind it, bounds of row groups tell where a key may be.
+        spread.sortWithinPartitions(_BUCKET, *self.keys).write.partitionBy(_BUCKET).parquet(f"{self.root}/{path}")
         found = [n for n in names(self.spark, f"{self.root}/{path}") if n.startswith(f"{_BUCKET}=")]
         return path, sorted(int(n.split("=")[1]) for n in found)
 

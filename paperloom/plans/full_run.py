@@ -4,33 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paperloom.operators.keyed import KeyedTable
 from paperloom.operators.quality import count_rows
 from paperloom.plans.export import export_papers
+from paperloom.plans.stored_views import KEYWORD_VIEW, StoredViews
 from paperloom.plans.tables import CLEAN_PAPERS, INGEST_STATE, PAPER_AUTHORS
-from paperloom.plans.views import agent_papers, category_cooccurrence, keyword_frequency
+from paperloom.plans.views import agent_papers
 from paperloom.streaming.feed_ingest import stream_feed
 
-KEYWORD_VIEW = "mv_agent_keyword_frequency"
-PAIR_VIEW = "mv_agent_category_cooccurrence"
-
 
 def refresh_views(spark: SparkSession, papers: DataFrame, root: str) -> dict[str, DataFrame]:
-    """Rebuild the two stored views below ``root``, sorted for lookups, and register them by name.
-
-    Readers of the previous content are not disturbed: a rebuild is a new folder and one commit.
-    """
-    built = {
-        KEYWORD_VIEW: (keyword_frequency(papers), ("word",)),
-        PAIR_VIEW: (category_cooccurrence(papers, "categories_json"), ("category_a", "category_b")),
-    }
-    views = {}
-    for name, (rows, order) in built.items():
-        stored = KeyedTable(spark, f"{root}/{name}", rows.schema, order)
-        stored.replace(rows.orderBy(*order))
-        views[name] = stored.current()
-        views[name].createOrReplaceTempView(name)
-    return views
+    """Rebuild the two stored views below ``root`` and register them by name; loads that are given the views keep them up."""
+    views = StoredViews(spark, root)
+    views.rebuild(papers)
+    return views.current()
 
 
 def snapshot(tables: dict[str, DataFrame]) -> DataFrame:
@@ -43,11 +29,13 @@ def run_all(
 ) -> DataFrame:
     """Feed load, stored views, export, then the snapshot. Running it twice leaves the same tables.
 
-    The load opens only pages that landed since the last run; its checkpoint lies below ``root``.
+    The load opens only pages that landed since the last run; its checkpoint lies below ``root``. The views take what the load
+    adds and replaces; they are not counted anew.
     """
-    stream_feed(spark, landing, root, source_name, f"{root}/checkpoint-{source_name}", **settings)
+    kept_up = StoredViews(spark, root)
+    stream_feed(spark, landing, root, source_name, f"{root}/checkpoint-{source_name}", views=kept_up, **settings)
     papers = CLEAN_PAPERS.open(spark, root).current()
-    views = refresh_views(spark, papers, root)
+    views = kept_up.current()
     export_papers(spark, papers, f"{root}/export/papers_csv", f"{root}/export/papers_parquet")
     return snapshot(
         {

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from paperloom.operators.selection import nth_key, up_to
+
 # Export columns in order.
 EXPORT_COLUMNS = (
     "paper_key", "versioned_id", "batch_id", "title", "summary", "published_at", "updated_at",
@@ -29,14 +31,14 @@ def text_projection(
 ) -> DataFrame:
     """The text columns in key order; with ``max_papers`` only the first rows, with 0 every row.
 
-    The cut is made at the key of the last row, so the rows stay spread over the tasks of the scan; keys are
-    unique. ``ordered=False`` leaves out the range sort where the consumer ignores order.
+    The cut is made at the key of the last row, found by counting ranges of keys (``nth_key``), so the rows stay spread over the
+    tasks of the scan; keys are unique, and rows without one are left out of a cut. ``ordered=False`` leaves out the range
+    sort where the consumer ignores order.
     """
     rows = papers.select(*TEXT_COLUMNS)
     if max_papers > 0:
-        first = papers.select(order_by).orderBy(order_by).limit(max_papers)
-        last = first.agg(F.max(order_by).alias("key"), F.count(order_by).alias("n")).first()
-        rows = rows.filter(F.col(order_by) <= F.lit(last.key)) if last.n else rows.limit(0)
+        last = nth_key(papers, [order_by], max_papers)
+        rows = rows.filter(F.col(order_by).isNotNull() if last is None else up_to(last, papers, [order_by]))
     return rows.orderBy(order_by) if ordered else rows
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from paperloom.folders import read_text
 from paperloom.operators.keyed import last_per_key
 from paperloom.operators.quality import REASON, paper_checks, paper_reasons, split_by_reason
+from paperloom.operators.selection import nth_key, up_to
+from paperloom.plans.stored_views import StoredViews
 from paperloom.plans.tables import CLEAN_PAPERS, INGEST_STATE, PAPER_AUTHORS, RAW_ENTRIES, REJECTED_ENTRIES
 from paperloom.plans.views import in_categories, submitted_between
 from paperloom.session import land, scratch
@@ -66,15 +68,14 @@ def last_in_feed(records: DataFrame, order: tuple[str, ...] = FEED_ORDER) -> Dat
 
 
 def cap_at_clean_rows(scored: DataFrame, max_papers: int, order: tuple[str, ...] = FEED_ORDER) -> DataFrame:
-    """Records in feed order up to and including the ``max_papers``-th clean one; rejects do not count."""
-    place = F.struct(*order)
-    clean = scored.filter(F.col(REASON) == "").select(*order)
-    last = clean.orderBy(*order).limit(max_papers).agg(
-        F.max(place).alias("place"), F.count(F.lit(1)).alias("n")
-    ).first()
-    if last.n < max_papers:
-        return scored
-    return scored.filter(place <= F.struct(*[F.lit(last.place[c]).alias(c) for c in order]))
+    """Records in feed order up to and including the ``max_papers``-th clean one; rejects do not count.
+
+    The place of that record is found by counting clean records per range of the order, so nothing is sorted; the places
+    are landed for it, as they are counted more than once.
+    """
+    places = land(scored.filter(F.col(REASON) == "").select(*order), "feed-places")
+    last = nth_key(places, list(order), max_papers)
+    return scored if last is None else scored.filter(up_to(last, scored, list(order)))
 
 
 def author_rows(clean: DataFrame) -> DataFrame:
@@ -103,7 +104,8 @@ class FeedLoader:
     is already in and completes the rest; a load id that comes back with other records raises.
 
     All landed records are loaded: what the feed returned for a window is what belongs to it, and late
-    rows replace stored ones by key. The window is recorded with the raw rows. ``window_only`` is for bounded
+    rows replace stored ones by key. ``views`` are kept up with the papers, by the counts of what each load adds and
+    replaces. The window is recorded with the raw rows. ``window_only`` is for bounded
     reloads of a landing folder that holds more than the window; the checks then tell how many records it left out.
     """
 
@@ -119,10 +121,11 @@ class FeedLoader:
         overlap_minutes: int = OVERLAP_MINUTES,
         replace_children: bool = False,
         window_only: bool = False,
+        views: StoredViews | None = None,
     ) -> None:
         self.spark, self.root, self.source_name = spark, root, source_name
         self.query_text, self.categories, self.replace_children = query_text, categories, replace_children
-        self.window_only, self.left_out = window_only, 0
+        self.window_only, self.left_out, self.views = window_only, 0, views
         self.raw, self.clean, self.authors, self.rejected, self.state = (
             spec.open(spark, root)
             for spec in (RAW_ENTRIES, CLEAN_PAPERS, PAPER_AUTHORS, REJECTED_ENTRIES, INGEST_STATE)
@@ -168,7 +171,14 @@ class FeedLoader:
             ),
             order, f"{load_id}-raw", {"ingested_at": stamp}, content=content,
         )
-        self.clean.upsert(clean, order, f"{load_id}-clean", {"loaded_at": stamp}, content=content)
+        commit_id = f"{load_id}-clean"
+        if self.views is not None:
+            # The feed order tells all records apart, so the other columns are not needed to find the last one of a paper.
+            added = last_per_key(clean.select("paper_key", *StoredViews.READS, *order), ["paper_key"], order)
+            self.views.prepare(self.clean, added, commit_id)
+        self.clean.upsert(clean, order, commit_id, {"loaded_at": stamp}, content=content)
+        if self.views is not None:
+            self.views.apply(self.clean, commit_id)
         self._load_authors(clean, load_id, content)
         self.rejected.upsert(
             rejected.withColumnRenamed(REASON, "reason"), order, f"{load_id}-rejected", {"rejected_at": stamp}, content=content
