@@ -11,44 +11,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 #: Sampled keys per pass.
-SPLITTERS = 63
+SPLITTERS = 31
 
 
-def _literal(row: Row, order: list[str], types: dict) -> list[Column]:
-    return [F.lit(row[c]).cast(types[c]) for c in order]
+def _key(order: list[str]) -> Column:
+    """What rows are compared by: the column itself, so that a range reaches the Parquet scan, or all columns at once."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
-def _below(order: list[str], other: list[Column]) -> Column:
-    """Whether a row's key lies before another one; a NULL part comes first, as in an ascending order.
-
-    Written out by column, so that a range of a single column reaches the Parquet scan.
-    """
-    column, value = F.col(order[0]), other[0]
-    if len(order) == 1:
-        return column < value
-    before = (column < value) | (column.isNull() & value.isNotNull())
-    return F.coalesce(before, F.lit(False)) | (column.eqNullSafe(value) & _below_all(order[1:], other[1:]))
-
-
-def _below_all(order: list[str], other: list[Column]) -> Column:
-    column, value = F.col(order[0]), other[0]
-    before = F.coalesce((column < value) | (column.isNull() & value.isNotNull()), F.lit(False))
-    return before if len(order) == 1 else before | (column.eqNullSafe(value) & _below_all(order[1:], other[1:]))
-
-
-def _same(order: list[str], other: list[Column]) -> Column:
-    if len(order) == 1:
-        return F.col(order[0]) == other[0]
-    result = F.lit(True)
-    for column, value in zip(order, other, strict=True):
-        result &= F.col(column).eqNullSafe(value)
-    return result
+def _literal(row: Row, order: list[str], types: dict) -> Column:
+    values = [F.lit(row[c]).cast(types[c]).alias(c) for c in order]
+    return values[0] if len(order) == 1 else F.struct(*values)
 
 
 def up_to(key: Row, df: DataFrame, order: list[str]) -> Column:
     """A filter: rows whose key is ``key`` or lies before it."""
-    value = _literal(key, order, dict(df.dtypes))
-    return _below(order, value) | _same(order, value)
+    return _key(order) <= _literal(key, order, dict(df.dtypes))
 
 
 def _splitters(rows: DataFrame, order: list[str], seed: int) -> list[Row]:
@@ -58,38 +36,37 @@ def _splitters(rows: DataFrame, order: list[str], seed: int) -> list[Row]:
     return some.distinct().orderBy(*order).collect()
 
 
-def _part(order: list[str], splitters: list[list[Column]], first: int) -> Column:
+def _part(key: Column, splitters: list[Column], first: int) -> Column:
     """How many splitters lie before a row's key, by a decision tree over them."""
     if not splitters:
         return F.lit(first)
     middle = len(splitters) // 2
-    after = ~(_below(order, splitters[middle]) | _same(order, splitters[middle]))
-    return F.when(after, _part(order, splitters[middle + 1 :], first + middle + 1)).otherwise(_part(order, splitters[:middle], first))
+    after = _part(key, splitters[middle + 1 :], first + middle + 1)
+    return F.when(key > splitters[middle], after).otherwise(_part(key, splitters[:middle], first))
 
 
 def nth_key(df: DataFrame, order: list[str], n: int) -> Row | None:
     """The key of the ``n``-th row (from 1) of ``df`` by ``order``, or None if there are fewer rows.
 
     Of a single column, rows without a value are no candidates; of several columns, a NULL comes first. Keys may repeat: the
-    n-th place is counted by rows. ``df`` should be a table or landed rows, as it is read once or twice per pass.
+    n-th place is counted by rows. ``df`` should be a table or landed rows, as it is read twice per pass.
     """
-    rows = df.select(*order)
-    if len(order) == 1:
-        rows = rows.filter(F.col(order[0]).isNotNull())
-    types, place, seed = dict(rows.dtypes), n, 0
     if n < 1:
         raise ValueError("places are counted from 1")
+    key, types = _key(order), dict(df.dtypes)
+    rows = df.select(*order)
+    if len(order) == 1:
+        rows = rows.filter(key.isNotNull())
+    place, seed = n, 0
     while True:
         seed += 1
         keys = _splitters(rows, order, seed)
         if not keys:
             return None
-        values = [_literal(key, order, types) for key in keys]
-        part = _part(order, values, 0).alias("_part")
-        split = rows.select(part, *order)
-        last = F.array(*[F.struct(*[v.alias(c) for v, c in zip(value, order, strict=True)]) for value in values])
-        is_last = (F.get(last, F.col("_part"))).eqNullSafe(F.struct(*order))
-        counts = split.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), F.count_if(is_last).alias("last")).collect()
+        values = [_literal(k, order, types) for k in keys]
+        parted = rows.select(key.alias("_key")).withColumn("_part", _part(F.col("_key"), values, 0))
+        is_last = F.col("_key").eqNullSafe(F.get(F.array(*values), F.col("_part")))
+        counts = parted.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), F.count_if(is_last).alias("last")).collect()
         found = None
         for row in sorted(counts, key=lambda r: r["_part"]):
             if place <= row["n"]:
@@ -102,6 +79,6 @@ def nth_key(df: DataFrame, order: list[str], n: int) -> Row | None:
         if at < len(keys) and place > found["n"] - found["last"]:
             return keys[at]
         if at > 0:
-            rows = rows.filter(~(_below(order, values[at - 1]) | _same(order, values[at - 1])))
+            rows = rows.filter(key > values[at - 1])
         if at < len(keys):
-            rows = rows.filter(_below(order, values[at]))
+            rows = rows.filter(key < values[at])
