@@ -6,7 +6,7 @@ are composed per block and then over the blocks of each file, one row per block,
 starts in. With that, each block knows where its records begin. Lines that are a record by themselves stay where they are;
 only the lines of longer records meet their others, by the number of the record in its file.
 
-Lines are exchanged once, by file and block. Quotes count as the CSV reader counts them: one opens a field only at its start, two
+Lines are exchanged by file and block, once as lines and once as records, which come in the order of the file. Quotes count as the CSV reader counts them: one opens a field only at its start, two
 inside a field are one character, and text behind a closing quote belongs to the field.
 """
 
@@ -110,7 +110,7 @@ def csv_records(spark: SparkSession, path: str, max_lines: int = MAX_LINES) -> D
     numbered = longer.join(starts, [FILE, BLOCK]).withColumn("number", F.col("earlier") + F.col("opened"))
     largest = numbered.groupBy(FILE, "number").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n")).limit(1).first()
     if largest is None:
-        return single
+        return _in_file_order(single)
     if largest["n"] > max_lines:
         raise ValueError(f"A record of {largest[FILE]} has {largest['n']} lines; a quote is open, or max_lines is too low")
     pieces = F.sort_array(F.collect_list(F.struct(BLOCK, SLOT, "line", "first")))
@@ -119,4 +119,9 @@ def csv_records(spark: SparkSession, path: str, max_lines: int = MAX_LINES) -> D
     several = joined.select(
         FILE, F.col("pieces")[0][BLOCK].alias(BLOCK), F.col("pieces")[0][SLOT].alias(SLOT), text.alias(RECORD), F.col("pieces")[0]["first"].alias("first")
     )
-    return single.unionByName(several)
+    return _in_file_order(single.unionByName(several))
+
+
+def _in_file_order(records: DataFrame) -> DataFrame:
+    """Records of a block side by side, as they stand in it."""
+    return records.repartition(FILE, BLOCK).sortWithinPartitions(FILE, BLOCK, SLOT)
