@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from paperloom.catalog import fixtures as fx
 from paperloom.catalog.registry import query
 from paperloom.catalog.view_queries import SQL_KEYWORDS
+from paperloom.folders import data_size
 from paperloom.operators import quality
 from paperloom.operators.positions import number_rows
 from paperloom.plans.export import export_papers
 from paperloom.plans.full_run import run_all
-from paperloom.plans.stored_views import KEYWORD_VIEW, PAIR_VIEW, StoredViews
 from paperloom.plans.payload import build_payload
 from paperloom.plans.reviews import ingest_reviews
+from paperloom.plans.stored_views import KEYWORD_VIEW, PAIR_VIEW, StoredViews
 from paperloom.plans.tables import CLEAN_PAPERS, INGEST_STATE, PAPER_AUTHORS, RAW_ENTRIES, REJECTED_ENTRIES
 from paperloom.session import fresh_path
 from paperloom.sinks import files
@@ -326,42 +328,91 @@ def job_refresh_views(spark, sf_dir):
     )
 
 
+_EXPORTED_TEXTS = ("title", "summary", "primary_category", "doi")
+_EXPORTED_HASH = " || '|' || ".join(f"coalesce(nullif({c}, ''), '')" for c in _EXPORTED_TEXTS)
+
+
 @query(
     "job_export",
-    "SELECT f.format, (SELECT count(*) FROM papers) AS row_count, true AS has_size FROM (VALUES ('csv'), ('parquet')) f(format)",
+    f"""SELECT f.format, paper_key, md5({_EXPORTED_HASH}) AS content, (SELECT count(*) FROM papers) AS row_count, true AS is_file_size,
+              true AS csv_holds_the_texts FROM papers, (VALUES ('csv'), ('parquet')) f(format)""",
     ("papers",),
 )
 def job_export(spark, sf_dir):
+    """Both copies read back row by row; the reported sizes are those of the files, and the CSV is no smaller than its texts."""
     root = fresh_path(spark, "export")
     report = export_papers(spark, fx.papers(spark, sf_dir), f"{root}/csv", f"{root}/parquet")
-    return report.select("format", "row_count", (F.col("size_bytes") > 0).alias("has_size"))
+    stored = spark.read.parquet(f"{root}/parquet")
+    copies = {"csv": files.read_csv(spark, f"{root}/csv", stored.schema), "parquet": stored}
+    text = F.concat_ws("|", *[F.coalesce(F.nullif(c, F.lit("")), F.lit("")) for c in _EXPORTED_TEXTS])
+    rows = reduce(DataFrame.unionByName, [c.select(F.lit(n).alias("format"), "paper_key", F.md5(text).alias("content")) for n, c in copies.items()])
+    measured = {name: F.lit(data_size(spark, f"{root}/{name}", ".parquet" if name == "parquet" else ".csv")) for name in copies}
+    texts = stored.agg(F.sum(sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in _EXPORTED_TEXTS))).scalar()
+    facts = report.select(
+        "format", "row_count", (F.col("size_bytes") == F.when(F.col("format") == "csv", measured["csv"]).otherwise(measured["parquet"])).alias("is_file_size"),
+        ((F.col("format") != "csv") | (F.col("size_bytes") >= texts)).alias("csv_holds_the_texts"),
+    )
+    return rows.join(F.broadcast(facts), "format")
+
+
+_RECORD_TEXT = "instruction || chr(10) || input || chr(10) || output"
+_CHAT_TEXT = "'user: Instruction: ' || instruction || chr(10) || chr(10) || 'Input:' || chr(10) || input || chr(10) || 'assistant: ' || output"
 
 
 @query(
     "job_payload",
-    """SELECT (SELECT count(*) FROM chunk_records) AS chunk_count, count(*) AS total_records,
-              count(*) FILTER (WHERE split = 'train') AS train_records, count(*) FILTER (WHERE split = 'val') AS val_records
-       FROM split""",
-    ("chunk_records", "split"),
+    f"""SELECT 'alpaca' AS format, split, id, task_type, {_RECORD_TEXT} AS content FROM alpaca JOIN split USING (id)
+        UNION ALL SELECT 'chat', split, id, task_type, {_CHAT_TEXT} FROM alpaca JOIN split USING (id)
+        UNION ALL SELECT 'manifest', '', name, '', CAST(n AS VARCHAR) FROM (SELECT
+          unnest(['rows', 'chunk_count', 'total_records', 'summarize', 'classify', 'keypoints', 'train_records', 'val_records']) AS name,
+          unnest([(SELECT count(*) FROM papers), (SELECT count(*) FROM chunk_records), count(*), count(*) FILTER (WHERE task_type = 'summarize'),
+            count(*) FILTER (WHERE task_type = 'classify'), count(*) FILTER (WHERE task_type = 'keypoints'),
+            count(*) FILTER (WHERE split = 'train'), count(*) FILTER (WHERE split = 'val')]) AS n FROM alpaca JOIN split USING (id))""",
+    ("papers", "chunk_records", "alpaca", "split"),
 )
 def job_payload(spark, sf_dir):
-    row = build_payload(spark, fx.papers(spark, sf_dir), fresh_path(spark, "payload"))
-    return row.select("chunking.chunk_count", "payload.total_records", "payload.train_records", "payload.val_records")
+    """The records of both formats as they were written, and the counts of the manifest."""
+    root = fresh_path(spark, "payload")
+    row = build_payload(spark, fx.papers(spark, sf_dir), root)
+    common, message = "id string, task_type string, split string", "array<struct<role: string, content: string>>"
+    alpaca = spark.read.schema(f"{common}, instruction string, input string, output string").json(f"{root}/alpaca")
+    chat = spark.read.schema(f"{common}, messages {message}").json(f"{root}/chat")
+    said = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"])), "\n")
+    parts = {"alpaca": (alpaca, F.concat_ws("\n", "instruction", "input", "output")), "chat": (chat, said)}
+    records = [rows.select(F.lit(name).alias("format"), "split", "id", "task_type", text.alias("content")) for name, (rows, text) in parts.items()]
+    counts = row.select("source.rows", "chunking.chunk_count", "payload.total_records", "payload.task_counts.*", "payload.train_records", "payload.val_records")
+    counts = counts.unpivot([], counts.columns, "id", "n")
+    blank = F.lit("")
+    told = counts.select(F.lit("manifest").alias("format"), blank.alias("split"), "id", blank.alias("task_type"), F.col("n").cast("string").alias("content"))
+    return reduce(DataFrame.unionByName, [*records, told])
 
 
-_FEED_WORDS = SQL_KEYWORDS.replace("FROM papers", "FROM feed WHERE reject_reason = ''")
+_FEED_PAPERS = "(SELECT *, string_split(categories, '|') AS categories_json FROM feed WHERE reject_reason = '')"
 
 
 @query(
     "job_full_run",
-    f"""SELECT unnest(['clean_papers', 'paper_authors', 'pipeline_state', 'v_agent_papers', '{KEYWORD_VIEW}']) AS name,
-               unnest([n, a, 1, n, (SELECT count(*) FROM ({_FEED_WORDS}))]) AS row_count
-        FROM (SELECT count(*) AS n, count(*) + count(*) FILTER (WHERE author_2 <> '') AS a
-              FROM feed WHERE reject_reason = '')""",
+    f"""SELECT 'table' AS part, unnest(['clean_papers', 'paper_authors', 'pipeline_state', 'v_agent_papers', '{KEYWORD_VIEW}']) AS item,
+               unnest([n, a, 1, n, (SELECT count(*) FROM ({SQL_KEYWORDS.replace("FROM papers", f"FROM {_FEED_PAPERS} papers")}))]) AS n
+        FROM (SELECT count(*) AS n, count(*) + count(*) FILTER (WHERE author_2 <> '') AS a FROM feed WHERE reject_reason = '')
+        UNION ALL SELECT '{KEYWORD_VIEW}', word, frequency FROM ({SQL_KEYWORDS.replace("FROM papers", f"FROM {_FEED_PAPERS} papers")})
+        UNION ALL SELECT '{PAIR_VIEW}', category_a || '|' || category_b, n FROM ({_SQL_PAIRS.replace("FROM papers", f"FROM {_FEED_PAPERS} papers")})
+        UNION ALL SELECT f.format, paper_key || '|' || title, length(summary) FROM {_FEED_PAPERS} papers, (VALUES ('csv'), ('parquet')) f(format)""",
     ("feed",),
 )
 def job_full_run(spark, sf_dir):
-    """The flow run twice over the same pages: the second run changes nothing."""
+    """The flow run twice over the same pages: the second run changes nothing. Tables, views and both exports after it."""
     landing, root = land_feed_pages(spark, sf_dir), fresh_path(spark, "full-run")
     run_all(spark, landing, root, "feed", page_format="parquet", as_of=AS_OF)
-    return run_all(spark, landing, root, "feed", page_format="parquet", as_of=AS_OF)
+    told = run_all(spark, landing, root, "feed", page_format="parquet", as_of=AS_OF)
+    views = StoredViews(spark, root).current()
+    stored = spark.read.parquet(f"{root}/export/papers_parquet")
+    copies = {"csv": files.read_csv(spark, f"{root}/export/papers_csv", stored.schema), "parquet": stored}
+    parts = [
+        told.select(F.lit("table").alias("part"), F.col("name").alias("item"), F.col("row_count").alias("n")),
+        views[KEYWORD_VIEW].select(F.lit(KEYWORD_VIEW).alias("part"), F.col("word").alias("item"), F.col("frequency").alias("n")),
+        views[PAIR_VIEW].select(F.lit(PAIR_VIEW).alias("part"), F.concat_ws("|", "category_a", "category_b").alias("item"), F.col("co_paper_count").alias("n")),
+    ]
+    for name, copy in copies.items():
+        parts.append(copy.select(F.lit(name).alias("part"), F.concat_ws("|", "paper_key", "title").alias("item"), F.length("summary").cast("bigint").alias("n")))
+    return reduce(DataFrame.unionByName, parts)

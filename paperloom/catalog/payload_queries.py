@@ -8,7 +8,7 @@ from paperloom.catalog import fixtures as fx
 from paperloom.catalog.registry import query
 from paperloom.functions.text import collapse_whitespace, flat_sentences
 from paperloom.operators import chunking, instructions as ins
-from paperloom.operators.reports import manifest
+from paperloom.operators.reports import manifest, record_totals
 from paperloom.operators.split import assign_split
 from paperloom.plans.payload import CHAT_FIELDS, RECORD_FIELDS
 from paperloom.session import fresh_path, land
@@ -124,6 +124,7 @@ _REPEATED = f"(SELECT * FROM alpaca UNION ALL {_AGAIN} UNION ALL {_AGAIN})"
 
 
 def _repeated(records: DataFrame) -> DataFrame:
+    records = land(records, "records")
     again = records.filter("task_type = 'keypoints' AND metadata.chunk_index = 1")
     return records.unionByName(again).unionByName(again)
 
@@ -220,8 +221,8 @@ def sink_manifest(spark, sf_dir):
         "table": "papers", "max_papers": 0, "max_chunk_words": 350, "chunk_overlap_words": 50, "train_ratio": 0.9,
         "split_seed": 42, "min_input_words": 30, "min_output_words": 3, "tasks": list(ins.TASK_INSTRUCTIONS),
     }
-    n = F.count(F.lit(1)).alias("n")
-    row = manifest(papers.agg(n).scalar(), landed.agg(n).scalar(), split, settings, {"alpaca_all": "alpaca"})
+    n, totals = F.count(F.lit(1)).alias("n"), split.agg(*record_totals(settings["tasks"]))
+    row = manifest(papers.agg(n).scalar(), landed.agg(n).scalar(), totals, settings, {"alpaca_all": "alpaca"})
     path = fresh_path(spark, "manifest")
     write_jsonl(row.coalesce(1), path)
     back = spark.read.schema(row.schema).json(path)

@@ -52,3 +52,9 @@ def size(spark: SparkSession, path: str) -> int:
     """Total bytes of the files below a path."""
     place, store = _at(spark, path)
     return store.getContentSummary(place).getLength() if store.exists(place) else 0
+
+
+def data_size(spark: SparkSession, path: str, ending: str) -> int:
+    """Total bytes of the files directly in a folder whose names have the ending."""
+    place, store = _at(spark, path)
+    return sum(entry.getLen() for entry in store.listStatus(place) if entry.getPath().getName().endswith(ending))

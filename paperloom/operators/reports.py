@@ -66,31 +66,25 @@ def format_comparison(stats: DataFrame, csv_bytes: Column, parquet_bytes: Column
     )
 
 
+def record_totals(tasks: list[str], task: str = "task_type") -> list[Column]:
+    """The record counts of a manifest, as aggregates over records with ``split`` and the task column."""
+    return [
+        F.count(F.lit(1)).alias("total_records"), *[F.count_if(F.col(task) == t).alias(t) for t in tasks],
+        *[F.count_if(F.col("split") == part).alias(f"{part}_records") for part in ("train", "val")],
+    ]
+
+
 def manifest(
     source_rows: Column,
     chunk_count: Column,
-    records: DataFrame,
+    totals: DataFrame,
     settings: dict,
     files: dict[str, str],
     generated_at: Column | None = None,
 ) -> DataFrame:
-    """One row that describes a payload run; ``records`` has ``task_type`` and ``split``.
-
-    All record counts come from one aggregation over the small per-task-and-split counts.
-    """
-    counts = records.groupBy("task_type", "split").agg(F.count(F.lit(1)).alias("n"))
+    """One row that describes a payload run; ``totals`` is one row of ``record_totals``."""
     tasks = settings["tasks"]
 
-    def total(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).cast("bigint")
-
-    totals = counts.agg(
-        total(F.lit(True)).alias("total_records"),
-        *[total(F.col("task_type") == t).alias(t) for t in tasks],
-        total(F.col("split") == "train").alias("train_records"),
-        total(F.col("split") == "val").alias("val_records"),
-    )
-
     def fixed(*names: str) -> list[Column]:
         return [F.lit(settings[n]).alias(n) for n in names]
 

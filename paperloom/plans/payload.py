@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from paperloom.operators import chunking, instructions as ins
-from paperloom.operators.reports import manifest
+from paperloom.operators.reports import manifest, record_totals
 from paperloom.operators.split import SPLIT_SEED, TRAIN_RATIO, assign_split
 from paperloom.session import land, scratch
 from paperloom.sinks.files import write_jsonl
-from paperloom.sources.tables import require_nonempty, text_projection
+from paperloom.sources.tables import text_projection
 
 RECORD_FIELDS = ("id", "task_type", "paper_key", "chunk_id", "instruction", "input", "output", "metadata")
 CHAT_FIELDS = ("id", "task_type", "paper_key", "chunk_id", "messages", "metadata")
@@ -48,21 +48,27 @@ def _write(
     spark: SparkSession, papers: DataFrame, out: str, table_name: str, max_chunk_words: int, chunk_overlap_words: int,
     min_input_words: int, min_output_words: int, train_ratio: float, split_seed: int, max_papers: int, split_unit: str,
 ) -> StructType:
-    """Write everything; the schema of the manifest row."""
-    source = text_projection(papers, max_papers=max_papers, ordered=False)
-    chunks = land(
-        chunking.chunk_records(source, max_chunk_words, chunk_overlap_words, min_input_words), "chunks"
-    )
-    if chunks.isEmpty():
-        # Only now is the source looked at on its own: this tells which of the two is empty.
-        require_nonempty(source, "payload source")
+    """Write everything; the schema of the manifest row.
+
+    Rows are counted while they are written, so the source is read once.
+    """
+    source_seen, chunks_seen, records_seen = Observation(), Observation(), Observation()
+    rows = F.count(F.lit(1)).alias("rows")
+    source = text_projection(papers, max_papers=max_papers, ordered=False).observe(source_seen, rows)
+    made = chunking.chunk_records(source, max_chunk_words, chunk_overlap_words, min_input_words)
+    chunks = land(made.observe(chunks_seen, rows), "chunks")
+    if not chunks_seen.get.get("rows"):
+        if not source_seen.get.get("rows"):
+            raise ValueError("The payload source has no rows")
         raise ValueError("No chunk of the source is long enough")
     alpaca = ins.alpaca_records(chunks)
     ins.validate_both(alpaca, min_input_words, min_output_words)
     units = None if split_unit == "id" else alpaca.select(split_unit).distinct()
     split = assign_split(alpaca, split_unit, train_ratio, split_seed, units)
     paths = {name: f"{out}/{name}" for name in ("alpaca", "chat")}
-    write_jsonl(split.select(*RECORD_FIELDS, "split"), paths["alpaca"], "split")
+    tasks = list(ins.TASK_INSTRUCTIONS)
+    written = split.select(*RECORD_FIELDS, "split").observe(records_seen, *record_totals(tasks))
+    write_jsonl(written, paths["alpaca"], "split")
     write_jsonl(ins.chat_records(split).select(*CHAT_FIELDS, "split"), paths["chat"], "split")
     settings = {
         "table": table_name,
@@ -73,16 +79,15 @@ def _write(
         "split_seed": split_seed,
         "min_input_words": min_input_words,
         "min_output_words": min_output_words,
-        "tasks": list(ins.TASK_INSTRUCTIONS),
+        "tasks": tasks,
     }
     files = {
         f"{name}_{part}": path if part == "all" else f"{path}/split={part}"
         for name, path in paths.items()
         for part in ("all", "train", "val")
     }
-    count = F.count(F.lit(1)).alias("n")
-    row = land(
-        manifest(source.agg(count).scalar(), chunks.agg(count).scalar(), split, settings, files), "manifest"
-    )
+    totals = spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in records_seen.get.items()])
+    counted = [F.lit(seen.get["rows"]).cast("bigint") for seen in (source_seen, chunks_seen)]
+    row = land(manifest(*counted, totals, settings, files), "manifest")
     write_jsonl(row.coalesce(1), f"{out}/manifest")
     return row.schema
