@@ -4,43 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paperloom.operators.positions import number_rows
-from paperloom.session import land
+from paperloom.operators.medians import group_medians
 
 BYTES_PER_MB = 1024 * 1024
 
 
-def timing_stats(timings: DataFrame, run: str = "run") -> DataFrame:
+def timing_stats(timings: DataFrame) -> DataFrame:
     """Mean, median, min and max of ``duration_ms`` by ``reader`` and ``format``.
 
-    The exact median comes from globally numbered sorted rows: each group needs only its one or two
-    middle rows, picked by row number, so a group of any size is never held in one task. ``run`` is
-    unique within a group.
+    The exact median comes from counts of ranges (``group_medians``), so neither is a group held in one task nor are
+    the rows sorted.
     """
     group = ["reader", "format"]
-    numbered = number_rows(timings.select(*group, "duration_ms", run), [*group, "duration_ms", run], "_position")
-    stats = land(
-        numbered.groupBy(*group).agg(
-            F.count(F.lit(1)).alias("run_count"),
-            F.min("_position").alias("_first"),
-            F.avg("duration_ms").alias("average_ms"),
-            F.min("duration_ms").alias("min_ms"),
-            F.max("duration_ms").alias("max_ms"),
-        ),
-        "timing-groups",
-    )
-    n = F.col("run_count")
-    middle = F.array(
-        F.col("_first") + F.floor((n - 1) / 2), F.col("_first") + F.floor(n / 2)
-    )
-    wanted = stats.select(*group, F.explode(F.array_distinct(middle)).alias("_position"))
-    medians = (
-        numbered.select("_position", "duration_ms")
-        .join(wanted, "_position")
-        .groupBy(*group)
-        .agg(F.avg("duration_ms").alias("median_ms"))
+    stats = timings.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("run_count"), F.avg("duration_ms").alias("average_ms"), F.min("duration_ms").alias("min_ms"),
+        F.max("duration_ms").alias("max_ms"),
     )
-    return stats.join(medians, group).select(
+    return stats.join(group_medians(timings, group, "duration_ms", "median_ms"), group).select(
         *group,
         "run_count",
         *[F.round(c, 3).alias(c) for c in ("average_ms", "median_ms", "min_ms", "max_ms")],

@@ -1,10 +1,12 @@
 """Views kept up by signed counts, and the n-th key by range counts."""
 
 import random
+import statistics
 
 import pytest
 from pyspark.sql import Row
 
+from paperloom.operators.medians import group_medians
 from paperloom.operators.selection import nth_key, up_to
 from paperloom.plans.stored_views import VIEWS, StoredViews
 from paperloom.plans.tables import CLEAN_PAPERS
@@ -121,3 +123,16 @@ def test_nth_key_of_several_columns(spark):
         key = nth_key(rows, ["a", "b", "c"], n)
         assert tuple(key) == in_order[n - 1]
         assert rows.filter(up_to(key, rows, ["a", "b", "c"])).count() == max(i for i, r in enumerate(in_order) if r == in_order[n - 1]) + 1
+
+
+def test_medians_of_groups(spark):
+    rng = random.Random(6)
+    groups = {
+        "odd": [rng.random() for _ in range(701)], "even": [rng.gauss(0, 1e9) for _ in range(500)], "one": [3.5], "two": [1.0, 2.0],
+        "same": [7.0] * 400, "few": [rng.choice([1.0, 2.0, -1e-300, 1e300]) for _ in range(333)], "none": [None, None],
+    }
+    rows = [(name, value) for name, values in groups.items() for value in [*values, None]]
+    rng.shuffle(rows)
+    frame = spark.createDataFrame(rows, "name string, value double").repartition(3).cache()
+    expected = {name: statistics.median(values) for name, values in groups.items() if values[0] is not None}
+    assert {r["name"]: r["median"] for r in group_medians(frame, ["name"], "value").collect()} == expected
