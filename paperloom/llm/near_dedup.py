@@ -5,9 +5,11 @@
 2. Signatures are cut into bands; nodes that share a band are candidates. With ``ROWS`` rows and ``BANDS``
    bands a pair at similarity 0.8 is missed with probability (1 - 0.8 ** 5) ** 32 = 3e-6, a closer pair less.
 3. Within a bucket every node is first compared with one hub only, so a bucket of n nodes gives n - 1 pairs. The
-   hub is the node that meets most others over all its buckets: what many copies were made from. Connected components of the links found are contracted; only nodes of a bucket
-   that are still in different components are then compared with each other, by blocks and inside the tasks, each
-   pair in the first bucket it shares. These steps give rows for links that join components, not for pairs.
+   hub is the node that meets most others over all its buckets: what many copies were made from. Connected components of
+   the links found are contracted. Where a bucket still holds several, the largest stays in place, its members dealt once
+   for all buckets, and the nodes outside are sent to it and to each other, by blocks and as signatures only. Of the likely
+   pairs, the best one of each two components is verified. Where that was no link, what is still open is compared inside the
+   tasks, in the same blocks with their texts. These steps give rows for links that join components, not for pairs.
 4. A comparison reads the signatures batch by batch. With a uniform prior, the posterior probability that
    the similarity reaches the threshold after m of n equal hashes is a binomial tail; the pair is dropped as
    soon as that is below ``miss``. Sets whose sizes alone rule the threshold out are dropped first.
@@ -39,7 +41,7 @@ from paperloom.session import land
 ROWS, BANDS, BATCH = 5, 32, 20
 HASHES = ROWS * BANDS
 PART = 256
-BLOCK = 512
+BLOCK, BLOCK_SHINGLES = 512, 500_000
 _MASK = (1 << 64) - 1
 
 
@@ -263,57 +265,152 @@ class Groups:
         self.parent[self.root(a)] = self.root(b)
 
 
-def across_components(
-    members: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, shingle: int, percent: int, miss: float
+def open_buckets(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of buckets that hold more than one component, with ``component`` and ``main``, the one with most rows there."""
+    labelled = members.where("n > 2").join(labels, "node", "left").select(
+        "key", "band", "node", "hub", F.coalesce("component", "node").alias("component")
+    )
+    sizes = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("rows"))
+    largest = F.max(F.struct("rows", (-F.col("component")).alias("main"))).alias("top")
+    mixed = sizes.groupBy("key").agg(largest, F.count(F.lit(1)).alias("held")).where("held > 1")
+    rows = labelled.join(mixed.select("key", (-F.col("top.main")).alias("main")), "key")
+    return land(rows.join(nodes.select("node", "n_shingles"), "node"), "open-buckets")
+
+
+def _parts(rows: DataFrame, by: str, name: str) -> DataFrame:
+    """Into how many blocks the rows go, such that one holds about ``BLOCK`` rows and ``BLOCK_SHINGLES`` shingles at most."""
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES))
+    return rows.groupBy(by).agg(blocks.cast("int").alias(name))
+
+
+def outside_against_main(rows: DataFrame) -> DataFrame:
+    """Nodes outside of the main component of a bucket (``left``) and the members of that component that they meet.
+
+    Both are dealt once per component, whatever the number of buckets: in blocks, of which each of one side meets each of the other.
+    """
+    sides = rows.groupBy("main", "node").agg(
+        F.first("component").alias("component"), F.first("n_shingles").alias("n_shingles"), F.collect_set("hub").alias("hubs")
+    )
+    outside, inside = sides.where("component <> main"), sides.where("component = main")
+    parts = _parts(outside, "main", "n_left").join(_parts(inside, "main", "n_right"), "main")
+
+    def dealt(side: DataFrame, own: str, other: str, left: bool) -> DataFrame:
+        place = F.pmod(F.xxhash64("node"), F.col(f"n_{own}")).cast("int").alias(own)
+        meets = F.explode(F.sequence(F.lit(0), F.col(f"n_{other}") - 1)).alias(other)
+        placed = side.join(parts, "main").select("main", "node", "component", "n_shingles", "hubs", place, f"n_{other}")
+        return placed.select("*", meets).select(
+            F.col("main").alias("group"), F.col("left").alias("low"), F.col("right").alias("high"), F.lit(-1).alias("band"),
+            "node", "component", "n_shingles", "hubs", F.lit(left).alias("is_left"), F.lit(not left).alias("is_right"),
+        )
+
+    return dealt(outside, "left", "right", True).unionByName(dealt(inside, "right", "left", False))
+
+
+def outside_among_themselves(rows: DataFrame) -> DataFrame:
+    """Nodes outside of the main component of their bucket, with the others there; blocks meet in pairs."""
+    outside = rows.where("component <> main")
+    placed = outside.join(_parts(outside, "key", "blocks"), "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    return dealt.select(
+        F.col("key").alias("group"), low.alias("low"), high.alias("high"), "band", "node", "component", "n_shingles",
+        F.array("hub").alias("hubs"),
+        (F.col("own") == low).alias("is_left"), (F.col("own") == high).alias("is_right"),
+    )
+
+
+def pairs_across(
+    dealt: DataFrame, nodes: DataFrame, percent: int, miss: float, texts: DataFrame | None = None, shingle: int = 0
 ) -> DataFrame:
-    """Links (a, b) between nodes of one bucket that are in different components; pairs with the hub are done.
+    """Pairs of nodes in different components that share a band: ``a``, ``b``, their components ``ca``, ``cb``, ``equal`` hashes.
 
-    Buckets of more than ``BLOCK`` nodes are compared block by block. A pair is compared in its first common
-    band, by signatures and then by full sets, unless links found in the task join its components already.
+    Pairs with a hub are done already. Of a bucket's pairs (``band``) those count that have no earlier band in common. From
+    signatures alone, a task gives the most alike likely pair of each two components. With ``texts`` it compares full sets, and
+    gives a link of each two components that its rows join.
     """
     table = least_matches(percent, miss)
-    labelled = members.where("n > 2").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    open_rows = land(labelled.join(mixed, "key", "left_semi"), "open-buckets")
-    found = texts_of(open_rows, nodes, docs, key, text)
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    dealt = open_rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
-        "key", "band", "node", "hub", "component", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
-    )
-    signed = dealt.join(nodes.select("node", "n_shingles", "sig"), "node").join(found, "node")
+    signed = dealt.join(nodes.select("node", "sig"), "node")
+    signed = signed if texts is None else signed.join(texts, "node")
 
     def run(rows: pa.Table) -> pa.Table:
-        node, hub, component, block, counts = (rows.column(c).to_numpy() for c in ("node", "hub", "component", "own", "n_shingles"))
-        low, high, band = (rows.column(c)[0].as_py() for c in ("low", "high", "band"))
-        signatures, texts = _matrix(rows.column("sig")), rows.column("text")
-        bands = signatures.reshape(len(signatures), BANDS, ROWS)
+        node, component, counts, bands = (rows.column(c).to_numpy() for c in ("node", "component", "n_shingles", "band"))
+        is_left, is_right = (rows.column(c).to_numpy().astype(bool) for c in ("is_left", "is_right"))
+        signatures, hubs = _matrix(rows.column("sig")), rows.column("hubs").to_pylist()
+        written = rows.column("text") if "text" in rows.column_names else None
+        shared = signatures.reshape(len(signatures), BANDS, ROWS)
+        right = np.flatnonzero(is_right)
+        led: dict[int, list[int]] = {}
+        for row in right.tolist():
+            for hub in hubs[row]:
+                led.setdefault(hub, []).append(row)
         sets: dict[int, np.ndarray] = {}
-        joined, links = Groups(), []
+        joined, best, links = Groups(), {}, []
 
         def set_of(row: int) -> np.ndarray:
             if row not in sets:
-                sets[row] = shingle_set(texts[row].as_py(), shingle)
+                sets[row] = shingle_set(written[row].as_py(), shingle)
             return sets[row]
 
-        left, right = np.flatnonzero((block == low) & (node != hub)), np.flatnonzero((block == high) & (node != hub))
-        for at in left.tolist():
-            others = right[(component[right] != component[at]) & ((node[right] > node[at]) | (low != high))]
+        for at in np.flatnonzero(is_left).tolist():
+            mine = component[right] != component[at]
+            others = right[mine & ((node[right] > node[at]) | ~is_left[right] | ~is_right[at])]
             others = others[_sizes_allow(counts[others], counts[at], percent)]
-            earlier = (bands[others, :band] == bands[at, :band]).all(axis=2).any(axis=1)
-            others = others[~earlier]
-            if not len(others):
-                continue
-            likely = others[plausible(np.broadcast_to(signatures[at], (len(others), HASHES)), signatures[others], table)]
-            for other in likely.tolist():
-                a, b = int(component[at]), int(component[other])
-                if joined.root(a) != joined.root(b) and similar(set_of(at), set_of(other), percent):
-                    joined.join(a, b)
-                    links.append((int(node[at]), int(node[other])))
-        columns = list(zip(*links, strict=True)) or [(), ()]
-        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+            others = others[~np.isin(node[others], hubs[at]) & ~np.isin(others, led.get(int(node[at]), ()))]
+            same = (shared[others] == shared[at]).all(axis=2)
+            band = int(bands[at])
+            others = others[same.any(axis=1) if band < 0 else ~same[:, :band].any(axis=1)]
+            others = others[plausible(np.broadcast_to(signatures[at], (len(others), HASHES)), signatures[others], table)]
+            equal = (signatures[others] == signatures[at]).sum(axis=1)
+            for score, other in sorted(zip(equal.tolist(), others.tolist(), strict=True), reverse=True):
+                ca, cb = int(component[at]), int(component[other])
+                pair = (int(node[at]), int(node[other]), ca, cb, score)
+                if written is None:
+                    meeting = (min(ca, cb), max(ca, cb))
+                    if meeting not in best or best[meeting][4] < score:
+                        best[meeting] = pair
+                elif joined.root(ca) != joined.root(cb) and similar(set_of(at), set_of(other), percent):
+                    joined.join(ca, cb)
+                    links.append(pair)
+        columns = list(zip(*best.values(), *links, strict=True)) or [()] * 5
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "ca", "cb", "equal"])
+
+    return signed.groupBy("group", "low", "high").applyInArrow(run, "a bigint, b bigint, ca bigint, cb bigint, equal bigint")
+
+
+def joined_across(
+    links: DataFrame, members: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, shingle: int, percent: int, miss: float,
+) -> DataFrame:
+    """Components after comparing also the nodes that share a bucket but no component yet.
 
-    return signed.groupBy("key", "low", "high").applyInArrow(run, "a bigint, b bigint")
+    First the most alike pair of each two components is verified, which joins most that belong together; only signatures
+    travel for it. If one of these pairs was no link, what is still open is compared by full sets inside the tasks.
+    """
+    labels = components(links)
+    rows = open_buckets(members, labels, nodes)
+    found = pairs_across(outside_against_main(rows), nodes, percent, miss).unionByName(
+        pairs_across(outside_among_themselves(rows), nodes, percent, miss)
+    )
+    best = F.max_by(F.struct("a", "b"), F.struct("equal", "a", "b")).alias("best")
+    likely = land(found.groupBy(F.least("ca", "cb"), F.greatest("ca", "cb")).agg(best).select("best.a", "best.b"), "likely")
+    asked = likely.count()
+    if not asked:
+        return labels
+    more = land(verify(likely, nodes, docs, key, text, shingle, percent), "links")
+    added = more.count()
+    if added:
+        links = links.unionByName(more)
+        labels = components(links)
+    if added == asked:
+        return labels
+    rows = open_buckets(members, labels, nodes)
+    texts = texts_of(rows, nodes, docs, key, text)
+    more = land(
+        pairs_across(outside_against_main(rows), nodes, percent, miss, texts, shingle).unionByName(
+            pairs_across(outside_among_themselves(rows), nodes, percent, miss, texts, shingle)
+        ).select("a", "b"),
+        "links",
+    )
+    return labels if more.isEmpty() else components(links.unionByName(more))
 
 
 def grouped(
@@ -340,10 +437,7 @@ def grouped(
     stars = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     likely = land(drop_unlikely(stars, nodes, percent, miss), "likely")
     links = land(verify(likely, nodes, docs, key, text, shingle, percent), "links")
-    labels = components(links)
-    more = land(across_components(members, labels, nodes, docs, key, text, shingle, percent, miss), "links")
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
+    labels = joined_across(links, members, nodes, docs, key, text, shingle, percent, miss)
     named = nodes.select("node", "digest", "low", "best").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = named.groupBy("component").agg(F.min("low").alias("component_id"), F.min("best").alias("survivor"))
     by_digest = named.join(lowest, "component").select("digest", "component_id", "survivor")

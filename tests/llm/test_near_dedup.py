@@ -76,6 +76,35 @@ def test_chains_and_large_groups(spark, monkeypatch):
     assert found(near_dedup.near_duplicates(by_hand(spark, texts), shingle=4)) == expected(rows)
 
 
+def test_nodes_outside_are_sent_to_a_large_component_that_stays(spark, monkeypatch):
+    """600 linked nodes and 3 that share buckets with them: the rows sent grow with those outside."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    sent = []
+    whole = near_dedup.pairs_across
+
+    def counted(dealt, *args):
+        sent.append(dealt.count())
+        return whole(dealt, *args)
+
+    monkeypatch.setattr(near_dedup, "pairs_across", counted)
+    rng = random.Random(9)
+    base = words(rng, 300, pool=5000).split(" ")
+    texts = []
+    for _ in range(600):
+        near = list(base)
+        near[rng.randrange(300)] = f"n{rng.randrange(10**6)}"
+        texts.append(" ".join(near))
+    for _ in range(3):
+        far = list(base)
+        for at in range(0, 300, 28):
+            far[at] = f"f{rng.randrange(10**6)}"
+        texts.append(" ".join(far))
+    rows = list(enumerate(texts))
+    assert found(near_dedup.near_duplicates(by_hand(spark, texts), shingle=4)) == expected(rows)
+    # per pass: the large component once, each node outside once per block of it; and those outside by bucket
+    assert sent and max(sent) <= 603 + 3 * 80
+
+
 def test_one_of_each_group_stays(spark):
     kept = near_dedup.keep_one(odd_documents(spark), shingle=5)
     assert kept.columns == odd_documents(spark).columns
