@@ -29,7 +29,6 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -177,29 +176,59 @@ class Encoder:
     """
 
     MEMORY = 700_000
+    #: So many pieces go to the tokenizer as one text.
+    TOGETHER = 400
 
     def __init__(self, tokenizer: Tokenizer) -> None:
         self.tokenizer = tokenizer
+        # bytes of each id; a byte-level token is written with one character per byte, an added one as it is
+        sizes = {number: len(token) for token, number in tokenizer.get_vocab(with_added_tokens=False).items()}
+        sizes |= {number: len(token.content.encode()) for number, token in tokenizer.get_added_tokens_decoder().items()}
+        self.sizes = np.array([sizes.get(number, 0) for number in range(max(sizes, default=0) + 1)], np.int64)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encoded(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Pieces with their ids. Those from a space to a visible character are encoded side by side, many in one call."""
+        side = [piece for piece in pieces if piece[0] == " " and not piece[-1].isspace()]
+        alone = [piece for piece in pieces if piece[0] != " " or piece[-1].isspace()]
+        for first in range(0, len(side), self.TOGETHER):
+            run = side[first : first + self.TOGETHER]
+            ids = np.array(self._ids(["".join(run)])[0], "<u4")
+            ends, reached = np.cumsum([len(piece.encode()) for piece in run]), np.cumsum(self.sizes[ids])
+            cuts = np.searchsorted(reached, ends) + 1
+            if cuts[-1] != len(ids) or (reached[cuts - 1] != ends).any():
+                alone += run  # an added token of another size than its text
+                continue
+            held = ids.tobytes()
+            for piece, start, end in zip(run, [0, *cuts[:-1].tolist()], cuts.tolist(), strict=True):
+                yield piece, held[4 * start : 4 * end]
+        for piece, ids in zip(alone, self._ids(alone), strict=True):
+            yield piece, array("I", ids).tobytes()
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [_pieces(text or "") for text in texts]
         if len(self.young) > self.MEMORY:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        new: set[str] = set()
-        for pieces in split:
-            new.update(filterfalse(young.__contains__, pieces))
-        missing = []
-        for piece in new:
+        rows, gaps = [], []
+        for text in texts:
+            pieces = _pieces(text or "")
+            found = list(map(young.get, pieces))
+            gaps += [(found, at, pieces[at]) for at, ids in enumerate(found) if ids is None]
+            rows.append(found)
+        new = []
+        for piece in {piece for _, _, piece in gaps}:
             if piece in old:
                 young[piece] = old[piece]
             else:
-                missing.append(piece)
-        for piece, encoded in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-            young[piece] = array("I", encoded.ids).tobytes()
-        return [b"".join(map(young.__getitem__, pieces)) for pieces in split]
+                new.append(piece)
+        young.update(self._encoded(new))
+        for found, at, piece in gaps:
+            found[at] = young[piece]
+        return [b"".join(found) for found in rows]
 
 
 _encoders: dict[int, Encoder] = {}
