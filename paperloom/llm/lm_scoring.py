@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paperloom.llm.common import folded_words
+from paperloom.llm.common import folded_words, shipped
 from paperloom.llm.gated import fresh_model, log_likelihoods, train
 from paperloom.session import fresh_path, land
 
@@ -187,7 +187,7 @@ def scored(
     hidden: int = 24, classes: int = 64, shard_tokens: int = 1_000_000,
 ) -> DataFrame:
     """``key``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``, one row per document."""
-    spark = docs.sparkSession
+    spark = shipped(docs).sparkSession
     learned = F.coalesce(train_on, F.lit(False))
     counts = land(word_counts(docs.where(learned).select(text)), "word-counts")
     sums = counts.agg(F.sum("n"), F.count(F.lit(1)), F.sum(F.when(F.col("word") == F.lit(b""), F.col("n")))).first()
