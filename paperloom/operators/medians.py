@@ -2,8 +2,8 @@
 
 Each pass takes a few splitters of the range that still holds a group's middle row (an approximate sketch, combined in every
 task), counts the rows between them, and keeps the one part with the middle in it. Splitters are values of the group, so a pass
-either hits the middle or leaves a smaller range that excludes them. Only counts are shuffled, and what is known of the groups is a
-table with one or two rows per group.
+either hits the middle or leaves a smaller range that excludes them. The last ``FEW`` rows of a range are put in order. Only
+counts are shuffled before that, and what is known of the groups is a table with one or two rows per group.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from paperloom.session import land
 
-SPLITTERS = 63
+#: Splitters per pass, and how many rows of a group are few enough to be put in order at the end.
+SPLITTERS, FEW = 63, 1000
 _ACCURACY = 1000
 
 
@@ -54,11 +55,19 @@ def group_medians(df: DataFrame, groups: list[str], value: str, out: str = "medi
             hit.select(
                 *keys, F.coalesce(F.get("_cuts", F.col("_part") - 1), F.col("_low")).alias("_low"),
                 F.coalesce(cut, F.col("_high")).alias("_high"), left.alias("_left"), F.when(left > n - F.col("_last"), cut).alias("_found"),
+                (n - F.col("_last")).alias("_rows"),
             ),
             "medians",
         )
         found.append(state.where("_found IS NOT NULL"))
         wanted = state.where("_found IS NULL").drop("_found")
-        if wanted.isEmpty():
+        most = wanted.agg(F.max("_rows")).first()[0]
+        if most is None:
             break
-    return reduce(DataFrame.unionByName, found).groupBy(*groups).agg(F.avg("_found").alias(out))
+        if most <= FEW:
+            rest = rows.join(wanted, groups).where(_within(F.col("_value"))).groupBy(*keys, "_left").agg(F.sort_array(F.collect_list("_value")).alias("_all"))
+            found.append(rest.select(*keys, F.get("_all", F.col("_left").cast("int") - 1).alias("_found")))
+            break
+        wanted = wanted.drop("_rows")
+    middles = reduce(DataFrame.unionByName, [part.select(*keys, "_found") for part in found])
+    return middles.groupBy(*groups).agg(F.avg("_found").alias(out))

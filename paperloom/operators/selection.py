@@ -3,15 +3,15 @@
 A few sampled keys split the range of candidates; one pass counts the rows in each part (counts combine in every task before
 the shuffle), and only the part that holds the wanted place is looked at again. Each pass narrows the range by about the number
 of splitters, so a handful of passes over the key columns reach one key, however many rows there are. The driver
-sees splitters and counts only; no task holds more than the rows of its own scan.
+sees splitters, counts and at most ``FEW`` keys of the last range; no task holds more than the rows of its own scan.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
-#: Sampled keys per pass.
-SPLITTERS = 31
+#: Sampled keys per pass, and how many rows are few enough to be put in order at the end.
+SPLITTERS, FEW = 31, 1000
 
 
 def _key(order: list[str]) -> Column:
@@ -82,3 +82,5 @@ def nth_key(df: DataFrame, order: list[str], n: int) -> Row | None:
             rows = rows.filter(key > values[at - 1])
         if at < len(keys):
             rows = rows.filter(key < values[at])
+        if found["n"] - found["last"] <= FEW:
+            return rows.orderBy(*order).limit(place).collect()[-1]

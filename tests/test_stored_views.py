@@ -6,6 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import Row
 
+from paperloom.operators import medians, selection
 from paperloom.operators.medians import group_medians
 from paperloom.operators.selection import nth_key, up_to
 from paperloom.plans.stored_views import VIEWS, StoredViews
@@ -101,7 +102,14 @@ def test_a_load_opens_only_the_buckets_of_its_keys(spark):
     assert [(r["paper_key"], r["title"]) for r in papers.matching(wanted).collect()] == [("k7", "Changed")]
 
 
-def test_nth_key_of_one_column(spark):
+@pytest.fixture(params=[5, 1000])
+def few(request, monkeypatch):
+    """From how many rows on ranges are counted instead of put in order."""
+    monkeypatch.setattr(selection, "FEW", request.param)
+    monkeypatch.setattr(medians, "FEW", request.param)
+
+
+def test_nth_key_of_one_column(spark, few):
     rng = random.Random(2)
     keys = [f"k{rng.randrange(10**6)}" for _ in range(2000)] + ["dup"] * 1500 + [None] * 20
     rows = spark.createDataFrame([(k,) for k in keys], "k string").repartition(4).cache()
@@ -113,7 +121,7 @@ def test_nth_key_of_one_column(spark):
         nth_key(rows, ["k"], 0)
 
 
-def test_nth_key_of_several_columns(spark):
+def test_nth_key_of_several_columns(spark, few):
     rng = random.Random(4)
     rows = spark.createDataFrame(
         [(rng.choice([None, 1, 2, 3]), rng.choice([None, "a", "b"]), rng.randrange(40)) for _ in range(1500)], "a int, b string, c int"
@@ -125,7 +133,7 @@ def test_nth_key_of_several_columns(spark):
         assert rows.filter(up_to(key, rows, ["a", "b", "c"])).count() == max(i for i, r in enumerate(in_order) if r == in_order[n - 1]) + 1
 
 
-def test_medians_of_groups(spark):
+def test_medians_of_groups(spark, few):
     rng = random.Random(6)
     groups = {
         "odd": [rng.random() for _ in range(701)], "even": [rng.gauss(0, 1e9) for _ in range(500)], "one": [3.5], "two": [1.0, 2.0],
