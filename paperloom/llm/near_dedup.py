@@ -7,9 +7,8 @@
 3. Within a bucket every node is first compared with one hub only, so a bucket of n nodes gives n - 1 pairs. The
    hub is the node that meets most others over all its buckets: what many copies were made from. Connected components of
    the links found are contracted. Where a bucket still holds several, the largest stays in place, its members dealt once
-   for all buckets, and the nodes outside are sent to it and to each other, by blocks and as signatures only. Of the likely
-   pairs, the best one of each two components is verified. Where that was no link, what is still open is compared inside the
-   tasks, in the same blocks with their texts. These steps give rows for links that join components, not for pairs.
+   for all buckets, and the nodes outside are sent to it and to each other, by blocks of bounded size. They are compared inside
+   the tasks. These steps give rows for links that join components, not for pairs.
 4. A comparison reads the signatures batch by batch. With a uniform prior, the posterior probability that
    the similarity reaches the threshold after m of n equal hashes is a binomial tail; the pair is dropped as
    soon as that is below ``miss``. Sets whose sizes alone rule the threshold out are dropped first.
@@ -319,24 +318,21 @@ def outside_among_themselves(rows: DataFrame) -> DataFrame:
     )
 
 
-def pairs_across(
-    dealt: DataFrame, nodes: DataFrame, percent: int, miss: float, texts: DataFrame | None = None, shingle: int = 0
-) -> DataFrame:
-    """Pairs of nodes in different components that share a band: ``a``, ``b``, their components ``ca``, ``cb``, ``equal`` hashes.
+def pairs_across(dealt: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int, percent: int, miss: float) -> DataFrame:
+    """Links between nodes of different components that share a band, as the components ``ca``, ``cb`` that they join.
 
-    Pairs with a hub are done already. Of a bucket's pairs (``band``) those count that have no earlier band in common. From
-    signatures alone, a task gives the most alike likely pair of each two components. With ``texts`` it compares full sets, and
-    gives a link of each two components that its rows join.
+    Pairs with a hub are done already. Of a bucket's pairs (``band``) those count that have no earlier band in common. Pairs
+    that signatures leave likely are compared by full sets, the most alike first, unless links found in the task join their
+    components already.
     """
     table = least_matches(percent, miss)
-    signed = dealt.join(nodes.select("node", "sig"), "node")
-    signed = signed if texts is None else signed.join(texts, "node")
+    signed = dealt.join(nodes.select("node", "sig"), "node").join(texts, "node")
 
     def run(rows: pa.Table) -> pa.Table:
         node, component, counts, bands = (rows.column(c).to_numpy() for c in ("node", "component", "n_shingles", "band"))
         is_left, is_right = (rows.column(c).to_numpy().astype(bool) for c in ("is_left", "is_right"))
         signatures, hubs = _matrix(rows.column("sig")), rows.column("hubs").to_pylist()
-        written = rows.column("text") if "text" in rows.column_names else None
+        written = rows.column("text")
         shared = signatures.reshape(len(signatures), BANDS, ROWS)
         right = np.flatnonzero(is_right)
         led: dict[int, list[int]] = {}
@@ -344,7 +340,7 @@ def pairs_across(
             for hub in hubs[row]:
                 led.setdefault(hub, []).append(row)
         sets: dict[int, np.ndarray] = {}
-        joined, best, links = Groups(), {}, []
+        joined, links = Groups(), []
 
         def set_of(row: int) -> np.ndarray:
             if row not in sets:
@@ -363,54 +359,30 @@ def pairs_across(
             equal = (signatures[others] == signatures[at]).sum(axis=1)
             for score, other in sorted(zip(equal.tolist(), others.tolist(), strict=True), reverse=True):
                 ca, cb = int(component[at]), int(component[other])
-                pair = (int(node[at]), int(node[other]), ca, cb, score)
-                if written is None:
-                    meeting = (min(ca, cb), max(ca, cb))
-                    if meeting not in best or best[meeting][4] < score:
-                        best[meeting] = pair
-                elif joined.root(ca) != joined.root(cb) and similar(set_of(at), set_of(other), percent):
+                if joined.root(ca) != joined.root(cb) and similar(set_of(at), set_of(other), percent):
                     joined.join(ca, cb)
-                    links.append(pair)
-        columns = list(zip(*best.values(), *links, strict=True)) or [()] * 5
-        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "ca", "cb", "equal"])
+                    links.append((ca, cb))
+        columns = list(zip(*links, strict=True)) or [(), ()]
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["ca", "cb"])
 
-    return signed.groupBy("group", "low", "high").applyInArrow(run, "a bigint, b bigint, ca bigint, cb bigint, equal bigint")
+    return signed.groupBy("group", "low", "high").applyInArrow(run, "ca bigint, cb bigint")
 
 
 def joined_across(
     links: DataFrame, members: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, shingle: int, percent: int, miss: float,
 ) -> DataFrame:
-    """Components after comparing also the nodes that share a bucket but no component yet.
-
-    First the most alike pair of each two components is verified, which joins most that belong together; only signatures
-    travel for it. If one of these pairs was no link, what is still open is compared by full sets inside the tasks.
-    """
+    """Components after comparing also the nodes that share a bucket but no component yet; these links join components."""
     labels = components(links)
     rows = open_buckets(members, labels, nodes)
-    found = pairs_across(outside_against_main(rows), nodes, percent, miss).unionByName(
-        pairs_across(outside_among_themselves(rows), nodes, percent, miss)
-    )
-    best = F.max_by(F.struct("a", "b"), F.struct("equal", "a", "b")).alias("best")
-    likely = land(found.groupBy(F.least("ca", "cb"), F.greatest("ca", "cb")).agg(best).select("best.a", "best.b"), "likely")
-    asked = likely.count()
-    if not asked:
+    how = (nodes, texts_of(rows, nodes, docs, key, text), shingle, percent, miss)
+    found = pairs_across(outside_against_main(rows), *how).unionByName(pairs_across(outside_among_themselves(rows), *how))
+    more = land(found.select(F.col("ca").alias("a"), F.col("cb").alias("b")), "links")
+    if more.isEmpty():
         return labels
-    more = land(verify(likely, nodes, docs, key, text, shingle, percent), "links")
-    added = more.count()
-    if added:
-        links = links.unionByName(more)
-        labels = components(links)
-    if added == asked:
-        return labels
-    rows = open_buckets(members, labels, nodes)
-    texts = texts_of(rows, nodes, docs, key, text)
-    more = land(
-        pairs_across(outside_against_main(rows), nodes, percent, miss, texts, shingle).unionByName(
-            pairs_across(outside_among_themselves(rows), nodes, percent, miss, texts, shingle)
-        ).select("a", "b"),
-        "links",
-    )
-    return labels if more.isEmpty() else components(links.unionByName(more))
+    merged = components(more)
+    names = merged.select(F.col("node").alias("component"), F.col("component").alias("into"))
+    moved = labels.join(names, "component", "left").select("node", F.coalesce("into", "component").alias("component"))
+    return moved.unionByName(merged)
 
 
 def grouped(
