@@ -17,7 +17,7 @@ from paperloom.plans.tables import (
     REJECTED_REVIEWS,
 )
 from paperloom.sinks.files import read_csv, write_csv
-from paperloom.sources.feed import entry_records, page_entries, page_facts, read_pages
+from paperloom.sources.feed import entry_records, land_pages, page_entries, page_facts, read_pages
 from paperloom.sources.reviews_csv import missing_columns, normalize_header, read_csv_defensively, snake_case
 from paperloom.streaming.feed_ingest import ingest_feed, stream_feed
 
@@ -310,6 +310,23 @@ def test_feed_pages_are_landed_by_all_tasks(spark, monkeypatch):
     assert landed == [4, 8]
 
 
+def test_pages_that_land_together_have_one_time(spark, tmp_path):
+    """The file of the first page is written last; the last page of the landing still is the one with the largest index."""
+    page = '<feed><startIndex>{}</startIndex><entry><id>{}</id></entry></feed>'
+    frame = spark.createDataFrame([("p", page.format(n, n)) for n in (0, 2)], "page_file string, xml string").repartition(2, "xml")
+    path = str(tmp_path / "landing")
+    land_pages(frame, path)
+    for name in os.listdir(path):
+        if name.endswith(".parquet"):
+            first = spark.read.parquet(f"{path}/{name}").filter("xml LIKE '%<id>0<%'").count()
+            os.utime(f"{path}/{name}", (2_000_000_000 + first * 60,) * 2)
+    pages = read_pages(spark, path, "parquet")
+    assert pages.select("landed_at").distinct().count() == 1
+    assert pages.agg(F.max_by("start_index", F.struct("landed_at", "start_index"))).first()[0] == 2
+    land_pages(frame.filter("xml LIKE '%<id>0<%'"), path)
+    assert read_pages(spark, path, "parquet").agg(F.max_by("start_index", F.struct("landed_at", "start_index"))).first()[0] == 0
+
+
 def test_csv_parts_grow_with_the_rows(spark, monkeypatch):
     """With line breaks inside quotes each file is read by one task."""
     seen = []
