@@ -14,6 +14,8 @@ from paperloom.sources.tables import text_projection
 
 RECORD_FIELDS = ("id", "task_type", "paper_key", "chunk_id", "instruction", "input", "output", "metadata")
 CHAT_FIELDS = ("id", "task_type", "paper_key", "chunk_id", "messages", "metadata")
+# Each chunk is the input of one record per task, in both formats; the copies follow each other, so little is left of them.
+RECORD_COMPRESSION = "gzip"
 
 
 def build_payload(
@@ -68,8 +70,8 @@ def _write(
     paths = {name: f"{out}/{name}" for name in ("alpaca", "chat")}
     tasks = list(ins.TASK_INSTRUCTIONS)
     written = split.select(*RECORD_FIELDS, "split").observe(records_seen, *record_totals(tasks))
-    write_jsonl(written, paths["alpaca"], "split")
-    write_jsonl(ins.chat_records(split).select(*CHAT_FIELDS, "split"), paths["chat"], "split")
+    write_jsonl(written, paths["alpaca"], "split", RECORD_COMPRESSION)
+    write_jsonl(ins.chat_records(split).select(*CHAT_FIELDS, "split"), paths["chat"], "split", RECORD_COMPRESSION)
     settings = {
         "table": table_name,
         "max_papers": max_papers,

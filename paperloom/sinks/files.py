@@ -21,9 +21,9 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
-def write_jsonl(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+def write_jsonl(df: DataFrame, path: str, partition_by: str | None = None, compression: str = "none") -> None:
     """One JSON object per line, fields in column order, NULLs written."""
-    writer = df.write.mode("overwrite").option("ignoreNullFields", "false")
+    writer = df.write.mode("overwrite").options(ignoreNullFields="false", compression=compression)
     (writer.partitionBy(partition_by) if partition_by else writer).json(path)
 
 

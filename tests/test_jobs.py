@@ -285,6 +285,20 @@ def test_full_run_twice_changes_nothing(spark, tmp_path):
         "id", "task_type", "paper_key", "chunk_id", "instruction", "input", "output", "metadata"]
 
 
+def test_payload_files_hold_the_copies_of_a_text_once(spark, tmp_path):
+    """Six records have the text of a chunk as their input; the files together are smaller than the texts."""
+    words = [hashlib.sha256(str(n).encode()).hexdigest()[:8] for n in range(3000)]
+    papers = spark.createDataFrame(
+        [(str(n), "t", ". ".join(" ".join(words[k : k + 10]) for k in range(n * 300, n * 300 + 300, 10)) + ".", "cs") for n in range(10)],
+        "paper_key string, title string, summary string, primary_category string",
+    ).withColumn("published_at", F.lit(AS_OF))
+    out = str(tmp_path / "payload")
+    row = build_payload(spark, papers, out).first()
+    assert row.payload.total_records == spark.read.json(f"{out}/alpaca").count() == spark.read.json(f"{out}/chat").count() > 0
+    files = [os.path.join(d, f) for name in ("alpaca", "chat") for d, _, names in os.walk(f"{out}/{name}") for f in names if f.startswith("part-")]
+    assert sum(map(os.path.getsize, files)) < 2 * papers.selectExpr("sum(octet_length(summary))").first()[0]
+
+
 def test_csv_round_trip(spark, tmp_path):
     data = [("a", ' "quoted" ', "line\nbreak, comma"), ("b", None, "back\\slash"), ("c", "'", "é\t")]
     frame = spark.createDataFrame(data, "k string, x string, y string")
