@@ -10,7 +10,7 @@ from paperloom.functions.text import collapse_whitespace, flat_sentences
 from paperloom.operators import chunking, instructions as ins
 from paperloom.operators.reports import manifest, record_totals
 from paperloom.operators.split import assign_split
-from paperloom.plans.payload import CHAT_FIELDS, RECORD_FIELDS
+from paperloom.plans.payload import CHAT_FIELDS, RECORD_COMPRESSION, RECORD_FIELDS
 from paperloom.session import fresh_path, land
 from paperloom.sinks.files import write_jsonl
 
@@ -196,7 +196,7 @@ def pl_membership(spark, sf_dir):
         ("chat", ins.chat_records(split).select(*CHAT_FIELDS, "split")),
     ):
         path = fresh_path(spark, name)
-        write_jsonl(rows, path, "split")
+        write_jsonl(rows, path, "split", RECORD_COMPRESSION)
         back = spark.read.schema("id string, split string").json(path)
         parts.append(back.select(F.lit(name).alias("format"), "split", "id"))
     return parts[0].unionByName(parts[1])
