@@ -1,10 +1,9 @@
 """Chat formatting by prefix-target expansion.
 
 Every assistant turn becomes an example of its own: all turns before it are context, and only its own
-text is trainable. The examples of a conversation share their prefixes, so the output keeps each formatted
-turn once, with its place in the conversation: an example is a target row and the context is whatever stands
-before ``start`` in its conversation. That is as large as the input; writing every context out would grow
-with the square of the turns. ``expand`` writes them out where that is wanted.
+text is trainable. ``format_turns`` places the formatted turns in their conversation; ``write_chat`` writes the examples,
+each with its whole context. Their texts grow with the square of the turns of a conversation. They begin
+alike, so compressed pages hold little more than one of them, and a task has one context and one small batch in memory.
 
 A turn reads ``[INST]role[/INST]text</s>``. Control strings inside roles and texts are escaped by a
 backslash behind their first character, and backslashes are doubled, so ``unescape(escape(x)) == x``.
@@ -29,6 +28,9 @@ from paperloom.session import fresh_path
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 OPEN, MIDDLE, CLOSE = "[INST]", "[/INST]", "</s>"
 TARGET_ROLE = "assistant"
+# A batch ends behind so many characters; a row group of the output holds so many examples.
+CHARS_A_BATCH = 4_000_000
+ROWS_A_GROUP = 256
 _INSIDE = r"(<(?=/?s>|<SYS>>|</SYS>>))|(\[(?=/?INST\]))"
 _turn = re.compile(r"\[INST\](.*?)\[/INST\](.*?)</s>", re.DOTALL)
 _escaped = re.compile(r"\\(\\?)")
@@ -76,59 +78,128 @@ def format_turns(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", rol
 
 
 def write_chat(rows: DataFrame) -> str:
-    """Write the formatted turns as Parquet; the path."""
+    """Write the examples of formatted turns as Parquet, each with its context, and what no example holds; the path.
+
+    Texts of a conversation begin alike, so a page keeps little more than the longest of them; row groups are short, as a
+    reader unpacks up to a whole one.
+    """
     path = fresh_path(rows.sparkSession, "chat")
-    rows.write.parquet(path)
+    limits = {"compression": "zstd", "parquet.block.row.count.limit": ROWS_A_GROUP}
+    _written_out(rows).write.options(**limits).parquet(path)
     return path
 
 
-def _by_conversation(turns: DataFrame, names: list[str]) -> DataFrame:
-    """Turns in order, each conversation within one task, which passes over it row by row."""
-    return shipped(turns).select(*names).repartition("conv_id").sortWithinPartitions(F.col("conv_id").asc_nulls_first(), "position")
+def _by_conversation(rows: DataFrame, names: list[str], place: str) -> DataFrame:
+    """Rows in order, each conversation within one task, which passes over it row by row."""
+    return shipped(rows).select(*names).repartition("conv_id").sortWithinPartitions(F.col("conv_id").asc_nulls_first(), place)
 
 
-def expand(turns: DataFrame) -> DataFrame:
-    """Each example written out: ``conv_id``, ``example``, ``text``, ``loss_start``, ``loss_end``."""
+def _written_out(turns: DataFrame) -> DataFrame:
+    """Each example with all turns before it: ``conv_id``, ``example``, ``text``, ``loss_start``, ``loss_end``, ``is_last``.
+
+    A conversation that does not end with an assistant has one more row, without example and loss: its whole text.
+    ``is_last`` tells the row that holds all turns of the conversation.
+    """
     kind = turns.schema["conv_id"].dataType.simpleString()
+    types = (pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.bool_())
+    names = ["conv_id", "example", "text", "loss_start", "loss_end", "is_last"]
 
     def run(batches):
-        now, prefix = object(), ""
+        now, prefix, waiting, conv_type = object(), "", None, pa.int64()
+        out, size = [], 0
+
+        def packed():
+            columns = zip(*out, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (conv_type, *types), strict=True)], names=names)
+
+        def last():
+            """The last row of the conversation at hand."""
+            if waiting is not None and len(waiting[2]) == len(prefix):
+                return [(*waiting, True)]
+            before = [] if waiting is None else [(*waiting, False)]
+            return [*before, (now, None, prefix, None, None, True)]
+
         for batch in batches:
-            out = []
+            conv_type = batch.schema.field("conv_id").type
             for row in batch.to_pylist():
+                ready = []
                 if row["conv_id"] != now:
-                    now, prefix = row["conv_id"], ""
+                    ready = last() if prefix else []
+                    now, prefix, waiting = row["conv_id"], "", None
                 prefix += row["piece"]
                 if row["is_target"]:
-                    out.append((row["conv_id"], row["example"], prefix, row["loss_start"], row["loss_end"]))
+                    if waiting is not None:
+                        ready.append((*waiting, False))
+                    waiting = (now, row["example"], prefix, row["loss_start"], row["loss_end"])
+                out += ready
+                size += sum(len(r[2]) for r in ready)
+                if size > CHARS_A_BATCH:
+                    yield packed()
+                    out, size = [], 0
+        if prefix:
+            out += last()
+        if out:
+            yield packed()
+
+    columns = ["conv_id", "position", "piece", "is_target", "example", "loss_start", "loss_end"]
+    shape = f"conv_id {kind}, example int, text string, loss_start bigint, loss_end bigint, is_last boolean"
+    return _by_conversation(turns, columns, "position").mapInArrow(run, shape)
+
+
+def expand(turns: DataFrame) -> DataFrame:
+    """Each example written out: ``conv_id``, ``example``, ``text``, ``loss_start``, ``loss_end``."""
+    return _written_out(turns).filter("example IS NOT NULL").drop("is_last")
+
+
+DIGEST = "n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint, n_examples bigint"
+
+
+def _parsed(written: DataFrame) -> DataFrame:
+    """Per written row the unescaped text under its loss mask; from the last row of a conversation also its turns."""
+    kind = written.schema["conv_id"].dataType.simpleString()
+    names = ["conv_id", "example", "loss", "n_turns", "turns_sha256", "formatted_chars"]
+    types = (pa.int32(), pa.string(), pa.int64(), pa.string(), pa.int64())
+
+    def turns_of(text):
+        digest, n, at = hashlib.sha256(), 0, 0
+        while at < len(text):
+            turn = _turn.match(text, at)
+            role, said = map(unescape, turn.groups())
+            digest.update(f"{role}\n{said}\n".encode())
+            n, at = n + 1, turn.end()
+        return n, digest.hexdigest(), len(text)
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                conv, example, text, start, end, is_last = row
+                loss = None if example is None else unescape(text[start:end])
+                out.append((conv, example, loss, *(turns_of(text) if is_last else (None, None, None))))
             if out:
+                kinds = (batch.schema.field("conv_id").type, *types)
                 columns = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(next(columns), batch.schema.field("conv_id").type), pa.array(next(columns), pa.int32()),
-                     pa.array(next(columns), pa.string()), pa.array(next(columns), pa.int64()), pa.array(next(columns), pa.int64())],
-                    names=["conv_id", "example", "text", "loss_start", "loss_end"],
-                )
-
-    names = ["conv_id", "position", "piece", "is_target", "example", "loss_start", "loss_end"]
-    return _by_conversation(turns, names).mapInArrow(
-        run, f"conv_id {kind}, example int, text string, loss_start bigint, loss_end bigint"
-    )
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
+    shape = f"conv_id {kind}, example int, loss string, n_turns bigint, turns_sha256 string, formatted_chars bigint"
+    return shipped(written).select("conv_id", "example", "text", "loss_start", "loss_end", "is_last").mapInArrow(run, shape)
 
-DIGEST = "n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint, n_examples bigint"
 
+def read_back(written: DataFrame) -> DataFrame:
+    """Per conversation, parsed from the written examples: digests of the turns and of the text under the loss masks.
 
-def read_back(turns: DataFrame) -> DataFrame:
-    """Per conversation, parsed from the formatted turns: digests of the turns and of the text under the loss mask."""
-    kind = turns.schema["conv_id"].dataType.simpleString()
+    Formatted turns are written out first.
+    """
+    kind = written.schema["conv_id"].dataType.simpleString()
+    parsed = _parsed(_written_out(written) if "piece" in written.columns else written)
 
     def fresh(conv):
-        return {"conv_id": conv, "n_turns": 0, "turns": hashlib.sha256(), "loss_chars": 0, "loss": hashlib.sha256(), "chars": 0, "examples": 0}
+        return {"conv_id": conv, "n_turns": None, "turns": None, "loss_chars": 0, "loss": hashlib.sha256(), "chars": None, "examples": 0}
 
     def closed(done, conv_type):
         arrays = [pa.array([d["conv_id"] for d in done], conv_type)]
         arrays.append(pa.array([d["n_turns"] for d in done], pa.int64()))
-        arrays.append(pa.array([d["turns"].hexdigest() for d in done], pa.string()))
+        arrays.append(pa.array([d["turns"] for d in done], pa.string()))
         arrays.append(pa.array([d["loss_chars"] for d in done], pa.int64()))
         arrays.append(pa.array([d["loss"].hexdigest() for d in done], pa.string()))
         arrays.append(pa.array([d["chars"] for d in done], pa.int64()))
@@ -145,20 +216,15 @@ def read_back(turns: DataFrame) -> DataFrame:
                     if state is not None:
                         done.append(state)
                     state = fresh(row["conv_id"])
-                role, text = map(unescape, _turn.fullmatch(row["piece"]).groups())
-                state["n_turns"] += 1
-                state["turns"].update(f"{role}\n{text}\n".encode())
-                state["chars"] += len(row["piece"])
-                if row["is_target"]:
-                    under = row["piece"][row["loss_start"] - row["start"] : row["loss_end"] - row["start"]]
-                    loss = unescape(under)
-                    state["loss_chars"] += len(loss)
-                    state["loss"].update(loss.encode())
+                if row["example"] is not None:
+                    state["loss_chars"] += len(row["loss"])
+                    state["loss"].update(row["loss"].encode())
                     state["examples"] += 1
+                if row["n_turns"] is not None:
+                    state |= {"n_turns": row["n_turns"], "turns": row["turns_sha256"], "chars": row["formatted_chars"]}
             if done:
                 yield closed(done, conv_type)
         if state is not None:
             yield closed([state], conv_type)
 
-    names = ["conv_id", "position", "piece", "start", "is_target", "loss_start", "loss_end"]
-    return _by_conversation(turns, names).mapInArrow(run, f"conv_id {kind}, {DIGEST}")
+    return _by_conversation(parsed, parsed.columns, "example").mapInArrow(run, f"conv_id {kind}, {DIGEST}")

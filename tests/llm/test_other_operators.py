@@ -50,6 +50,18 @@ def test_each_reply_is_an_example_with_all_before_it(spark):
         assert row["text"].endswith("</s>") and row["loss_end"] == len(row["text"]) - len(chat.CLOSE)
 
 
+def test_examples_are_written_with_their_contexts(spark):
+    """The output has every example as a whole, and the turns behind the last one."""
+    turns = chat.format_turns(conversations(spark))
+    pieces = defaultdict(list)
+    for row in sorted(turns.collect(), key=lambda r: r["position"]):
+        pieces[row["conv_id"]].append(row)
+    written = spark.read.parquet(chat.write_chat(turns)).collect()
+    wanted = [(c, row["example"], "".join(r["piece"] for r in rows[: n + 1]), n + 1 == len(rows))
+              for c, rows in pieces.items() for n, row in enumerate(rows) if row["is_target"] or n + 1 == len(rows)]
+    assert Counter((r["conv_id"], r["example"], r["text"], r["is_last"]) for r in written) == Counter(wanted)
+
+
 def test_escapes(spark):
     rng = random.Random(1)
     parts = [*chat.CONTROLS, "\\", "<", "[", "s>", "INST]", "a", "/"]
