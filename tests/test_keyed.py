@@ -167,3 +167,16 @@ def test_timing_stats_median_even_and_odd(spark):
     stats = timing_stats(spark.createDataFrame(data, "reader string, format string, duration_ms double, run int"))
     got = {r.format: (r.run_count, r.average_ms, r.median_ms, r.min_ms, r.max_ms) for r in stats.collect()}
     assert got == {"csv": (4, 4.5, 4.0, 1.0, 9.0), "parquet": (3, 4.0, 2.0, 2.0, 8.0)}
+
+
+def test_rows_dealt_out_by_key_are_not_shuffled_again(spark, tmp_path, monkeypatch):
+    """Upserts and folds write rows where the shuffle for the last row per key, or for the merge, has put them."""
+    hints, hint = [], type(spark.range(1)).hint
+    monkeypatch.setattr(type(spark.range(1)), "hint", lambda df, *a: hints.append(a) or hint(df, *a))
+    rows = spark.range(200).selectExpr("CAST(id % 100 AS STRING) AS k", "id AS n")
+    table = KeyedTable(spark, str(tmp_path / "t"), rows.schema, ("k",))
+    table.upsert(rows, ["n"])
+    table.upsert(rows.filter("n >= 150").withColumn("n", F.col("n") + 1000), ["n"])
+    table.fold()
+    assert hints == []
+    assert sorted(r.n for r in table.current().collect()) == [*range(100, 150), *range(1150, 1200)]
