@@ -9,6 +9,7 @@ state carried from window to window and cleared where a document begins. Trainin
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 
@@ -41,19 +42,32 @@ def fresh_model(counts: np.ndarray, hidden: int = 24, classes: int = 64, seed: i
 
 
 class Lanes:
-    """Documents (arrays of tokens) as chains of about equal length, the longest first."""
+    """Documents (arrays of tokens) as chains of about equal length, the longest first.
 
-    def __init__(self, documents: list[np.ndarray], lanes: int, begin: int) -> None:
+    With ``cut`` the chains are even: they are pieces of one long chain, so a document may go on in the next lane, where its
+    tokens are read as before but from a cleared state. Otherwise every document lies in one lane as a whole.
+    """
+
+    def __init__(self, documents: list[np.ndarray], lanes: int, begin: int, cut: bool = False) -> None:
         lengths = np.array([len(d) for d in documents], np.int64)
-        count = max(1, min(lanes, len(documents)))
-        heap = [(0, i) for i in range(count)]
-        chains: list[list[int]] = [[] for _ in range(count)]
-        for number in np.argsort(-lengths, kind="stable").tolist():
-            total, lane = heapq.heappop(heap)
-            chains[lane].append(number)
-            heapq.heappush(heap, (total + int(lengths[number]), lane))
-        chains.sort(key=lambda chain: -sum(int(lengths[i]) for i in chain))
-        order = [i for chain in chains for i in chain]
+        if cut:
+            total = int(lengths.sum())
+            count = max(1, min(lanes, total // WINDOW))
+            order = list(range(len(documents)))
+            edges = np.arange(count + 1) * total // count
+            self.size = np.sort(np.diff(edges))[::-1]
+        else:
+            count = max(1, min(lanes, len(documents)))
+            heap = [(0, i) for i in range(count)]
+            chains: list[list[int]] = [[] for _ in range(count)]
+            for number in np.argsort(-lengths, kind="stable").tolist():
+                held, lane = heapq.heappop(heap)
+                chains[lane].append(number)
+                heapq.heappush(heap, (held + int(lengths[number]), lane))
+            chains.sort(key=lambda chain: -sum(int(lengths[i]) for i in chain))
+            order = [i for chain in chains for i in chain]
+            self.size = np.array([sum(int(lengths[i]) for i in chain) for chain in chains], np.int64)
+        self.start = np.cumsum(self.size) - self.size
         self.target = np.concatenate([documents[i] for i in order]) if order else np.empty(0, np.int32)
         self.document = np.repeat(np.array(order, np.int64), lengths[order]) if order else np.empty(0, np.int64)
         self.first = np.zeros(len(self.target), bool)
@@ -61,8 +75,6 @@ class Lanes:
         self.source = np.empty_like(self.target)
         self.source[1:] = self.target[:-1]
         self.source[self.first] = begin
-        self.size = np.array([sum(int(lengths[i]) for i in chain) for chain in chains], np.int64)
-        self.start = np.cumsum(self.size) - self.size
 
     def windows(self):
         """For each window: the places of every step, one array per step, over the lanes still running."""
@@ -77,121 +89,253 @@ class Lanes:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+    """In place."""
+    x *= 0.5
+    np.tanh(x, out=x)
+    x *= 0.5
+    x += 0.5
+    return x
+
+
+#: Numbers up to this one can be raised to powers of e, and those of its negative summed, in single precision.
+_SAFE = 80.0
+
+
+def _powers(logits: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray | float]:
+    """In place: ``logits`` less a shift per row, as powers of e, and the shift, which numbers within a safe ``reach`` need not have."""
+    top = 0.0
+    if reach > _SAFE:
+        top = logits.max(axis=1)
+        logits -= top[:, None]
+    return np.exp(logits, out=logits), top
+
+
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    return x @ np.ones(x.shape[1], x.dtype)
 
 
-def _log_sum(x: np.ndarray) -> np.ndarray:
-    top = x.max(axis=1)
-    return np.log(np.exp(x - top[:, None]).sum(axis=1)) + top
+def _outputs(model: dict) -> tuple[np.ndarray, float, np.ndarray, np.ndarray]:
+    """Weights of classes and of tokens with the bias as the last row, each with the largest size its logits can have (per class)."""
+    both = [np.concatenate((model[f"{name}_w"], model[f"{name}_b"][None])) for name in ("class", "word")]
+    # states lie between -1 and 1
+    reach = [np.abs(weights).sum(axis=0) for weights in both]
+    return both[0], float(reach[0].max()), both[1], np.maximum.reduceat(reach[1], model["starts"][:-1])
 
 
 def _step(model: dict, state: np.ndarray, source: np.ndarray, keep: list | None) -> np.ndarray:
     hidden = state.shape[1]
-    read, turned = model["read"][source], state @ model["turn"]
-    gates = _sigmoid(read[:, : 2 * hidden] + turned[:, : 2 * hidden])
-    update, reset = gates[:, :hidden], gates[:, hidden:]
-    inner = turned[:, 2 * hidden :] + model["turn_bias"]
-    new = np.tanh(read[:, 2 * hidden :] + reset * inner)
-    out = new + update * (state - new)
+    read = model["read"].take(source, axis=0).reshape(len(state), 3, hidden)
+    # one block per gate, so that what follows runs over whole arrays
+    turned = np.matmul(state, model["turn"].reshape(hidden, 3, hidden).transpose(1, 0, 2))
+    gates, inner = turned[:2], turned[2]
+    gates += read.transpose(1, 0, 2)[:2]
+    update, reset = _sigmoid(gates)
+    inner += model["turn_bias"]
+    new = reset * inner
+    new += read[:, 2]
+    np.tanh(new, out=new)
+    fall = state - new
+    out = fall * update
+    out += new
     if keep is not None:
-        keep.append((state, source, update, reset, inner, new))
+        keep.append((state, source, update, reset, inner, new, fall))
     return out
 
 
 def _by_class(starts: np.ndarray, target: np.ndarray):
-    """(class, rows whose target is in it) for each class that occurs, and the class of each row."""
-    classes = np.searchsorted(starts, target, "right") - 1
-    order = np.argsort(classes.astype(np.int16), kind="stable")
-    edges = np.searchsorted(classes[order], np.arange(len(starts)))
-    groups = [(c, order[edges[c] : edges[c + 1]]) for c in range(len(starts) - 1) if edges[c + 1] > edges[c]]
-    return groups, classes
+    """Rows in the order of their targets' classes, the class of each, and (class, begin, end) for each class that occurs."""
+    classes = np.repeat(np.arange(len(starts) - 1, dtype=np.int16), np.diff(starts)).take(target)
+    order = np.argsort(classes, kind="stable")
+    classes = classes[order]
+    edges = np.searchsorted(classes, np.arange(len(starts), dtype=np.int16)).tolist()
+    groups = [(c, edges[c], edges[c + 1]) for c in range(len(starts) - 1) if edges[c + 1] > edges[c]]
+    return order, classes, groups
+
+
+def _with_one(states: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Rows of ``states`` in an order, with a column of ones behind."""
+    out = np.ones((len(order), states.shape[1] + 1), states.dtype)
+    out[:, :-1] = states[order]
+    return out
 
 
-def log_likelihoods(model: dict, documents: list[np.ndarray], lanes: int = 512) -> np.ndarray:
-    """The natural log-probability of each whole document."""
+#: So many rows of logits are worked on at a time, few enough for the cache.
+_ROWS = 2048
+
+
+def _found(starts: np.ndarray, outputs: tuple, states: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """The natural log-probability of each target after its state."""
+    class_w, class_reach, word_w, word_reach = outputs
+    order, classes, groups = _by_class(starts, target)
+    states, target = _with_one(states, order), target[order]
+    found = np.empty(len(target), np.result_type(states, class_w))
+    for a in range(0, len(target), _ROWS):
+        logits = states[a : a + _ROWS] @ class_w
+        own = logits[np.arange(len(logits)), classes[a : a + _ROWS]]
+        powers, top = _powers(logits, class_reach)
+        found[a : a + _ROWS] = own - np.log(_row_sums(powers)) - top
+    for c, begin, end in groups:
+        words = word_w[:, starts[c] : starts[c + 1]]
+        for a in range(begin, end, 4 * _ROWS):
+            rows = slice(a, min(a + 4 * _ROWS, end))
+            logits = states[rows] @ words
+            own = logits[np.arange(len(logits)), target[rows] - starts[c]]
+            powers, top = _powers(logits, word_reach[c])
+            found[rows] += own - np.log(_row_sums(powers)) - top
+    back = np.empty_like(found)
+    back[order] = found
+    return back
+
+
+def log_likelihoods(model: dict, documents: list[np.ndarray], lanes: int = 512, together: int = 32_768) -> np.ndarray:
+    """The natural log-probability of each whole document; tokens of several windows are looked up ``together``."""
     run = Lanes(documents, lanes, len(model["word_b"]))
     total = np.zeros(len(documents))
     state = np.zeros((len(run.size), model["turn"].shape[0]), np.float32)
-    starts = model["starts"]
+    outputs = _outputs(model)
+    places, states, held = [], [], 0
+
+    def add():
+        at = np.concatenate(places)
+        found = _found(model["starts"], outputs, np.concatenate(states), run.target[at])
+        total[:] += np.bincount(run.document[at], weights=found, minlength=len(documents))
+
     for steps in run.windows():
-        states = []
-        for places in steps:
-            now = state[: len(places)]
-            now[run.first[places]] = 0
-            state[: len(places)] = _step(model, now, run.source[places], None)
-            states.append(state[: len(places)].copy())
-        places, states = np.concatenate(steps), np.concatenate(states)
-        target = run.target[places]
-        groups, classes = _by_class(starts, target)
-        logits = states @ model["class_w"] + model["class_b"]
-        found = logits[np.arange(len(target)), classes] - _log_sum(logits)
-        for c, rows in groups:
-            words = slice(starts[c], starts[c + 1])
-            inner = states[rows] @ model["word_w"][:, words] + model["word_b"][words]
-            found[rows] += inner[np.arange(len(rows)), target[rows] - starts[c]] - _log_sum(inner)
-        total += np.bincount(run.document[places], weights=found, minlength=len(documents))
+        for at in steps:
+            now = state[: len(at)]
+            now[run.first[at]] = 0
+            state[: len(at)] = _step(model, now, run.source[at], None)
+            states.append(state[: len(at)].copy())
+            places.append(at)
+            held += len(at)
+        if held >= together:
+            add()
+            places, states, held = [], [], 0
+    if places:
+        add()
     return total
 
 
-def _softmax_gap(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Probabilities minus the one-hot target."""
-    logits = np.exp(logits - logits.max(axis=1, keepdims=True))
-    logits /= logits.sum(axis=1, keepdims=True)
-    logits[np.arange(len(target)), target] -= 1
-    return logits
+def _gap(logits: np.ndarray, target: np.ndarray, reach: float, scale: float) -> np.ndarray:
+    """In place: probabilities minus the one-hot target, scaled."""
+    powers = _powers(logits, reach)[0]
+    powers *= (scale / _row_sums(powers))[:, None]
+    powers[np.arange(len(target)), target] -= scale
+    return powers
+
+
+#: Tokens before this one are so frequent that a product with their places is cheaper than sorting them.
+_OFTEN = 8
+#: So many rows of each token are added side by side, the rest of them one after the other.
+_LAYERS = 32
 
 
 def _add_rows(out: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    order = np.argsort(rows, kind="stable")
+    """``out[rows] += values``, where rows repeat."""
+    often = min(_OFTEN, len(out))
+    out[:often] += (rows == np.arange(often)[:, None]).astype(values.dtype) @ values
+    order = np.argsort(rows.astype(np.uint16 if len(out) < 1 << 16 else np.int32), kind="stable")
+    order = order[np.searchsorted(rows[order], often) :]
     rows = rows[order]
-    first = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
-    out[rows[first]] += np.add.reduceat(values[order], first, axis=0)
+    heads = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1]))[: len(rows)])
+    times = np.diff(np.append(heads, len(rows)))
+    by_times = np.argsort(-times, kind="stable")
+    heads, times = heads[by_times], times[by_times]
+    sums = values.take(order[heads], axis=0)
+    for layer in range(1, min(_LAYERS, int(times.max(initial=0)))):
+        more = int(np.searchsorted(-times, -layer, "left"))
+        sums[:more] += values.take(order[heads[:more] + layer], axis=0)
+    out[rows[heads]] += sums
+    late = [np.arange(h + _LAYERS, h + t) for h, t in zip(heads.tolist(), times[times > _LAYERS].tolist(), strict=False)]
+    if late:
+        sums = np.add.reduceat(values.take(order[np.concatenate(late)], axis=0), np.cumsum([0, *map(len, late)])[:-1], axis=0)
+        out[rows[heads[: len(late)]]] += sums
 
 
 def _gradients(model: dict, kept: list, places: list, run: Lanes, states: list) -> dict[str, np.ndarray]:
-    """By truncated backpropagation through one window."""
+    """By truncated backpropagation through one window; what was kept of its steps is used up."""
     hidden, starts = model["turn"].shape[0], model["starts"]
-    grad = {name: np.zeros_like(value) for name, value in model.items() if name != "starts"}
     flat, outputs = np.concatenate(places), np.concatenate(states)
+    class_w, class_reach, word_w, word_reach = _outputs(model)
     target = run.target[flat]
-    groups, classes = _by_class(starts, target)
+    order, classes, groups = _by_class(starts, target)
+    outputs, target = _with_one(outputs, order), target[order]
     scale = np.float32(1 / len(target))
-    gap = _softmax_gap(outputs @ model["class_w"] + model["class_b"], classes) * scale
-    grad["class_w"], grad["class_b"] = outputs.T @ gap, gap.sum(axis=0)
-    back = gap @ model["class_w"].T
-    for c, rows in groups:
-        words = slice(starts[c], starts[c + 1])
-        gap = _softmax_gap(outputs[rows] @ model["word_w"][:, words] + model["word_b"][words], target[rows] - starts[c]) * scale
-        grad["word_w"][:, words] += outputs[rows].T @ gap
-        grad["word_b"][words] += gap.sum(axis=0)
-        back[rows] += gap @ model["word_w"][:, words].T
-    edges = np.cumsum([0, *map(len, places)])
-    carried = np.zeros((0, hidden), np.float32)
-    reads, rows = [], []
+    class_grad, word_grad, sent = np.zeros_like(class_w), np.zeros_like(word_w), np.empty((len(target), hidden), class_w.dtype)
+    for a in range(0, len(target), _ROWS):
+        rows = slice(a, a + _ROWS)
+        gap = _gap(outputs[rows] @ class_w, classes[rows], class_reach, scale)
+        class_grad += outputs[rows].T @ gap
+        sent[rows] = gap @ class_w[:-1].T
+    for c, begin, end in groups:
+        words, rows = slice(starts[c], starts[c + 1]), slice(begin, end)
+        gap = _gap(outputs[rows] @ word_w[:, words], target[rows] - starts[c], word_reach[c], scale)
+        word_grad[:, words] = outputs[rows].T @ gap
+        sent[rows] += gap @ word_w[:-1, words].T
+    back = np.empty_like(sent)
+    back[order] = sent
+    reads, edges = np.empty((len(flat), 3 * hidden), back.dtype), np.cumsum([0, *map(len, places)]).tolist()
+    gates, inward = model["turn"][:, : 2 * hidden].T, model["turn"][:, 2 * hidden :].T
+    grad = {name: np.zeros_like(model[name]) for name in ("read", "turn", "turn_bias")}
+    carried = np.zeros((0, hidden), back.dtype)
     for t in range(len(kept) - 1, -1, -1):
-        state, source, update, reset, inner, new = kept[t]
-        out = back[edges[t] : edges[t + 1]].copy()
+        state, _, update, reset, inner, new, fall = kept[t]
+        out, read = back[edges[t] : edges[t + 1]], reads[edges[t] : edges[t + 1]]
         out[: len(carried)] += carried
-        d_new = out * (1 - update) * (1 - new * new)
-        d_update = out * (state - new) * update * (1 - update)
-        d_reset = d_new * inner * reset * (1 - reset)
-        turned = np.concatenate((d_update, d_reset, d_new * reset), axis=1)
-        grad["turn"] += state.T @ turned
-        grad["turn_bias"] += turned[:, 2 * hidden :].sum(axis=0)
-        reads.append(np.concatenate((d_update, d_reset, d_new), axis=1))
-        rows.append(source)
-        carried = out * update + turned @ model["turn"].T
-        carried[run.first[places[t]]] = 0
-    _add_rows(grad["read"], np.concatenate(rows), np.concatenate(reads))
-    return grad
+        passed = out * update
+        out -= passed
+        fall *= passed
+        np.subtract(1, update, out=update)
+        np.multiply(fall, update, out=read[:, :hidden])
+        new *= new
+        np.subtract(1, new, out=new)
+        out *= new
+        inner_gap = out * reset
+        inner *= inner_gap
+        np.subtract(1, reset, out=reset)
+        np.multiply(inner, reset, out=read[:, hidden : 2 * hidden])
+        read[:, 2 * hidden :] = out
+        both = read[:, : 2 * hidden]
+        grad["turn"][:, : 2 * hidden] += state.T @ both
+        grad["turn"][:, 2 * hidden :] += state.T @ inner_gap
+        grad["turn_bias"] += inner_gap.sum(axis=0)
+        if t:
+            carried = both @ gates
+            carried += inner_gap @ inward
+            carried += passed
+            carried[run.first[places[t]]] = 0
+    _add_rows(grad["read"], np.concatenate([step[1] for step in kept]), reads)
+    return grad | {"class_w": class_grad[:-1], "class_b": class_grad[-1], "word_w": word_grad[:-1], "word_b": word_grad[-1]}
+
+
+def _adam(weights: np.ndarray, first: np.ndarray, second: np.ndarray, grads: np.ndarray, number: int, pace: float) -> None:
+    """One step of Adam in place, by pieces that stay in the cache; ``grads`` is used up."""
+    for a in range(0, len(weights), 1 << 14):
+        m, v, g = (x[a : a + (1 << 14)] for x in (first, second, grads))
+        m *= 0.9
+        m += 0.1 * g
+        v *= 0.99
+        g *= g
+        g *= 0.01
+        v += g
+        np.sqrt(v, out=g)
+        g *= 1 / math.sqrt(1 - 0.99**number)
+        g += 1e-7
+        np.divide(m, g, out=g)
+        g *= pace / (1 - 0.9**number)
+        weights[a : a + (1 << 14)] -= g
 
 
 def train(model: dict, documents: list[np.ndarray], lanes: int = 64, rate: float = 0.01, last: float = 0.001) -> dict:
-    """One pass over the documents with Adam; the learning rate falls from ``rate`` to ``last``."""
-    run = Lanes(documents, lanes, len(model["word_b"]))
+    """One pass over all tokens of the documents, in even lanes, with Adam; the learning rate falls from ``rate`` to ``last``."""
+    run = Lanes(documents, lanes, len(model["word_b"]), cut=True)
     names = [name for name in model if name != "starts"]
-    first = {name: np.zeros_like(model[name]) for name in names}
-    second = {name: np.zeros_like(model[name]) for name in names}
+    weights = np.concatenate([model[name].ravel() for name in names])
+    edges = np.cumsum([0, *(model[name].size for name in names)])
+    parts = zip(names, edges[:-1], edges[1:], strict=True)
+    # the weights stay in one array, of which the model's are views
+    model = model | {name: weights[a:b].reshape(model[name].shape) for name, a, b in parts}
+    first, second, grads = (np.zeros_like(weights) for _ in range(3))
     state = np.zeros((len(run.size), model["turn"].shape[0]), np.float32)
     rounds = max(1, -(-int(run.size.max(initial=0)) // WINDOW))
     for number, steps in enumerate(run.windows(), 1):
@@ -204,13 +348,7 @@ def train(model: dict, documents: list[np.ndarray], lanes: int = 64, rate: float
             state[: len(places)] = out
             states.append(out)
         grad = _gradients(model, kept, steps, run, states)
-        norm = float(np.sqrt(sum(float((g * g).sum()) for g in grad.values())))
-        factor = min(1.0, 1.0 / max(norm, 1e-9))
-        pace = rate + (last - rate) * number / rounds
-        for name in names:
-            g = grad[name] * np.float32(factor)
-            first[name] = 0.9 * first[name] + 0.1 * g
-            second[name] = 0.99 * second[name] + 0.01 * g * g
-            step = first[name] / (1 - 0.9**number) / (np.sqrt(second[name] / (1 - 0.99**number)) + 1e-7)
-            model[name] = (model[name] - np.float32(pace) * step).astype(np.float32)
+        np.concatenate([grad[name].ravel() for name in names], out=grads)
+        grads *= np.float32(min(1.0, 1.0 / max(math.sqrt(grads @ grads), 1e-9)))
+        _adam(weights, first, second, grads, number, rate + (last - rate) * number / rounds)
     return model

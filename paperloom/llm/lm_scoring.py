@@ -21,14 +21,14 @@ from __future__ import annotations
 
 import io
 import math
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paperloom.llm.common import folded_words, shipped
+from paperloom.llm.common import shipped
 from paperloom.llm.gated import fresh_model, log_likelihoods, train
 from paperloom.session import fresh_path, land
 
@@ -37,23 +37,39 @@ END = b""
 ADDED = 0.1
 
 
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, as ``folded_words`` gives them, and how many each text has."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words = parts.flatten()
+    # spaces at either end leave an empty part
+    whole = pc.greater(pc.binary_length(words), 0)
+    of = pc.list_parent_indices(parts).filter(whole).to_numpy(zero_copy_only=False)
+    return words.filter(whole).cast(pa.binary()), np.bincount(of, minlength=len(texts))
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """``word``, ``n``: all tokens of a one-column frame of texts; each text has one end token."""
 
-    def run(batches):
-        def rows(seen):
-            return pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], names=["word", "n"])
+    def rows(seen):
+        found = pa.concat_tables(seen)
+        if len(seen) > 1:
+            found = found.group_by("word", use_threads=False).aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"])
+        return found.to_batches()
 
-        seen: Counter = Counter()
+    def run(batches):
+        seen, held, ends = [], 0, 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update(folded_words(text))
-            seen[END] += batch.num_rows
-            if len(seen) > 400_000:
-                yield rows(seen)
-                seen = Counter()
+            words, _ = words_of(batch.column(0))
+            counted = pc.value_counts(words)
+            seen.append(pa.table({"word": counted.field(0), "n": counted.field(1)}))
+            held, ends = held + len(counted), ends + batch.num_rows
+            if held > 400_000:
+                yield from rows(seen)
+                seen, held = [], 0
         if seen:
-            yield rows(seen)
+            yield from rows(seen)
+        if ends:
+            yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([ends], pa.int64())], names=["word", "n"])
 
     return texts.mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -105,19 +121,33 @@ def averaged(rows) -> tuple[int, dict | None]:
     return total, {name: value if name == "starts" else (value / total).astype(np.float32) for name, value in sums.items()}
 
 
+def _with_ends(tokens: np.ndarray, lengths: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of documents with the end token behind each, and where each then ends."""
+    ends = np.cumsum(lengths + 1)
+    out = np.full(len(tokens) + len(lengths), end, np.int32)
+    inside = np.ones(len(out), bool)
+    inside[ends - 1] = False
+    out[inside] = tokens
+    return out, ends
+
+
 def encoded(texts: DataFrame, tokens: dict[bytes, int], rare: int, rounds: int) -> DataFrame:
     """``document``, ``round``: each text of a one-column frame as tokens of four bytes; every part has a share in each round."""
+    listed, end = pa.array(tokens.keys(), pa.binary()), tokens[END]
+    # the last one is found for words that are not listed
+    numbers = np.array([*tokens.values(), rare], np.int32)
 
     def run(batches):
         at = TaskContext.get().partitionId()
         for batch in batches:
-            documents = [
-                np.array([*(tokens.get(w, rare) for w in folded_words(text)), tokens[END]], np.int32).tobytes()
-                for text in batch.column(0).to_pylist()
-            ]
-            dealt = (np.arange(at, at + len(documents)) % rounds).astype(np.int32)
-            at += len(documents)
-            yield pa.RecordBatch.from_arrays([pa.array(documents, pa.binary()), pa.array(dealt)], names=["document", "round"])
+            words, lengths = words_of(batch.column(0))
+            found = pc.index_in(words, value_set=listed).fill_null(-1).to_numpy(zero_copy_only=False)
+            joined, ends = _with_ends(numbers[found], lengths, end)
+            edges = pa.py_buffer((4 * np.append(0, ends)).astype(np.int64))
+            documents = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, edges, pa.py_buffer(joined)])
+            dealt = (np.arange(at, at + len(ends)) % rounds).astype(np.int32)
+            at += len(ends)
+            yield pa.RecordBatch.from_arrays([documents.cast(pa.binary()), pa.array(dealt)], names=["document", "round"])
 
     return texts.mapInArrow(run, "document binary, round int")
 
@@ -205,45 +235,54 @@ def scored(
 
     base_of = lambda c: math.log10((c + ADDED) / (n + ADDED * (v + 1)))
     rare_of = lambda c: math.log10((c + ADDED) / (rare_n + ADDED * (rare_v + 1)))
-    # a word's row in these arrays is its place in the dictionary; tokens of the model come first
-    words = {word: at for at, (word, _) in enumerate(ranked) if word is not None}
-    base, inner, token = [base_of(c) for _, c in ranked], [0.0] * len(ranked), list(range(len(ranked)))
-    for word, count in known:
-        if word not in words:
-            words[word] = len(base)
-            base.append(base_of(count))
-            inner.append(rare_of(count))
-            token.append(rare)
+    # a word's row in these arrays is its place in the dictionary; words that are not in it find the last row
+    listed = [*tokens, *(word for word, _ in known if word not in tokens)]
+    count_of = dict(known)
+    base = np.array([*(base_of(count_of.get(word, 0)) for word in listed), 0.0])
+    inner = np.array([*(0.0 if word in tokens else rare_of(count_of[word]) for word in listed), 0.0])
+    token = np.array([*(tokens.get(word, rare) for word in listed), rare], np.int32)
     sent = spark.sparkContext.broadcast(
-        (words, np.array(base), np.array(inner), np.array(token, np.int32), weights, words[END], bool(ends))
+        (pa.array(listed, pa.binary()), base, inner, token, weights, tokens[END], base_of(ends), bool(ends))
     )
     fields = f"`{key}` {docs.schema[key].dataType.simpleString()}, held_out boolean, {SCORED}"
     names = [part.split(" ")[0].strip("`") for part in fields.split(", ")][: 2 + 5] + ["rest"]
 
+    def looked_up(texts, parts):
+        """What the dictionary has on texts: tokens and where each text ends, sums and counts, and the words it does not hold."""
+        listed, base, inner, token, _, end, end_base, end_known = parts
+        words, lengths = words_of(texts)
+        found = pc.index_in(words, value_set=listed).fill_null(-1).to_numpy(zero_copy_only=False)
+        of, unknown, size = np.repeat(np.arange(len(texts)), lengths), found < 0, len(texts)
+        sums = np.bincount(of, weights=base[found], minlength=size) + end_base
+        inners = np.bincount(of, weights=inner[found], minlength=size)
+        known = np.bincount(of[~unknown], minlength=size) + end_known
+        rest = pa.table({"of": of[unknown], "word": words.filter(pa.array(unknown))})
+        rest = rest.group_by(["of", "word"], use_threads=False).aggregate([([], "count_all")]).combine_chunks()
+        rest = rest.sort_by("of")
+        words = pa.StructArray.from_arrays(
+            [rest["word"].combine_chunks(), rest["count_all"].combine_chunks().cast(pa.int32())], names=["word", "n"]
+        )
+        edges = np.searchsorted(rest["of"].to_numpy(), np.arange(size + 1)).astype(np.int32)
+        rests = pa.ListArray.from_arrays(pa.array(edges), words)
+        return *_with_ends(token[found], lengths, end), lengths + 1, known, sums, inners, rests
+
     def run(batches):
-        words, base, inner, token, weights, end, end_known = sent.value
-        model = _loaded(weights)
+        parts = sent.value
+        model = _loaded(parts[4])
         row = TaskContext.get().partitionId() << 33
-        find = words.get
         for batch in batches:
-            documents, sums, known_counts, inners, rests, lengths = [], [], [], [], [], []
-            for text in batch.column(2).to_pylist():
-                found = folded_words(text)
-                at = np.fromiter((find(w, -1) for w in found), np.int32, len(found))
-                unknown = at < 0
-                rest = Counter(w for w, u in zip(found, unknown.tolist(), strict=True) if u) if unknown.any() else {}
-                seen = at[~unknown]
-                sums.append(base[seen].sum() + base[end])
-                inners.append(inner[seen].sum())
-                known_counts.append(len(seen) + end_known)
-                lengths.append(len(found) + 1)
-                rests.append([{"word": w, "n": k} for w, k in rest.items()])
-                documents.append(np.append(np.where(unknown, rare, token[at]), end).astype(np.int32))
+            documents, columns, rests = [], [], []
+            for begin in range(0, batch.num_rows, 4096):
+                tokens, ends, *numbers, rest = looked_up(batch.column(2).slice(begin, 4096), parts)
+                documents += np.split(tokens, ends[:-1])
+                columns.append(numbers)
+                rests.append(rest)
+            lengths, known, sums, inners = (np.concatenate(c) for c in zip(*columns, strict=True)) if columns else (np.zeros(0),) * 4
             likely = log_likelihoods(model, documents) / math.log(10) if documents else np.zeros(0)
             arrays = [
                 batch.column(0), batch.column(1), pa.array(range(row, row + batch.num_rows), pa.int64()), pa.array(lengths, pa.int64()),
-                pa.array(known_counts, pa.int64()), pa.array(sums, pa.float64()), pa.array(likely + np.array(inners), pa.float64()),
-                pa.array(rests, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))),
+                pa.array(known, pa.int64()), pa.array(sums, pa.float64()), pa.array(likely + inners, pa.float64()),
+                pa.concat_arrays(rests) if rests else pa.array([], pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))),
             ]
             row += batch.num_rows
             yield pa.RecordBatch.from_arrays(arrays, names=names)

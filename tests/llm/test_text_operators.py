@@ -5,12 +5,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from paperloom.llm import gated, language_id, lm_scoring, quality, token_files
-from paperloom.llm.common import id_crc
+from paperloom.llm.common import folded_words, id_crc
 from tests.llm.data import no_documents, odd_documents, odd_rows, words
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -279,3 +280,36 @@ def test_training_learns_what_counts_cannot():
     before = gated.log_likelihoods(fresh, docs[300:]).sum()
     after = gated.log_likelihoods(gated.train(dict(fresh), docs[:300] * 4, lanes=16), docs[300:]).sum()
     assert after > 0.8 * before
+
+
+def test_a_long_document_does_not_stretch_training(monkeypatch):
+    """Lanes are even, so updates follow the tokens; every token is learned from once, after the token before it."""
+    rng = np.random.default_rng(3)
+    docs = [rng.integers(0, 7, n).astype(np.int32) for n in [6_400, 0, *[100] * 64]]
+    run = gated.Lanes(docs, 64, 7, cut=True)
+    places = np.concatenate([np.concatenate(steps) for steps in run.windows()])
+    assert sorted(places.tolist()) == list(range(12_800)) and run.size.max() == 200
+    assert run.target.tolist() == np.concatenate(docs).tolist()
+    assert run.source[run.first].tolist() == [7] * 65 and (run.source[1:] == run.target[:-1])[~run.first[1:]].all()
+    inner, updates = gated._gradients, []
+    monkeypatch.setattr(gated, "_gradients", lambda *args: updates.append(1) or inner(*args))
+    gated.train(gated.fresh_model(np.arange(7, 0, -1).astype(float), hidden=4, classes=3), docs, 64)
+    assert len(updates) == 7
+
+
+def test_rows_are_added_where_they_repeat():
+    rng = np.random.default_rng(0)
+    for n, size in ((0, 5), (1, 5), (100, 3), (5_000, 20), (5_000, 4_097), (3_000, 70_000)):
+        rows, values, out = (rng.zipf(1.3, n) % size).astype(np.int32), rng.normal(size=(n, 6)), np.zeros((size, 6))
+        want = out.copy()
+        np.add.at(want, rows, values)
+        gated._add_rows(out, rows, values)
+        assert out == pytest.approx(want)
+
+
+def test_words_are_cut_in_columns_as_one_by_one():
+    texts = ["", "  ", " a\x0bB\x0c\x1cÉ  x ", None, "\u0085y Z", "One\r\ntwo\tTHREE\n", *[r[1] for r in odd_rows()]]
+    for kind in (pa.string(), pa.large_string()):
+        found, lengths = lm_scoring.words_of(pa.array(texts, kind))
+        want = [folded_words(text) for text in texts]
+        assert lengths.tolist() == [len(w) for w in want] and found.to_pylist() == [x for w in want for x in w]
