@@ -14,7 +14,7 @@ from paperloom.catalog.view_queries import _STATE, state_rows
 from paperloom.operators import keyed, quality
 from paperloom.operators.keyed import KeyedTable
 from paperloom.plans.reviews import raw_review_rows
-from paperloom.session import fresh_path
+from paperloom.session import fresh_path, land
 from paperloom.streaming.feed_ingest import author_rows, last_in_feed, watermark_of, window_bounds
 
 _STAMP = "2024-06-01 00:00:00"
@@ -129,10 +129,14 @@ _CLEAN = (
 )
 
 
-def _scored_batch(spark, sf_dir, raw: DataFrame, batch: str) -> tuple[DataFrame, DataFrame]:
-    clean, rejected = quality.split_by_reason(fx.scored_reviews(spark, sf_dir, raw))
-    tag = F.lit(batch).alias("batch_id")
-    return clean.select(*_CLEAN.split(", "), tag), rejected.select("row_hash", "row_number", quality.REASON, tag)
+_REJECTED = ("row_hash", "row_number", quality.REASON)
+
+
+def _scored_batch(raw: DataFrame, batch: str, columns: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """The clean and the rejected rows, landed with their reasons and as many ``columns`` as the table takes."""
+    wanted = dict.fromkeys((*columns, quality.REASON))
+    scored = land(quality.typed_reviews(raw).select(*wanted), "scored-reviews").withColumn("batch_id", F.lit(batch))
+    return quality.split_by_reason(scored)
 
 
 def _clean_sql(source: str, batch: str) -> str:
@@ -141,8 +145,9 @@ def _clean_sql(source: str, batch: str) -> str:
 
 @query("up_clean_reviews", _merged(_clean_sql("reviews", "b1"), _clean_sql(_review_batch_sql(), "b2"), "review_key"), ("reviews",))
 def up_clean_reviews(spark, sf_dir):
-    target = _scored_batch(spark, sf_dir, fx.reviews_raw(spark, sf_dir), "b1")[0]
-    batch = _scored_batch(spark, sf_dir, _review_batch(spark, sf_dir), "b2")[0]
+    columns = tuple(_CLEAN.split(", "))
+    target = _scored_batch(fx.reviews_raw(spark, sf_dir), "b1", columns)[0]
+    batch = _scored_batch(_review_batch(spark, sf_dir), "b2", columns)[0]
     return keyed.upsert(target, batch, ["review_key"], ["row_number"])
 
 
@@ -159,8 +164,8 @@ def _rejected_sql(source: str, batch: str) -> str:
     ("reviews",),
 )
 def up_rejected_reviews(spark, sf_dir):
-    target = _scored_batch(spark, sf_dir, fx.reviews_raw(spark, sf_dir), "b1")[1]
-    batch = _scored_batch(spark, sf_dir, _review_batch(spark, sf_dir), "b2")[1]
+    target = _scored_batch(fx.reviews_raw(spark, sf_dir), "b1", _REJECTED)[1]
+    batch = _scored_batch(_review_batch(spark, sf_dir), "b2", _REJECTED)[1]
     return keyed.upsert(target, batch, ["row_hash"], ["row_number"])
 
 

@@ -129,3 +129,12 @@ def test_row_hash_equals_a_python_json_dump(spark):
     assert [r.c for r in got] == [expected(r) for r in rows]
     assert [r.p for r in got] == [expected(r, i + 1) for i, r in enumerate(rows)]
     assert got[0].c == got[2].c and got[0].p != got[2].p
+
+
+def test_plain_values_are_rendered_without_arrays(spark):
+    """The object of short escapes, as a whole, and the plan of a value: arrays only for what is not plain."""
+    rows = [('"q"\\', "x/y"), ("\x01", "b"), ("\x01\x01", None), (None, "z"), ("é", "\n"), ("", "\x7f"), ('}{, "', '\\"'), ("😀", "a")]
+    frame = spark.createDataFrame(rows, "b string, a string")
+    rendered = hashing.json_text_object({"b": frame["b"], "a": frame["a"]})
+    assert [r[0] for r in frame.select(rendered).collect()] == [json.dumps({"a": a, "b": b}) for b, a in rows]
+    assert "zip_with" not in frame.select(rendered)._jdf.queryExecution().optimizedPlan().toString()
