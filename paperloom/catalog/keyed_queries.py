@@ -178,9 +178,9 @@ def _entries_sql(columns: str, where: str = "true") -> str:
     return _merged(first, second, "paper_key")
 
 
-def _entry_loads(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+def _entry_loads(spark, sf_dir, columns: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Two loads of the feed records with their reasons; the second one with half of the keys moved."""
-    scored = fx.scored_records(spark, sf_dir)
+    scored = fx.scored_records(spark, sf_dir, ("paper_key", *columns, "start_index", quality.REASON))
     second = scored.withColumn("paper_key", F.expr(_ENTRY_BATCH))
     return (
         scored.withColumns({"batch_id": F.lit("b1"), "page_number": F.lit(1)}),
@@ -189,7 +189,7 @@ def _entry_loads(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 
 def _upsert_entries(spark, sf_dir, columns: list[str], where: str = "true") -> DataFrame:
-    first, second = _entry_loads(spark, sf_dir)
+    first, second = _entry_loads(spark, sf_dir, tuple(columns))
     wanted = ["paper_key", *columns, "batch_id", "page_number"]
     order = "start_index"
     target = first.filter(where).select(*wanted)

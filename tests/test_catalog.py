@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
-from paperloom.catalog import ORACLES, QUERIES
+from paperloom.catalog import ORACLES, QUERIES, fixtures, keyed_queries
 
 DATA = Path("/root/testdata/sf0.001")
 TABLES = (
@@ -57,3 +57,14 @@ def test_query_equals_its_sql(spark, oracle, name):
     order = [names.index(c) for c in columns]
     expected = [tuple(plain(row[i]) for i in order) for row in result.fetchall()]
     assert sorted(got, key=repr) == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("name", ["up_clean_reviews", "up_rejected_reviews", "up_clean_papers"])
+def test_upserts_land_the_columns_of_their_table_only(spark, monkeypatch, name):
+    """Payloads that no row of the result holds are neither made nor written."""
+    landed = []
+    for module in (keyed_queries, fixtures):
+        inner = module.land
+        monkeypatch.setattr(module, "land", lambda df, name, inner=inner: landed.append(df.columns) or inner(df, name))
+    wanted = {*QUERIES[name](spark, str(DATA)).columns, "start_index", "reject_reason"}
+    assert landed and all(set(columns) <= wanted for columns in landed)
