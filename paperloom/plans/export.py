@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from paperloom.folders import delete, read_text, replace_text, size
+from paperloom.operators.keyed import KeyedTable
 from paperloom.operators.reports import format_comparison, timing_stats
 from paperloom.sinks.files import read_csv, stored_bytes, write_csv, write_parquet
 from paperloom.sources.tables import export_projection, require_nonempty
 
 
-def export_papers(spark: SparkSession, papers: DataFrame, csv_path: str, parquet_path: str) -> DataFrame:
+def export_papers(
+    spark: SparkSession, papers: DataFrame, csv_path: str, parquet_path: str, csv_compression: str = "none"
+) -> DataFrame:
     """Write the export columns in both formats; returns rows and bytes per format.
 
     The rows are written to Parquet once and the CSV is made from that copy, so the source is scanned
@@ -18,7 +24,7 @@ def export_papers(spark: SparkSession, papers: DataFrame, csv_path: str, parquet
     rows = export_projection(require_nonempty(papers, "source table"))
     write_parquet(rows, parquet_path)
     stored = spark.read.schema(rows.schema).parquet(parquet_path)
-    write_csv(stored, csv_path)
+    write_csv(stored, csv_path, csv_compression)
 
     def facts(name: str, copy: DataFrame, path: str) -> DataFrame:
         # Counting a key column keeps the CSV parser on whole records.
@@ -34,6 +40,24 @@ def export_papers(spark: SparkSession, papers: DataFrame, csv_path: str, parquet
     return report
 
 
+def keep_exported(
+    spark: SparkSession, papers: KeyedTable, csv_path: str, parquet_path: str, note_path: str, csv_compression: str = "none"
+) -> bool:
+    """Export the papers unless both copies are already there as they were made from the same rows; whether it had to.
+
+    A small file beside the copies names the rows they were made of and their bytes. It is removed before anything is written, so
+    an export that failed is made anew, as is one whose files have changed size.
+    """
+    sizes = lambda: {path: size(spark, path) for path in (csv_path, parquet_path)}
+    made_of, noted = {"rows": papers.content(), "csv": csv_compression}, read_text(spark, note_path)
+    if noted is not None and json.loads(noted) == made_of | {"bytes": sizes()}:
+        return False
+    delete(spark, note_path)
+    export_papers(spark, papers.current(), csv_path, parquet_path, csv_compression)
+    replace_text(spark, note_path, json.dumps(made_of | {"bytes": sizes()}))
+    return True
+
+
 def compare_formats(timings: DataFrame, export_report: DataFrame) -> DataFrame:
     """Comparison row per reader from read timings and the report of ``export_papers``."""
 

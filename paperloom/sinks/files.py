@@ -7,10 +7,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 _CSV = {"header": "true", "quote": '"', "escape": '"'}
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
     """CSV with header; quotes, line breaks and outer spaces survive a round trip."""
     spaces = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    df.write.mode("overwrite").options(**_CSV, **spaces).csv(path)
+    df.write.mode("overwrite").options(**_CSV, **spaces, compression=compression).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:

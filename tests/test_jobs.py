@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paperloom.catalog import file_queries
+from paperloom.operators.keyed import KeyedTable
 from paperloom.plans.export import compare_formats, export_papers
 from paperloom.plans.full_run import run_all
 from paperloom.plans.payload import build_payload
@@ -285,6 +286,51 @@ def test_full_run_twice_changes_nothing(spark, tmp_path):
         "id", "task_type", "paper_key", "chunk_id", "instruction", "input", "output", "metadata"]
 
 
+def test_full_run_exports_unchanged_papers_once(spark, tmp_path):
+    """Made again when a load changes the papers or a file is gone; the CSV copy is smaller than the texts, and whole."""
+    folder, root = tmp_path / "in", tmp_path / "root"
+    run = lambda: run_all(spark, str(folder), str(root), "s", as_of=AS_OF)
+    made = lambda: {f.name for n in ("csv", "parquet") for f in (root / "export" / f"papers_{n}").iterdir() if f.name.startswith("part-")}
+    page_file(folder, 1, [entry(n, n, title="Deep graph learning " * 200) for n in range(1, 6)])
+    run()
+    first = made()
+    run()
+    assert made() == first
+    page_file(folder, 2, [entry(9, 9)])
+    run()
+    second = made()
+    assert not second & first
+    stored = spark.read.parquet(str(root / "export" / "papers_parquet"))
+    copy = read_csv(spark, str(root / "export" / "papers_csv"), stored.schema)
+    assert rows(copy.select("paper_key", "title", "summary")) == rows(stored.select("paper_key", "title", "summary")) and copy.count() == 6
+    assert sum(f.stat().st_size for f in (root / "export" / "papers_csv").glob("part-*")) < 5 * len("Deep graph learning " * 200)
+    next((root / "export" / "papers_csv").glob("part-*")).unlink()
+    run()
+    assert not made() & second
+    assert read_csv(spark, str(root / "export" / "papers_csv"), stored.schema).count() == 6
+
+
+def test_feed_load_shuffles_no_whole_records(spark, tmp_path, monkeypatch):
+    """Texts and payloads of new records are written where they lie, also where a key comes twice."""
+    plans, store = {}, KeyedTable._store
+
+    def watched(self, rows, *how, **more):
+        plans[os.path.basename(self.root)] = rows._jdf.queryExecution().executedPlan().toString()
+        return store(self, rows, *how, **more)
+
+    monkeypatch.setattr(KeyedTable, "_store", watched)
+    page_file(tmp_path / "in", 1, [entry(1, 2), entry(2, 3, title=" "), entry(3, 3)])
+    page_file(tmp_path / "in", 2, [entry(1, 4, title="T2", version=2)])
+    os.utime(tmp_path / "in" / "page-0001.xml", (1_000, 1_000))
+    ingest_feed(spark, str(tmp_path / "in"), str(tmp_path / "root"), "s", "l1", as_of=AS_OF)
+    for name in ("raw_arxiv_entries", "clean_papers", "rejected_arxiv_entries"):
+        assert "hashpartitioning" not in plans[name] and "rangepartitioning" not in plans[name], name
+    kept = stored(spark, tmp_path / "root")
+    assert [r[0] for r in kept["raw_arxiv_entries"]] == ["24.1", "24.2", "24.3"]
+    assert [(r[0], r[1], r[3]) for r in kept["clean_papers"]] == [("24.1", "24.1v2", "T2"), ("24.3", "24.3v1", "T")]
+    assert len(kept["rejected_arxiv_entries"]) == 1
+
+
 def test_payload_files_hold_the_copies_of_a_text_once(spark, tmp_path):
     """Six records have the text of a chunk as their input; the files together are smaller than the texts."""
     words = [hashlib.sha256(str(n).encode()).hexdigest()[:8] for n in range(3000)]

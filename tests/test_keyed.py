@@ -27,6 +27,18 @@ def test_dedupe_last_and_null_keys(spark):
     )
 
 
+def test_last_of_landed_rows_by_two_keys(spark):
+    """As the window has it; rows with a NULL in the key stay, as does one of two that are told apart by their number only."""
+    rng, schema = random.Random(5), "k string, part int, seq int, page string, v string, _row bigint"
+    data = [
+        (rng.choice(["a", "b", "c", None]), rng.choice([1, 2, None]), rng.choice([1, 2, None]), rng.choice("pq"), f"v{n}", n) for n in range(60)
+    ]
+    batch = spark.createDataFrame([*data, ("lone", 1, 1, "p", "v", 60), ("twin", 1, 1, "p", "v", 61), ("twin", 1, 1, "p", "v", 62)], schema)
+    found = rows(keyed.last_landed(batch, ["k", "part"], ["seq", "page"], "_row"))
+    assert found == rows(keyed.last_per_key(batch, ["k", "part"], ["seq", "page", "_row"]))
+    assert ("twin", 1, 1, "p", "v", 62) in found and ("twin", 1, 1, "p", "v", 61) not in found and len(found) < 60
+
+
 def test_stored_table_equals_a_dict(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"), T.StructType.fromDDL(SCHEMA), ("k",))
     assert table.current().isEmpty()
