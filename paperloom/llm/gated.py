@@ -89,12 +89,12 @@ class Lanes:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """In place."""
-    x *= 0.5
-    np.tanh(x, out=x)
-    x *= 0.5
-    x += 0.5
-    return x
+    """In place; numbers so far below zero that their power has no finite value give 0."""
+    np.negative(x, out=x)
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 #: Numbers up to this one can be raised to powers of e, and those of its negative summed, in single precision.
@@ -275,7 +275,8 @@ def _gradients(model: dict, kept: list, places: list, run: Lanes, states: list)
     back = np.empty_like(sent)
     back[order] = sent
     reads, edges = np.empty((len(flat), 3 * hidden), back.dtype), np.cumsum([0, *map(len, places)]).tolist()
-    gates, inward = model["turn"][:, : 2 * hidden].T, model["turn"][:, 2 * hidden :].T
+    # gaps of the turned state: those of both gates, then that of the inner part
+    turned, inward = np.empty((max(map(len, places)), 3 * hidden), back.dtype), np.ascontiguousarray(model["turn"].T)
     grad = {name: np.zeros_like(model[name]) for name in ("read", "turn", "turn_bias")}
     carried = np.zeros((0, hidden), back.dtype)
     for t in range(len(kept) - 1, -1, -1):
@@ -295,13 +296,12 @@ def _gradients(model: dict, kept: list, places: list, run: Lanes, states: list)
         np.subtract(1, reset, out=reset)
         np.multiply(inner, reset, out=read[:, hidden : 2 * hidden])
         read[:, 2 * hidden :] = out
-        both = read[:, : 2 * hidden]
-        grad["turn"][:, : 2 * hidden] += state.T @ both
-        grad["turn"][:, 2 * hidden :] += state.T @ inner_gap
+        gaps = turned[: len(state)]
+        gaps[:, : 2 * hidden], gaps[:, 2 * hidden :] = read[:, : 2 * hidden], inner_gap
+        grad["turn"] += state.T @ gaps
         grad["turn_bias"] += inner_gap.sum(axis=0)
         if t:
-            carried = both @ gates
-            carried += inner_gap @ inward
+            carried = gaps @ inward
             carried += passed
             carried[run.first[places[t]]] = 0
     _add_rows(grad["read"], np.concatenate([step[1] for step in kept]), reads)

@@ -240,6 +240,14 @@ def test_probabilities_add_up_and_state_carries_over(monkeypatch):
     assert gated.log_likelihoods(model, docs) == pytest.approx(whole, rel=1e-4)
 
 
+def test_gates_of_far_numbers():
+    """Also where a power has no finite value, and without a warning."""
+    x = np.array([-200, -89, -20, -1, -1e-4, 0, 1e-4, 1, 20, 89, 200], np.float32)
+    with np.errstate(all="raise", under="ignore"):
+        found = gated._sigmoid(x.copy())
+    assert found.dtype == np.float32 and found == pytest.approx(1 / (1 + np.exp(-x.astype(float))), rel=1e-5, abs=1e-30)
+
+
 def test_gradients_by_differences():
     model = {k: v if k == "starts" else v.astype(np.float64) for k, v in tiny_model().items()}
     docs = [np.array([1, 3, 2, 6, 0], np.int32), np.array([5, 5, 4], np.int32)]
